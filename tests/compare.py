@@ -1,0 +1,50 @@
+"""Compare a Spark query with its SQL counterpart, value by value."""
+
+from __future__ import annotations
+
+import datetime as dt
+import math
+from collections import Counter
+
+TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages benchmark "
+          "labels conversations").split()
+
+
+def connect(folder: str):
+    import duckdb
+
+    con = duckdb.connect()
+    con.execute("SET TimeZone = 'UTC'")
+    for table in TABLES:
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{folder}/{table}.parquet'")
+    return con
+
+
+def _plain(value):
+    if isinstance(value, float):
+        return "nan" if math.isnan(value) else round(value, 6)
+    if isinstance(value, dt.datetime):
+        return value.replace(tzinfo=None)
+    return value
+
+
+def differences(spark, con, build, sql: str, folder: str) -> str | None:
+    """None if schema names, type classes and the bag of rows agree, else what differs."""
+    frame = build(spark, folder)
+    names = sorted(frame.columns)
+    ours = Counter(tuple(_plain(v) for v in row) for row in frame.select(*[f"`{n}`" for n in names]).collect())
+    result = con.sql(sql)
+    if sorted(result.columns) != names:
+        return f"columns {names} vs {sorted(result.columns)}"
+    listed = ", ".join(f'"{n}"' for n in names)
+    theirs = Counter(tuple(_plain(v) for v in row) for row in con.sql(f"SELECT {listed} FROM ({sql})").fetchall())
+    kinds = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE",
+             "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN", "timestamp": "TIMESTAMP WITH TIME ZONE", "date": "DATE"}
+    types = {n: str(t) for n, t in zip(result.columns, result.types)}
+    for field in frame.schema:
+        if kinds.get(field.dataType.simpleString(), "?") != types[field.name]:
+            return f"type of {field.name}: {field.dataType.simpleString()} vs {types[field.name]}"
+    if ours != theirs:
+        return (f"{sum(ours.values())} vs {sum(theirs.values())} rows; only ours {list((ours - theirs).items())[:3]}, "
+                f"only theirs {list((theirs - ours).items())[:3]}")
+    return None
