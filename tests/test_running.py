@@ -1,0 +1,68 @@
+from __future__ import annotations
+
+import random
+
+import pytest
+from data import at
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from tideline.operators.running import number_rows, running, seq_bucket
+
+AGGS = {"s": ("sum", "v"), "c": ("count", "v"), "hi": ("max", "v"), "lo": ("min", "v")}
+
+
+@pytest.fixture(scope="module")
+def rows(spark):
+    rng = random.Random(3)
+    data = [(rng.choice(["hot", "hot", "hot", "a", "b", None]), i, rng.choice([rng.randrange(-50, 50), None])) for i in range(500)]
+    rng.shuffle(data)
+    return spark.createDataFrame(data, "k string, seq bigint, v bigint")
+
+
+def direct(df, keys):
+    spec = Window.partitionBy(*(keys or [F.lit(0)])).orderBy("seq")
+    upto = spec.rowsBetween(Window.unboundedPreceding, 0)
+    before = spec.rowsBetween(Window.unboundedPreceding, -1)
+    calc = {"s": F.sum("v"), "c": F.count("v"), "hi": F.max("v"), "lo": F.min("v")}
+    for name, agg in calc.items():
+        df = df.withColumn(name, agg.over(upto)).withColumn(f"{name}_before", agg.over(before))
+    return df
+
+
+def bag(df, columns):
+    return sorted(map(tuple, df.select(*columns).collect()), key=repr)
+
+
+@pytest.mark.parametrize("keys", [[], ["k"]])
+@pytest.mark.parametrize("bits,fold", [(16, None), (3, None), (2, 2), (0, 3)])
+def test_equals_plain_window(rows, keys, bits, fold):
+    got = running(rows, keys, ["seq"], AGGS, seq_bucket("seq", bits), fold_bits=fold)
+    expected = direct(rows, keys)
+    assert bag(got, expected.columns) == bag(expected, expected.columns)
+
+
+def test_start_values(spark, rows):
+    start = spark.createDataFrame([("hot", 1000), ("a", 5)], "k string, n bigint")
+    some = rows.filter("k in ('hot', 'a')")
+    got = running(some, ["k"], ["seq"], {"n": ("count", F.lit(1))}, seq_bucket("seq", 3), start=start)
+    lows = {r.k: (r.lo, r.hi, r.n) for r in got.groupBy("k").agg(F.min("n_before").alias("lo"), F.max("n").alias("hi"), F.count("*").alias("n")).collect()}
+    assert {k: (lo, hi - n) for k, (lo, hi, n) in lows.items()} == {"hot": (1000, 1000), "a": (5, 5)}
+
+
+def test_no_task_sees_a_whole_key(rows):
+    """The hot key's rows are hash-partitioned by (key, bucket), never by the key alone."""
+    plan = running(rows, ["k"], ["seq"], {"n": ("count", "v")}, seq_bucket("seq", 3))._jdf.queryExecution().executedPlan().toString()
+    import re
+
+    last = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line][0]
+    assert re.search(r"hashpartitioning\(k#\d+, _bucket#\d+", last)
+
+
+def test_number_rows(spark):
+    rng = random.Random(5)
+    data = [(at(rng.randrange(0, 40)), i) for i in range(300)]
+    df = spark.createDataFrame(data, "arrival timestamp_ntz, id bigint")
+    got = number_rows(df, ["arrival", "id"], partitions=7).orderBy("seq").collect()
+    assert [r.seq for r in got] == list(range(300))
+    assert [(r.arrival, r.id) for r in got] == sorted(data)

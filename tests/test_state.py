@@ -1,0 +1,156 @@
+"""Deduplication, distinct counts, changelogs and ids."""
+
+from __future__ import annotations
+
+import random
+from collections import defaultdict
+
+import pytest
+from data import CLICKS, at, lines
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+
+from tideline.functions import parse_clicks
+from tideline.operators import changelog, distinct, ids
+from tideline.operators.dedup import dedup_interval
+from tideline.operators.watermark import replay_watermark
+
+
+def stamped(spark, rows):
+    return spark.createDataFrame([(k, at(s), i) for i, (k, s) in enumerate(rows)], "k string, ts timestamp_ntz, n bigint")
+
+
+def greedy(rows, interval):
+    free, passed = {}, []
+    for s, i, k in sorted((s, i, k) for i, (k, s) in enumerate(rows)):
+        if k not in free or s >= free[k]:
+            passed.append(i)
+            free[k] = s + interval
+    return sorted(passed)
+
+
+def passed(df):
+    return sorted(r.n for r in df.collect())
+
+
+def test_interval_counts_from_the_passed_row(spark):
+    rows = [("a", s) for s in (0, 30, 59, 60, 100, 119, 121)]
+    df = dedup_interval(stamped(spark, rows), ["k"], "ts", "60 seconds", "n")
+    assert passed(df) == [0, 3, 6]
+
+
+@pytest.mark.parametrize("unit,kept", [("second", 11), ("millisecond", 10)])
+def test_clicks(spark, unit, kept):
+    df = parse_clicks(lines(spark, CLICKS), unit=unit).withColumn("n", F.monotonically_increasing_id())
+    assert dedup_interval(df, ["click_key"], "ts", "60 seconds", "n").count() == kept
+
+
+HEAVY = dict(light_stamps=0, intervals_per_chunk=2, fan_in=3, levels=2)
+
+
+@pytest.mark.parametrize("seed", range(4))
+@pytest.mark.parametrize("route", [{}, HEAVY, dict(HEAVY, light_stamps=150, intervals_per_chunk=1, levels=3)])
+def test_both_routes_equal_the_fold(spark, seed, route):
+    rng = random.Random(seed)
+    span = [300, 4000, 60_000, 900][seed]
+    rows = [(rng.choice(["hot", "hot", "a", "b", None]), rng.randrange(span) / rng.choice([1, 1, 10])) for _ in range(500)]
+    df = dedup_interval(stamped(spark, rows), ["k"], "ts", "60 seconds", "n", **route)
+    assert passed(df) == greedy(rows, 60)
+
+
+def test_heavy_route_with_regular_stamps(spark):
+    """One stamp per second never lets chains merge; two keys also exercise gaps before the epoch."""
+    rows = [("a", s) for s in range(-2000, 2000)] + [("b", s) for s in range(-500, 9000, 61)]
+    frame = spark.createDataFrame([(k, s, i) for i, (k, s) in enumerate(rows)], "k string, s bigint, n bigint")
+    df = frame.withColumn("ts", F.timestamp_seconds("s"))
+    assert passed(dedup_interval(df, ["k"], "ts", "60 seconds", "n", **HEAVY)) == greedy(rows, 60)
+
+
+def test_equal_stamps_pass_once(spark):
+    assert passed(dedup_interval(stamped(spark, [("a", 5)] * 4), ["k"], "ts", "60 seconds", "n")) == [0]
+
+
+def test_distinct_per_hour_drops_late(spark):
+    seen = [("s", 10, "d1"), ("s", 20, "d1"), ("s", 30, "d2"), ("s", 3700, "d1"), ("s", 40, "d3"), ("t", 3800, "d1")]
+    rows = [(slot, at(s), device, i) for i, (slot, s, device) in enumerate(seen)]
+    df = spark.createDataFrame(rows, "slot string, ts timestamp_ntz, device string, seq bigint")
+    marked = replay_watermark(df, "ts", "seq").withColumn(
+        "hour_end", F.date_trunc("HOUR", "ts").cast("timestamp_ntz") + F.expr("INTERVAL 1 HOUR"))
+    got = distinct.distinct_per_key(marked, "slot", "hour_end", "device", "wm_before")
+    assert sorted(map(tuple, got.collect())) == [("s", at(3600), 2), ("s", at(7200), 1), ("t", at(7200), 1)]
+
+
+def test_bitmap_distinct(spark):
+    df = spark.createDataFrame([("a", 1), ("a", 2), ("a", 2), ("a", 40000), ("b", None), ("b", -7)], "k string, id bigint")
+    assert sorted(map(tuple, distinct.bitmap_distinct(df, ["k"], "id").collect())) == [("a", 3), ("b", 1)]
+    assert distinct.bitmap_distinct(df, [], "id").first().uv == 4
+    assert distinct.bitmap_distinct(df.limit(0), [], "id").first().uv == 0
+
+
+def replayed(changes):
+    """Apply a changelog row by row, checking that every retraction names the value it takes back."""
+    state = {}
+    for r in changes.orderBy("change_seq").collect():
+        if r.row_kind == "+I":
+            assert r.k not in state
+        elif r.row_kind == "-U":
+            assert state.pop(r.k) == r.result
+            continue
+        state[r.k] = r.result
+    return state
+
+
+@pytest.mark.parametrize("agg", ["sum", "count", "max"])
+def test_changelog_replays_to_the_aggregate(spark, agg):
+    rng = random.Random(1)
+    rows = [(rng.choice("aab"), i, rng.choice([0, 1, 5, None])) for i in range(200)]
+    df = spark.createDataFrame(rows, "k string, seq bigint, v bigint")
+    changes = changelog.agg_changelog(df, "k", "seq", "v", agg, bucket_bits=3)
+    expected = {r.k: r.x for r in df.groupBy("k").agg(getattr(F, agg)("v").alias("x")).collect()}
+    assert replayed(changes) == expected
+    table = changelog.apply_changelog(changes, "k", "change_seq", "row_kind")
+    assert {r.k: r.result for r in table.collect()} == expected
+
+
+def test_changelog_suppresses_no_change(spark):
+    df = spark.createDataFrame([("a", 0, 3), ("a", 1, None), ("a", 2, 0), ("a", 3, 4)], "k string, seq bigint, v bigint")
+    got = [(r.row_kind, r.result) for r in changelog.agg_changelog(df, "k", "seq", "v").orderBy("change_seq").collect()]
+    assert got == [("+I", 3), ("-U", 3), ("+U", 7)]
+
+
+def test_apply_changelog_removes_deleted(spark):
+    df = spark.createDataFrame([("a", 0, "+I", 1), ("a", 1, "-U", 1), ("a", 2, "+U", 2), ("b", 3, "+I", 9), ("b", 4, "-D", 9), ("c", 5, "+I", 1), ("c", 6, "-U", 1)],
+                               "k string, s bigint, kind string, v bigint")
+    assert list(map(tuple, changelog.apply_changelog(df, "k", "s", "kind").collect())) == [("a", 2)]
+
+
+def test_id_layout(spark):
+    row = spark.range(1).select(
+        ids.encode_id(F.lit(1704067200000), ids.worker_of(F.lit(3), F.lit(5)), F.lit(7)).alias("id")
+    ).select("id", *[c.alias(n) for n, c in ids.decode_id("id").items()]).first()
+    assert tuple(row) == (939107745767247879, 1704067200000, 3, 5, 7)
+
+
+@pytest.mark.parametrize("ms,worker,seq", [(1480166465630, 0, 0), (1704067200000, 1024, 0), (1704067200000, 0, 4096), (1480166465631 + 2**41, 0, 0)])
+def test_id_range_checks(spark, ms, worker, seq):
+    with pytest.raises(PySparkException):
+        spark.range(1).select(ids.encode_id(F.lit(ms), F.lit(worker), F.lit(seq))).collect()
+    with pytest.raises(PySparkException):
+        spark.range(1).select(ids.worker_of(F.lit(32), F.lit(0))).collect()
+
+
+def test_ids_follow_the_waiting_generator(spark):
+    rng = random.Random(2)
+    base = 1704067200000
+    rows = [(i, base + rng.choice([0, 0, 0, 0, 1, 1, 3, 9]), 5 if i % 8 else 6) for i in range(24_000)]
+    rows += [(24_000 + i, base + 500 + i, 7) for i in range(20)]
+    df = spark.createDataFrame(rows, "n bigint, ms bigint, w bigint").withColumn("ts", F.timestamp_millis("ms"))
+    got = {r.n: r.id for r in ids.assign_ids(df, "ts", F.col("w"), "n", bucket_bits=8, ms_bits=1).collect()}
+
+    expected, free = {}, defaultdict(int)
+    for n, ms, w in sorted(rows, key=lambda r: (r[2], r[1], r[0])):
+        slot = max(free[w], ms * 4096)
+        free[w] = slot + 1
+        expected[n] = ((slot // 4096 - 1480166465631) << 22) | (w << 12) | slot % 4096
+    assert got == expected
+    assert len(set(got.values())) == len(rows)

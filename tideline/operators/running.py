@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 _MERGE = {"sum": F.sum, "count": F.sum, "max": F.max, "min": F.min}
 _BUCKET, _COARSE, _HEAD = "_bucket", "_coarse", "_head"
 SEQ_BITS = 16
+FOLD_BITS = 16
 
 
 def seq_bucket(seq: str | Column, bits: int = SEQ_BITS) -> Column:
@@ -29,20 +30,23 @@ def _with_heads(rows: DataFrame, heads: DataFrame) -> DataFrame:
     )
 
 
-def _prefix(summary: DataFrame, keys: list[str], merge: dict[str, str], fold_bits: int) -> DataFrame:
-    """Exclusive prefix over the buckets of each key, in two levels of at most 2**fold_bits buckets each."""
-    combine = [_MERGE[kind](name).alias(name) for name, kind in merge.items()]
-    leveled = summary.withColumn(_COARSE, F.shiftright(F.col(_BUCKET), fold_bits))
-    tops = leveled.groupBy(*keys, _COARSE).agg(*combine)
+def _prefix(summary: DataFrame, keys: list[str], merge: dict[str, str], fold_bits: int | None) -> DataFrame:
+    """Exclusive prefix over the buckets of each key; with fold_bits in two levels, so that no task sees
+    all buckets of a key."""
 
     def exclusive(frame: DataFrame, by: list, order: list) -> DataFrame:
         before = Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-        return frame.withColumns({name: _MERGE[kind](name).over(before) for name, kind in merge.items()})
+        return frame.select(*keys, *order, *[_MERGE[kind](name).over(before).alias(name) for name, kind in merge.items()])
 
-    top_heads = exclusive(tops, keys or [F.lit(0)], [_COARSE])
-    stacked = _with_heads(leveled, top_heads)
-    scanned = exclusive(stacked, [*keys, _COARSE], [F.desc(_HEAD), _BUCKET])
-    return scanned.filter(F.col(_HEAD) == 0).select(*keys, _BUCKET, *merge)
+    if fold_bits is None:
+        return exclusive(summary, keys, [_BUCKET])
+    leveled = summary.withColumn(_COARSE, F.shiftright(F.col(_BUCKET), fold_bits))
+    tops = leveled.groupBy(*keys, _COARSE).agg(*[_MERGE[kind](name).alias(name) for name, kind in merge.items()])
+    stacked = _with_heads(leveled, exclusive(tops, keys or [F.lit(0)], [_COARSE]))
+    before = Window.partitionBy(*keys, _COARSE).orderBy(F.desc(_HEAD), _BUCKET).rowsBetween(Window.unboundedPreceding, -1)
+    return stacked.select(
+        *keys, _BUCKET, _HEAD, *[_MERGE[kind](name).over(before).alias(name) for name, kind in merge.items()]
+    ).filter(F.col(_HEAD) == 0).drop(_HEAD)
 
 
 def running(
@@ -51,7 +55,7 @@ def running(
     order: Sequence[str],
     aggs: dict[str, tuple[str, str | Column]],
     bucket: Column,
-    fold_bits: int = 16,
+    fold_bits: int | None = None,
     start: DataFrame | None = None,
 ) -> DataFrame:
     """Add, per aggregate, `<name>` (up to and with the row) and `<name>_before` (rows before it).
@@ -59,6 +63,8 @@ def running(
     aggs: {name: (kind, column)} with kind in sum, count, max, min.
     order: columns that order the rows of a key uniquely; ascending.
     bucket: an integer that never decreases in that order. Rows of one (key, bucket) share a task.
+    fold_bits: 2**fold_bits buckets share a task when the prefix over buckets is formed. Without it a key's buckets
+        do, but a frame without keys always folds (by 16 bits).
     start: per key, one row with a value for each (sum or count) aggregate to begin from.
     """
     keys, order = list(keys), list(order)
@@ -72,7 +78,7 @@ def running(
 
     rows = df.withColumns({_BUCKET: bucket.cast("bigint"), **source})
     summary = rows.groupBy(*keys, _BUCKET).agg(*[_MERGE[k](n).alias(n) for n, k in merge.items()])
-    heads = _prefix(summary, keys, merge, fold_bits)
+    heads = _prefix(summary, keys, merge, fold_bits or (None if keys else FOLD_BITS))
     if start is not None:
         begin = start.select(*keys, *[F.col(name).alias(f"_start_{name}") for name in aggs])
         heads = heads.join(begin, keys, "left").select(

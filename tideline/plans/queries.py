@@ -152,9 +152,8 @@ def bitmap_distinct_rollup(spark, folder):
 
 @query
 def late_split(spark, folder):
-    on_time, late = watermark.split_late(_arrivals(spark, folder), "ts", "seq", "30 minutes", "10 minutes", "5 minutes")
-    both = on_time.withColumn("late", F.lit(False)).unionByName(late.withColumn("late", F.lit(True)))
-    return both.select("event_id", "window_end", "wm_before", "late")
+    tagged = watermark.tag_late(_arrivals(spark, folder), "ts", "seq", "30 minutes", "10 minutes", "5 minutes")
+    return tagged.select("event_id", "window_end", "wm_before", F.col("is_late").alias("late"))
 
 
 @query

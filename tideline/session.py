@@ -33,6 +33,7 @@ def local_session(cores: int | str = 8, app: str = "tideline", partitions: int |
         .appName(app)
         .config("spark.sql.shuffle.partitions", str(partitions or cores))
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "12g")
     )
     for name, value in SETTINGS.items():

@@ -49,5 +49,16 @@ def insert_into(rows: DataFrame, table: str, overwrite: bool = False) -> None:
     rows.write.insertInto(table, overwrite=overwrite)
 
 
+# Declared schemas of the given tables; declaring them saves a schema job per read.
+TESTDATA_SCHEMAS = {
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+}
+
+
 def testdata(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    """One of the given tables."""
+    return spark.read.schema(TESTDATA_SCHEMAS[name]).parquet(f"{folder}/{name}.parquet")
