@@ -121,6 +121,11 @@ def test_tokens(spark):
     assert got == [(0, "a"), (1, "b"), (0, ""), (1, "x"), (0, ""), (0, "one"), (0, "a"), (1, "\n")]
 
 
+def test_tokens_with_longer_separator(spark):
+    got = [r.word for r in tokens(lines(spark, ["a::b::", "::", "x.:y", ""]), "value", "::").collect()]
+    assert got == ["a", "b", "x.:y", ""]
+
+
 def test_parse_json(spark):
     df = lines(spark, ['{"id": 1, "n": "x"}', '{"id": "bad", "n": "y"}', '{"n": "z"}', "{broken", None, '{"id": 4, "n": "w", "more": 1}'])
     got = [(r.id, r.n) for r in parse_json(df, "id bigint, n string").collect()]

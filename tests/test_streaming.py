@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import time
 
 from data import BASE, CLICKS, DISORDERED, arrivals, at, lines
 from pyspark.sql import functions as F
@@ -122,8 +123,16 @@ def test_dedup_stream_equals_batch(rocksdb, tmp_path):
 def test_dedup_stream_with_time_to_live(rocksdb, tmp_path):
     feed = Feed(rocksdb, tmp_path / "in", "k string, ts timestamp_ntz, n bigint")
     feed.add([("a", at(0), 0), ("a", at(30), 1)]).add([("a", at(61), 2), ("a", at(62), 3)])
-    got = run(SD.dedup_interval_stream(feed.stream(), ["k"], "ts", "60 seconds", "n", processing_ttl=True), "ttl", "append", tmp_path / "cp")
-    assert sorted(r.n for r in got.collect()) == [0, 2]
+    df = SD.dedup_interval_stream(feed.stream(), ["k"], "ts", "60 seconds", "n", processing_ttl=True)
+    # In processing-time mode Spark always has another batch to run, so "available now" would never end.
+    query = df.writeStream.format("memory").queryName("ttl").option("checkpointLocation", str(tmp_path / "cp")).start()
+    try:
+        deadline = time.monotonic() + 60
+        while rocksdb.table("ttl").count() < 2 and time.monotonic() < deadline:
+            time.sleep(0.5)
+    finally:
+        query.stop()
+    assert sorted(r.n for r in rocksdb.table("ttl").collect()) == [0, 2]
 
 
 def test_late_rows_go_to_a_side_output(spark, tmp_path):

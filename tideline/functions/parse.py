@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -9,7 +11,7 @@ from pyspark.sql import types as T
 
 def csv_fields(line: str | Column, separator: str = ",") -> Column:
     """Split on a literal separator."""
-    return F.split(line, "\\Q" + separator + "\\E")
+    return F.split(line, re.escape(separator))
 
 
 def _required(fields: Column, index: int) -> Column:
@@ -68,11 +70,14 @@ def tokens(df: DataFrame, text: str, separator: str = ",", keep: tuple[str, ...]
 
     Trailing empty tokens are dropped. An empty line is one empty token; a line of separators only is none.
     """
-    literal = "\\Q" + separator + "\\E"
-    stripped = F.regexp_replace(text, f"(?:{literal})+\\z", "")
+    if len(separator) == 1:
+        stripped = F.rtrim(F.col(text), F.lit(separator))
+    else:
+        stripped = F.regexp_replace(text, f"(?:{re.escape(separator)})+\\z", "")
+    separators_only = (F.length(stripped) == 0) & (F.length(text) > 0)
     return (
-        df.filter(F.col(text).isNotNull() & ~F.col(text).rlike(f"^(?:{literal})+\\z"))
-        .select(*keep, F.posexplode(F.split(stripped, literal)).alias("pos", "word"))
+        df.filter(F.col(text).isNotNull() & ~separators_only)
+        .select(*keep, F.posexplode(F.split(stripped, re.escape(separator))).alias("pos", "word"))
     )
 
 

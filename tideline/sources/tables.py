@@ -25,7 +25,10 @@ class TableSpec:
         if self.computed:
             table = table.withColumns(self.computed)
         if self.event_time and table.isStreaming:
-            table = table.withWatermark(self.event_time, self.delay)
+            # Spark takes event time only as TIMESTAMP, so a declared TIMESTAMP_NTZ becomes one on a stream.
+            table = table.withColumn(self.event_time, F.col(self.event_time).cast("timestamp")).withWatermark(
+                self.event_time, self.delay
+            )
         if view:
             table.createOrReplaceTempView(self.name)
         return table

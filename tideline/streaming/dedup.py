@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from tideline.functions.times import duration_us, micros
+from tideline.streaming.windows import with_event_time
 
 _STATE = "free_from long"
 
@@ -17,10 +18,11 @@ _STATE = "free_from long"
 class _PassFirst(StatefulProcessor):
     """State per key: the earliest stamp that may pass next."""
 
-    def __init__(self, interval_us: int, order: str, columns: list[str], event_time: bool):
+    def __init__(self, interval_us: int, order: str, columns: list[str], out: list[str], event_time: bool):
         self._interval_us = interval_us
         self._order = order
         self._columns = columns
+        self._out = out
         self._event_time = event_time
 
     def init(self, handle: StatefulProcessorHandle) -> None:
@@ -31,7 +33,9 @@ class _PassFirst(StatefulProcessor):
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         free = self._free.get()[0] if self._free.exists() else None
         before = free
-        batch = pd.concat(list(rows)).sort_values(["_us", self._order], kind="stable")
+        batch = pd.concat(list(rows))
+        batch.columns = self._columns  # Spark renames those that begin with an underscore
+        batch = batch.sort_values(["_us", self._order], kind="stable")
         stamps = batch["_us"].to_numpy()
         passed, at = [], 0
         while at < len(stamps):
@@ -47,7 +51,7 @@ class _PassFirst(StatefulProcessor):
                     self._handle.deleteTimer(timer)
                 self._handle.registerTimer(-(-free // 1000))
         if passed:
-            yield batch.iloc[passed][self._columns]
+            yield batch.iloc[passed][self._out]
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         self._free.clear()
@@ -64,17 +68,13 @@ def dedup_interval_stream(df: DataFrame, keys: Sequence[str], ts: str, interval:
     The default clears a key by an event-time timer. `processing_ttl` lets the state expire by wall clock
     instead; Spark does not mix the two in one operator. A key's rows of one micro-batch are held together.
     """
-    columns = df.columns
     rows = df.filter(F.col(ts).isNotNull())
     if not processing_ttl:
-        rows = rows.withWatermark(ts, delay)
-    return (
-        rows.withColumn("_us", micros(ts))
-        .groupBy(*keys)
-        .transformWithStateInPandas(
-            statefulProcessor=_PassFirst(duration_us(interval), order, columns, not processing_ttl),
-            outputStructType=df.schema,
-            outputMode="Append",
-            timeMode="ProcessingTime" if processing_ttl else "EventTime",
-        )
+        rows = with_event_time(rows, ts, delay)
+    rows = rows.withColumn("_us", micros(ts))
+    return rows.groupBy(*keys).transformWithStateInPandas(
+        statefulProcessor=_PassFirst(duration_us(interval), order, rows.columns, df.columns, not processing_ttl),
+        outputStructType=df.schema,
+        outputMode="Append",
+        timeMode="ProcessingTime" if processing_ttl else "EventTime",
     )

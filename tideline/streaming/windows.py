@@ -7,20 +7,31 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tideline.functions.times import duration_us
+from tideline.functions.times import duration_us, type_of
 from tideline.operators.windows import _positive_offset
 
 
+EVENT_TIME = "_event_time"
+
+
 def with_event_time(df: DataFrame, ts: str, delay: str = "0 seconds") -> DataFrame:
-    """Declare the event time and how far rows may be out of order."""
-    return df.withWatermark(ts, delay)
+    """Declare the event time, in a column of its own: Spark takes only TIMESTAMP, not TIMESTAMP_NTZ."""
+    return df.withColumn(EVENT_TIME, F.col(ts).cast("timestamp")).withWatermark(EVENT_TIME, delay)
+
 
+def _window(size: str, offset: str = "0 seconds", column: Column | str = EVENT_TIME) -> Column:
+    return F.window(column, size, size, _positive_offset(size, offset))
 
-def _bounds(df: DataFrame, column: str, *rest: str) -> DataFrame:
-    return df.select(F.col(f"{column}.start").alias("window_start"), F.col(f"{column}.end").alias("window_end"), *rest)
+
+def _bounds(df: DataFrame, column: str, kind: T.DataType, *rest: str) -> DataFrame:
+    """Window bounds in the type of the source's timestamp."""
+    return df.select(
+        F.col(f"{column}.start").cast(kind).alias("window_start"), F.col(f"{column}.end").cast(kind).alias("window_end"), *rest
+    )
 
 
 def pv_uv_stream(df: DataFrame, ts: str, id_col: str, size: str, delay: str = "0 seconds",
@@ -30,12 +41,11 @@ def pv_uv_stream(df: DataFrame, ts: str, id_col: str, size: str, delay: str = "0
     Spark refuses a distinct count on a stream. Counting per (window, id) first and then per window gives it,
     and keeps the state of a crowded window spread over the ids.
     """
-    window = F.window(ts, size, size, _positive_offset(size, offset))
-    per_id = df.withWatermark(ts, delay).groupBy(window.alias("w"), id_col).agg(F.count(id_col).alias("_n"))
-    counted = per_id.groupBy(F.window(F.window_time("w"), size, size, _positive_offset(size, offset)).alias("w2")).agg(
+    per_id = with_event_time(df, ts, delay).groupBy(_window(size, offset).alias("w"), id_col).agg(F.count(id_col).alias("_n"))
+    counted = per_id.groupBy(_window(size, offset, F.window_time("w")).alias("w2")).agg(
         F.sum("_n").alias("pv"), F.count(id_col).alias("uv")
     )
-    return _bounds(counted, "w2", "pv", "uv")
+    return _bounds(counted, "w2", type_of(df, ts), "pv", "uv")
 
 
 def pv_uv_early(df: DataFrame, ts: str, id_col: str, size: str, delay: str = "0 seconds",
@@ -45,10 +55,10 @@ def pv_uv_early(df: DataFrame, ts: str, id_col: str, size: str, delay: str = "0
     A window's ids are one state value here (collect_set), which suits windows with a modest number of ids.
     Use `pv_uv_stream` for large ones.
     """
-    counted = df.withWatermark(ts, delay).groupBy(F.window(ts, size, size, _positive_offset(size, offset)).alias("w")).agg(
+    counted = with_event_time(df, ts, delay).groupBy(_window(size, offset).alias("w")).agg(
         F.count(id_col).alias("pv"), F.size(F.collect_set(id_col)).cast("bigint").alias("uv")
     )
-    return _bounds(counted, "w", "pv", "uv")
+    return _bounds(counted, "w", type_of(df, ts), "pv", "uv")
 
 
 def multi_window_pv_uv_stream(df: DataFrame, ts: str, id_col: str, sizes: Sequence[str],
@@ -69,15 +79,15 @@ def window_stats_stream(df: DataFrame, keys: Sequence[str], ts: str, value: str,
     that much longer; in update mode every late row then shows its window again.
     """
     kept = f"{duration_us(delay) + duration_us(lateness)} microseconds"
-    stats = df.withWatermark(ts, kept).groupBy(*keys, F.window(ts, size).alias("w")).agg(
+    stats = with_event_time(df, ts, kept).groupBy(*keys, _window(size).alias("w")).agg(
         F.max(value).alias("max"), F.min(value).alias("min"), F.sum(value).alias("sum"),
         F.avg(value).alias("avg"), F.count(value).alias("counts"),
     )
-    return _bounds(stats, "w", *keys, "max", "min", "sum", "avg", "counts")
+    return _bounds(stats, "w", type_of(df, ts), *keys, "max", "min", "sum", "avg", "counts")
 
 
 def distinct_per_hour_stream(df: DataFrame, key: str, ts: str, device: str, delay: str = "0 seconds") -> DataFrame:
     """Distinct devices per (key, hour), for append mode: two levels, as in `pv_uv_stream`."""
-    per_device = df.withWatermark(ts, delay).groupBy(F.window(ts, "1 hour").alias("w"), key, device).agg(F.count("*").alias("_n"))
-    counted = per_device.groupBy(F.window(F.window_time("w"), "1 hour").alias("w2"), key).agg(F.count(device).alias("devices"))
-    return counted.select(key, F.col("w2.end").alias("hour_end"), "devices")
+    per_device = with_event_time(df, ts, delay).groupBy(_window("1 hour").alias("w"), key, device).agg(F.count("*").alias("_n"))
+    counted = per_device.groupBy(_window("1 hour", column=F.window_time("w")).alias("w2"), key).agg(F.count(device).alias("devices"))
+    return counted.select(key, F.col("w2.end").cast(type_of(df, ts)).alias("hour_end"), "devices")
