@@ -15,10 +15,9 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tideline.functions.times import duration_us, micros
 
@@ -120,77 +119,82 @@ def _compose(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np
 
 # -- heavy keys ---------------------------------------------------------------------------------------
 
-_FUNCTION = T.StructType([
-    T.StructField("_key", T.StringType()),
-    T.StructField("_up", T.LongType()),
-    T.StructField("_chunk", T.LongType()),
-    T.StructField("_at", T.ArrayType(T.LongType(), False)),
-    T.StructField("_to", T.ArrayType(T.LongType(), False)),
-])
+_FUNCTION = "_key string, _up long, _chunk long, _at array<long>, _to array<long>"
 _ENTRY = "_key string, _chunk long, _entry long"
+_PICKED = "_key string, _us long"
 
 
-def _function_row(key: str, up: int, chunk: int, function: tuple[np.ndarray, np.ndarray]) -> pd.DataFrame:
-    return pd.DataFrame({"_key": [key], "_up": [up], "_chunk": [chunk],
-                         "_at": [function[0]], "_to": [function[1]]})
+def _longs(table: pa.Table, name: str) -> np.ndarray:
+    return table.column(name).to_numpy().astype(np.int64, copy=False)
 
 
-def _functions_of(pdf: pd.DataFrame) -> list[tuple[np.ndarray, np.ndarray]]:
-    return [(np.asarray(a, dtype=np.int64), np.asarray(t, dtype=np.int64)) for a, t in zip(pdf["_at"], pdf["_to"])]
+def _function_row(key: str, up: int, chunk: int, function: tuple[np.ndarray, np.ndarray]) -> pa.Table:
+    arrays = [pa.array([values], pa.list_(pa.int64())) for values in function]
+    return pa.table([pa.array([key], pa.string()), pa.array([up], pa.int64()), pa.array([chunk], pa.int64()), *arrays],
+                    names=["_key", "_up", "_chunk", "_at", "_to"])
 
 
-def _entries(pdf: pd.DataFrame, entry: int) -> pd.DataFrame:
+def _functions(table: pa.Table) -> tuple[np.ndarray, list[tuple[np.ndarray, np.ndarray]]]:
+    """Chunk numbers in order and their functions."""
+    chunks = _longs(table, "_chunk")
+    order = np.argsort(chunks)
+    at, to = table.column("_at"), table.column("_to")
+    return chunks[order], [
+        tuple(column[int(i)].values.to_numpy(zero_copy_only=False) for column in (at, to)) for i in order
+    ]
+
+
+def _entries(table: pa.Table, entry: int) -> pa.Table:
     """Entry of each chunk in turn, from the entry of the first."""
+    chunks, functions = _functions(table)
     found = []
-    for function in _functions_of(pdf):
+    for function in functions:
         found.append(entry)
         entry = int(_apply(*function, np.array([entry], dtype=np.int64))[0])
-    return pd.DataFrame({"_key": pdf["_key"], "_chunk": pdf["_chunk"], "_entry": found})
+    keys = [table.column("_key")[0].as_py()] * len(found)
+    return pa.table([pa.array(keys, pa.string()), pa.array(chunks, pa.int64()), pa.array(found, pa.int64())],
+                    names=["_key", "_chunk", "_entry"])
 
 
 def _resolve_heavy(stamps: DataFrame, step: int, intervals: int, fan_in: int, levels: int) -> DataFrame:
     width = step * intervals
-    chunked = stamps.select(F.to_json("_k").alias("_key"), _floor_div("_us", width).alias("_chunk"), "_us")
+    named = stamps.withColumns({"_key": F.to_json("_k"), "_chunk": _floor_div("_us", width)})
+    chunked = named.select("_key", "_chunk", "_us")
 
-    def summarise(key, pdf):
-        name, number = key
-        function = _chunk_function(np.sort(pdf["_us"].to_numpy()), step, int(number) * width)
-        return _function_row(name, int(number) // fan_in, int(number), function)
+    def summarise(key, table):
+        name, number = key[0].as_py(), key[1].as_py()
+        function = _chunk_function(np.sort(_longs(table, "_us")), step, number * width)
+        return _function_row(name, number // fan_in, number, function)
 
-    def merge(key, pdf):
-        name, number = key
-        function = _compose(_functions_of(pdf.sort_values("_chunk")))
-        return _function_row(name, int(number) // fan_in, int(number), function)
+    def merge(key, table):
+        name, number = key[0].as_py(), key[1].as_py()
+        return _function_row(name, number // fan_in, number, _compose(_functions(table)[1]))
 
-    layers = [chunked.groupBy("_key", "_chunk").applyInPandas(summarise, _FUNCTION)]
+    layers = [chunked.groupBy("_key", "_chunk").applyInArrow(summarise, _FUNCTION)]
     for _ in range(levels):
-        layers.append(layers[-1].groupBy("_key", "_up").applyInPandas(merge, _FUNCTION))
+        layers.append(layers[-1].groupBy("_key", "_up").applyInArrow(merge, _FUNCTION))
 
-    entries = layers[-1].groupBy("_key").applyInPandas(
-        lambda pdf: _entries(pdf.sort_values("_chunk"), int(_NEVER)), _ENTRY
-    )
+    entries = layers[-1].groupBy("_key").applyInArrow(lambda table: _entries(table, int(_NEVER)), _ENTRY)
 
-    def descend(known: pd.DataFrame, pdf: pd.DataFrame) -> pd.DataFrame:
-        return _entries(pdf.sort_values("_chunk"), int(known["_entry"].iloc[0]))
+    def descend(known, table):
+        return _entries(table, int(_longs(known, "_entry")[0]))
 
     for layer in reversed(layers[:-1]):
-        entries = entries.groupBy("_key", "_chunk").cogroup(layer.groupBy("_key", "_up")).applyInPandas(descend, _ENTRY)
+        entries = entries.groupBy("_key", "_chunk").cogroup(layer.groupBy("_key", "_up")).applyInArrow(descend, _ENTRY)
 
-    def pick(known: pd.DataFrame, pdf: pd.DataFrame) -> pd.DataFrame:
-        us = np.sort(pdf["_us"].to_numpy())
-        free, at, found = int(known["_entry"].iloc[0]), 0, []
+    def pick(known, table):
+        us = np.sort(_longs(table, "_us"))
+        free, found = int(_longs(known, "_entry")[0]), []
         while (at := int(np.searchsorted(us, free, side="left"))) < len(us):
             found.append(int(us[at]))
             free = found[-1] + step
-        return pd.DataFrame({"_key": known["_key"].iloc[0], "_us": np.array(found, dtype=np.int64)})
+        keys = [known.column("_key")[0].as_py()] * len(found)
+        return pa.table([pa.array(keys, pa.string()), pa.array(found, pa.int64())], names=["_key", "_us"])
 
-    picked = entries.groupBy("_key", "_chunk").cogroup(chunked.groupBy("_key", "_chunk")).applyInPandas(
-        pick, "_key string, _us long"
-    )
-    named = stamps.withColumn("_key", F.to_json("_k"))
+    picked = entries.groupBy("_key", "_chunk").cogroup(chunked.groupBy("_key", "_chunk")).applyInArrow(pick, _PICKED)
     return named.join(picked, ["_key", "_us"], "left_semi").select("_k", "_us", "_first")
 
 
-def _floor_div(column: str, width: int):
+def _floor_div(column: str, width: int) -> Column:
     """Exact floor division of a BIGINT."""
     return F.expr(f"({column} - pmod({column}, {width}L)) div {width}L")

@@ -3,7 +3,7 @@
 The replay is exact: a row is judged by the watermark just before it. Structured Streaming judges by the
 watermark of the previous micro-batch, see `streaming.windows` for that form.
 
-All take `seq`, a unique BIGINT arrival number (a log offset, for example; `number_rows` makes one).
+All take `seq`, a unique BIGINT arrival number from 0 (a log offset, for example; `number_rows` makes one).
 """
 
 from __future__ import annotations
@@ -75,24 +75,18 @@ def window_firings(
     kept, _ = split_late(df, ts, seq, size, delay, lateness, per_event=per_event, bucket_bits=bucket_bits)
     last_moment = F.col("window_end") - F.lit(MILLISECOND)
     in_time = F.coalesce(F.col("wm_before") < last_moment, F.lit(True))
-
-    first = (
-        kept.filter(in_time)
-        .groupBy(*keys, *BOUNDS)
-        .agg(F.count("*").alias("_n"), F.sum(value).alias("_v"))
-        .withColumn("_at", F.lit(-1).cast("bigint"))
+    # One row per firing: rows in time share the place before all others, each later row has its own.
+    fired = kept.groupBy(*keys, *BOUNDS, F.when(in_time, -1).otherwise(F.col(seq)).alias("_at")).agg(
+        F.count("*").alias("_n"), F.sum(value).alias("_v")
     )
     if not flush:
-        first = first.filter(last_moment <= final_watermark(df, ts, delay, per_event))
-    again = kept.filter(~in_time).select(
-        *keys, *BOUNDS, F.lit(1).cast("bigint").alias("_n"), F.col(value).alias("_v"), F.col(seq).alias("_at")
-    )
-    fired = running(
-        first.unionByName(again), [*keys, *BOUNDS], ["_at"],
+        fired = fired.filter((F.col("_at") >= 0) | (last_moment <= final_watermark(df, ts, delay, per_event)))
+    counted = running(
+        fired, [*keys, *BOUNDS], ["_at"],
         {"firing": ("count", F.lit(1)), "rows": ("sum", "_n"), "total": ("sum", "_v")},
         seq_bucket("_at", bucket_bits),
     )
-    return fired.select(*keys, *BOUNDS, "firing", "rows", "total")
+    return counted.select(*keys, *BOUNDS, "firing", "rows", "total")
 
 
 def window_rows(df: DataFrame, ts: str, size: str) -> DataFrame:

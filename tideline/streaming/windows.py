@@ -52,13 +52,16 @@ def pv_uv_early(df: DataFrame, ts: str, id_col: str, size: str, delay: str = "0
                 offset: str = "0 seconds") -> DataFrame:
     """PV and UV of windows that are still open, for update mode with a processing-time trigger.
 
-    A window's ids are one state value here (collect_set), which suits windows with a modest number of ids.
-    Use `pv_uv_stream` for large ones.
+    Rows are (window_start, window_end, measure, value) with measure "pv" or "uv"; the last one counts. The
+    ids of a window are spread over the state of a streaming deduplication, not held in one value.
     """
-    counted = with_event_time(df, ts, delay).groupBy(_window(size, offset).alias("w")).agg(
-        F.count(id_col).alias("pv"), F.size(F.collect_set(id_col)).cast("bigint").alias("uv")
+    timed = with_event_time(df, ts, delay).select(_window(size, offset).alias("w"), id_col)
+    views = timed.groupBy("w").agg(F.count(id_col).alias("value")).withColumn("measure", F.lit("pv"))
+    visitors = (
+        timed.filter(F.col(id_col).isNotNull()).dropDuplicates(["w", id_col])
+        .groupBy("w").agg(F.count(id_col).alias("value")).withColumn("measure", F.lit("uv"))
     )
-    return _bounds(counted, "w", type_of(df, ts), "pv", "uv")
+    return _bounds(views.unionByName(visitors), "w", type_of(df, ts), "measure", "value")
 
 
 def multi_window_pv_uv_stream(df: DataFrame, ts: str, id_col: str, sizes: Sequence[str],
