@@ -93,3 +93,21 @@ def test_schema_change_and_bootstrap(spark, tmp_path):
     second = K.as_commit(rows(spark, [("a", 5, 9, "x")]).withColumn("url", F.lit("/u")), 1)
     latest = K.upsert_latest(K.evolve(first, second), "id", "ts")
     assert {(r.id, r.span, r.url) for r in latest.collect()} == {("a", 5, "/u"), ("b", 2, None)}
+
+
+def test_compacted_log_reads_the_same(spark, tmp_path):
+    path = str(tmp_path / "log")
+    write_history(spark, path)
+    log = K.delete_keys(K.read_log(spark, path, SCHEMA), spark.createDataFrame([("b",)], "id string"), "id", "ts")
+    for as_of in range(0, 6):
+        short = K.compact(log, "id", "ts", as_of)
+        for commit in range(as_of, 7):
+            assert state(K.snapshot(short, "id", "ts", commit)) == state(K.snapshot(log, "id", "ts", commit))
+    late_and_old = K.as_commit(rows(spark, [("b", 77, -9, "y")]), 9)
+    assert "b" not in state(K.upsert_latest(K.compact(log, "id", "ts", 5).unionByName(late_and_old), "id", "ts"))
+
+
+def test_merge_rows(spark):
+    table = rows(spark, [("a", 1, 5, "x"), ("b", 2, 5, "x")])
+    batch = rows(spark, [("a", 9, 4, "x"), ("b", 8, 5, "x"), ("c", 3, 0, "x")])
+    assert state(K.merge_rows(table, batch, "id", "ts")) == {"a": 1, "b": 8, "c": 3}

@@ -80,6 +80,22 @@ def delete_keys(log: DataFrame, keys_df: DataFrame, keys, ordering: str, commit:
     return log.unionByName(deletes)
 
 
+def compact(log: DataFrame, keys, ordering: str, as_of: int, tie: Sequence[str] = ()) -> DataFrame:
+    """The log with everything up to a commit reduced to the deciding version of each key.
+
+    Any state from that commit on reads the same from the shorter log. Deletes stay, because an upsert that comes
+    later may carry a smaller ordering value.
+    """
+    return latest_versions(log.filter(F.col(COMMIT) <= as_of), keys, ordering, tie).unionByName(
+        log.filter(F.col(COMMIT) > as_of)
+    )
+
+
+def merge_rows(table: DataFrame, changes: DataFrame, keys, ordering: str, tie: Sequence[str] = ()) -> DataFrame:
+    """A table with a batch of upserts merged in: the copy-on-write view of one commit."""
+    return upsert_latest(as_commit(table, 0).unionByName(as_commit(changes, 1)), keys, ordering, tie)
+
+
 def as_commit(rows: DataFrame, commit: int, op: str = UPSERT) -> DataFrame:
     """Stamp rows for the log. With commit 0 this takes over an existing table."""
     return rows.withColumns({COMMIT: F.lit(commit).cast("bigint"), OP: F.lit(op)})

@@ -152,7 +152,7 @@ def oracles() -> dict[str, str]:
             WHERE NOT coalesce(window_end + INTERVAL '1 millisecond' < wm_before, false) GROUP BY ALL""",
         "dedup_interval": _dedup("user_id", "12 hours"),
         "dedup_interval_heavy": _dedup("event_type", "1 hour"),
-        "changelog_sum": f"{_CHANGES} SELECT * FROM changes",
+        "changelog": f"{_CHANGES} SELECT * FROM changes",
         "changelog_apply": f"""{_CHANGES} SELECT user_id, result FROM (
             SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY change_seq DESC) AS rn FROM changes)
             WHERE rn = 1 AND row_kind IN ('+I', '+U')""",
@@ -183,6 +183,7 @@ def oracles() -> dict[str, str]:
         "incremental_range": _latest("_commit > 1 AND _commit <= 3", f"{_ROW}, _commit, _op"),
         "read_optimized": _latest("""_commit <= (SELECT max(c) FROM (
             SELECT c, row_number() OVER (ORDER BY c) AS n FROM (SELECT DISTINCT _commit AS c FROM log)) WHERE n % 3 = 0)"""),
+        "merge_batch": _latest(),
         "delete_keys": _latest("o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING')"),
         "struct_key_upsert": f"""WITH {_LOG} SELECT a, b, o_orderkey, o_orderdate FROM (
             SELECT o_custkey % 50 AS a, o_custkey > 700 AS b, o_orderkey, o_orderdate, row_number() OVER (

@@ -14,7 +14,8 @@ from pyspark.sql import types as T
 
 from tideline.functions import from_epoch_ms, java_hash, parse_clicks, parse_json, parse_pairs, span, user_func
 from tideline.functions.times import clock
-from tideline.operators import aggregates, changelog, dedup, distinct, ids, keyed_table, ordered, running, watermark, windows
+from tideline.operators import aggregates, dedup, distinct, ids, keyed_table, ordered, running, watermark, windows
+from tideline.operators import changelog as changes
 from tideline.session import configure
 from tideline.sources.tables import testdata
 
@@ -212,17 +213,17 @@ def dedup_interval_heavy(spark, folder):
 
 def _cents_changelog(spark, folder):
     events = _arrivals(spark, folder).withColumn("cents", F.round(F.col("value") * 100).cast("bigint"))
-    return changelog.agg_changelog(events, "user_id", "seq", "cents")
+    return changes.agg_changelog(events, "user_id", "seq", "cents")
 
 
 @query
-def changelog_sum(spark, folder):
+def changelog(spark, folder):
     return _cents_changelog(spark, folder)
 
 
 @query
 def changelog_apply(spark, folder):
-    return changelog.apply_changelog(_cents_changelog(spark, folder), "user_id", "change_seq", "row_kind")
+    return changes.apply_changelog(_cents_changelog(spark, folder), "user_id", "change_seq", "row_kind")
 
 
 # -- functions and parsing ----------------------------------------------------------------------------
@@ -348,6 +349,14 @@ def read_optimized(spark, folder):
     return keyed_table.read_optimized(_order_log(spark, folder), every=3, **_LOG_KEYS)
 
 
+@query
+def merge_batch(spark, folder):
+    """The last two commits merged into a compacted table of the five before."""
+    log = _order_log(spark, folder)
+    shortened = keyed_table.compact(log, as_of=4, **_LOG_KEYS)
+    return keyed_table.upsert_latest(shortened, **_LOG_KEYS)
+
+
 @query
 def delete_keys(spark, folder):
     gone = testdata(spark, folder, "customer").filter("c_mktsegment = 'BUILDING'").select(F.col("c_custkey").alias("o_custkey"))

@@ -61,3 +61,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Make `DataFrame.checkpoint` usable; an already set folder stays."""
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(shared_dir(spark))
+
+
+def ignore_idle_sources(spark: SparkSession, ignore: bool = True) -> None:
+    """Let the fastest of several sources set the watermark, so that an idle one does not hold it back.
+
+    An approximation of a per-source idle timeout: rows of a slow source may then count as late.
+    """
+    spark.conf.set("spark.sql.streaming.multipleWatermarkPolicy", "max" if ignore else "min")
