@@ -16,6 +16,7 @@ from tideline.sources.text import spread_lines, text_stream
 from tideline.streaming import dedup as SD
 from tideline.streaming import late, sinks
 from tideline.streaming import windows as SW
+from tideline.streaming.cumulate import cumulate_steps_stream
 
 
 class Feed:
@@ -120,6 +121,16 @@ def test_dedup_stream_equals_batch(rocksdb, tmp_path):
     assert bag(got.select("k", "n")) == bag(expected.select("k", "n"))
 
 
+def test_dedup_stream_keeps_numbers_exact(rocksdb, tmp_path):
+    schema = "k bigint, ts timestamp_ntz, n bigint, extra bigint, z timestamp, d double, nest struct<x: bigint>"
+    big, fine = 2**60 + 1, at(0.123457)
+    rows = [(big, fine, 0, big, fine, 0.1, (big,)), (big + 1, at(1), 1, None, None, None, (None,)),
+            (None, at(2), 2, 7, fine, float("inf"), None), (None, at(3), 3, 8, None, 1e300, None), (big, at(4), 4, 9, None, 0.0, None)]
+    feed = Feed(rocksdb, tmp_path / "in", schema).add(rows)
+    got = run(SD.dedup_interval_stream(feed.stream(), ["k"], "ts", "60 seconds", "n"), "exact", "append", tmp_path / "cp")
+    assert bag(got) == sorted(rows[:3], key=repr)
+
+
 def test_dedup_stream_with_time_to_live(rocksdb, tmp_path):
     feed = Feed(rocksdb, tmp_path / "in", "k string, ts timestamp_ntz, n bigint")
     feed.add([("a", at(0), 0), ("a", at(30), 1)]).add([("a", at(61), 2), ("a", at(62), 3)])
@@ -204,3 +215,14 @@ def test_console_and_table_writers(spark, tmp_path):
         assert spark.table("streamed_rows").count() == 1
     finally:
         spark.sql("DROP TABLE streamed_rows")
+
+
+def test_cumulative_stream_equals_batch(rocksdb, tmp_path):
+    feed = Feed(rocksdb, tmp_path / "in", EVENT)
+    rows = [(at(s), (s * 7 // 11) % 9 if s % 13 else None) for s in range(0, 7200, 150)]
+    feed.add(rows[:5]).add(rows[5:30]).add(rows[30:]).add([(at(50_000), 1)]).add([(at(100_000), 1)])
+    df = cumulate_steps_stream(feed.stream(), "ts", "id", "10 minutes", "1 hour")
+    steps = run(df, "steps", "append", tmp_path / "cp").filter(F.col("ts") < F.lit(at(40_000)))
+    got = windows.cumulate_steps(steps, "ts", "10 minutes", "1 hour")
+    expected = windows.cumulate_pv_uv(rocksdb.createDataFrame(rows, EVENT), "ts", "id", "10 minutes", "1 hour")
+    assert bag(got) == bag(expected)

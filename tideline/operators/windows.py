@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
+from math import gcd
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tideline.functions.times import duration_us, from_micros, micros, type_of
 
@@ -66,8 +68,6 @@ def multi_window_pv_uv(df: DataFrame, ts: str, id_col: str, sizes: Sequence[str]
     The rows are first reduced to (slice, id) counts, the slice being the greatest common divisor of the
     sizes; only those are copied once per size. Windows with no non-null id still show up, with zeros.
     """
-    from math import gcd
-
     slice_us = reduce(gcd, (duration_us(s) for s in sizes))
     us = micros(ts)
     slices = (
@@ -131,6 +131,21 @@ def cumulate_pv_uv(df: DataFrame, ts: str, id_col: str, step: str, max_size: str
         .groupBy("_max", "_step")
         .agg(F.sum("_views").alias("_views"), F.sum("_new").alias("_new"))
     )
+    return _accumulate(per_step, step_us, max_us, kind)
+
+
+def cumulate_steps(steps: DataFrame, ts: str, step: str, max_size: str) -> DataFrame:
+    """Cumulative windows from increments per step: columns `ts` (start of the step), views and new_ids."""
+    step_us, max_us = _cumulate_sizes(step, max_size)
+    at = micros(ts)
+    per_step = steps.groupBy((at - F.pmod(at, F.lit(max_us))).alias("_max"), at.alias("_step")).agg(
+        F.sum("views").alias("_views"), F.sum("new_ids").alias("_new")
+    )
+    return _accumulate(per_step, step_us, max_us, type_of(steps, ts))
+
+
+def _accumulate(per_step: DataFrame, step_us: int, max_us: int, kind: T.DataType) -> DataFrame:
+    """Running sums over the steps of each max window, with a row for every step up to its end."""
     in_order = Window.partitionBy("_max").orderBy("_step")
     upto = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     last_step = F.col("_max") + max_us - step_us

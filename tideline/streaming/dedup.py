@@ -10,19 +10,17 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from tideline.functions.times import duration_us, micros
-from tideline.streaming.windows import with_event_time
+from tideline.streaming.windows import EVENT_TIME, with_event_time
 
 _STATE = "free_from long"
+_EXACT = {"timestampFormat": "yyyy-MM-dd HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss.SSSSSS"}
 
 
 class _PassFirst(StatefulProcessor):
     """State per key: the earliest stamp that may pass next."""
 
-    def __init__(self, interval_us: int, order: str, columns: list[str], out: list[str], event_time: bool):
+    def __init__(self, interval_us: int, event_time: bool):
         self._interval_us = interval_us
-        self._order = order
-        self._columns = columns
-        self._out = out
         self._event_time = event_time
 
     def init(self, handle: StatefulProcessorHandle) -> None:
@@ -33,10 +31,9 @@ class _PassFirst(StatefulProcessor):
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         free = self._free.get()[0] if self._free.exists() else None
         before = free
-        batch = pd.concat(list(rows))
-        batch.columns = self._columns  # Spark renames those that begin with an underscore
-        batch = batch.sort_values(["_us", self._order], kind="stable")
-        stamps = batch["_us"].to_numpy()
+        batch = pd.concat([part[part["stamp"] >= free] if free is not None else part for part in rows])
+        batch = batch.sort_values(["stamp", "place"], kind="stable")
+        stamps = batch["stamp"].to_numpy()
         passed, at = [], 0
         while at < len(stamps):
             if free is not None and stamps[at] < free:
@@ -51,7 +48,7 @@ class _PassFirst(StatefulProcessor):
                     self._handle.deleteTimer(timer)
                 self._handle.registerTimer(-(-free // 1000))
         if passed:
-            yield batch.iloc[passed][self._out]
+            yield batch.iloc[passed][["record"]]
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         self._free.clear()
@@ -66,15 +63,20 @@ def dedup_interval_stream(df: DataFrame, keys: Sequence[str], ts: str, interval:
     """Pass a row, then drop its key's rows until `interval` after it. Needs the RocksDB state store.
 
     The default clears a key by an event-time timer. `processing_ttl` lets the state expire by wall clock
-    instead; Spark does not mix the two in one operator. A key's rows of one micro-batch are held together.
+    instead; Spark does not mix the two in one operator. A key's rows of one micro-batch that may still pass are
+    held together.
     """
     rows = df.filter(F.col(ts).isNotNull())
     if not processing_ttl:
         rows = with_event_time(rows, ts, delay)
-    rows = rows.withColumn("_us", micros(ts))
-    return rows.groupBy(*keys).transformWithStateInPandas(
-        statefulProcessor=_PassFirst(duration_us(interval), order, rows.columns, df.columns, not processing_ttl),
-        outputStructType=df.schema,
+    # Record and key travel as text: whole numbers next to NULLs would become floating point in Python.
+    staged = rows.select(
+        F.to_json(F.struct(*keys)).alias("key"), micros(ts).alias("stamp"), F.col(order).alias("place"),
+        F.to_json(F.struct(*df.columns), _EXACT).alias("record"), *([] if processing_ttl else [EVENT_TIME]),
+    )
+    return staged.groupBy("key").transformWithStateInPandas(
+        statefulProcessor=_PassFirst(duration_us(interval), not processing_ttl),
+        outputStructType="record string",
         outputMode="Append",
         timeMode="ProcessingTime" if processing_ttl else "EventTime",
-    )
+    ).select(F.from_json("record", df.schema, _EXACT).alias("record")).select("record.*")
