@@ -1,9 +1,9 @@
 """Interval deduplication: per key, pass a row, then drop rows until `interval` after the passed row.
 
 The chain "next passed = first stamp at or after last passed + interval" is sequential, so a key that holds
-a large share of the table needs more than a sort per key. Two routes, chosen per key by its stamp count:
+a large share of the table needs more than a sort per key. Two routes, chosen per key by its row count:
 
-* light keys fold their sorted stamps inside one aggregate, in the JVM;
+* light keys fold their sorted rows inside one aggregate, in the JVM;
 * heavy keys are cut into time chunks. A chunk is summarised, whatever comes before it, as a step function
   "earliest stamp allowed at entry -> earliest stamp allowed at exit". Step functions of neighbouring chunks
   compose level by level; then the entries go back down and each chunk picks its rows. A task never holds
@@ -21,7 +21,8 @@ from pyspark.sql import functions as F
 
 from tideline.functions.times import duration_us, micros
 
-LIGHT_STAMPS = 10_000
+LIGHT_ROWS = 10_000
+KEY_BUCKETS = 1 << 20
 INTERVALS_PER_CHUNK = 8
 FAN_IN = 64
 LEVELS = 3
@@ -30,7 +31,7 @@ _NEVER = np.iinfo(np.int64).min
 
 def dedup_interval(
     df: DataFrame, keys: Sequence[str], ts: str, interval: str, order: str, *,
-    light_stamps: int = LIGHT_STAMPS, intervals_per_chunk: int = INTERVALS_PER_CHUNK,
+    light_rows: int = LIGHT_ROWS, intervals_per_chunk: int = INTERVALS_PER_CHUNK,
     fan_in: int = FAN_IN, levels: int = LEVELS,
 ) -> DataFrame:
     """Rows that pass, unchanged. `order` is a unique column that decides between equal stamps."""
@@ -38,35 +39,37 @@ def dedup_interval(
     step = duration_us(interval)
     if step <= 0:
         raise ValueError("interval must be positive")
-    keyed = df.filter(F.col(ts).isNotNull()).withColumns({"_k": F.struct(*keys), "_us": micros(ts)})
-    # The first arrival of each (key, stamp) stands for its equals: none of the others can pass.
-    stamps = keyed.groupBy("_k", "_us").agg(F.min(order).alias("_first"))
-    heavy = stamps.groupBy("_k").agg(F.count("*").alias("_n")).filter(F.col("_n") > light_stamps).select("_k")
-    passed = _fold_light(stamps.join(heavy, "_k", "left_anti"), step).unionByName(
-        _resolve_heavy(stamps.join(heavy, "_k", "left_semi"), step, intervals_per_chunk, fan_in, levels)
+    rows = df.filter(F.col(ts).isNotNull()).withColumn("_b", F.pmod(F.xxhash64(*keys), F.lit(KEY_BUCKETS)))
+    # Keys are routed by hash bucket, so the broadcast has at most KEY_BUCKETS numbers whatever the data. A
+    # light key that shares a bucket with a heavy one takes the heavy route, with the same result.
+    heavy = F.broadcast(
+        rows.groupBy(*keys, "_b").agg(F.count("*").alias("_n")).filter(F.col("_n") > light_rows).select("_b").distinct()
+    )
+    light = _fold_light(rows.join(heavy, "_b", "left_anti").select(*df.columns), keys, ts, order, step)
+    resolved = _resolve_heavy(
+        rows.join(heavy, "_b", "left_semi").select(*df.columns), keys, ts, order, step, intervals_per_chunk, fan_in, levels
     )
-    return keyed.join(
-        passed.withColumnRenamed("_first", order), ["_k", "_us", order], "left_semi"
-    ).drop("_k", "_us")
+    return light.unionByName(resolved)
 
 
-def _fold_light(stamps: DataFrame, step: int) -> DataFrame:
-    """Fold each key's sorted stamps; their number is bounded by the route choice."""
-    kind = stamps.schema["_first"].dataType.simpleString()
-    state = f"struct<free:bigint,out:array<struct<_us:bigint,_first:{kind}>>>"
-    start = F.struct(F.lit(int(_NEVER)).alias("free"), F.array().alias("out")).cast(state)
+def _fold_light(rows: DataFrame, keys: list[str], ts: str, order: str, step: int) -> DataFrame:
+    """Fold each key's sorted rows; their number is bounded by the route choice."""
+    ordered = F.array_sort(F.collect_list(F.struct(
+        micros(ts).alias("us"), F.col(order).alias("place"), F.struct(*rows.columns).alias("record")
+    )))
+    start = F.struct(F.lit(int(_NEVER)).alias("free"), F.filter("_rows", lambda row: F.lit(False)).alias("out"))
 
-    def visit(acc, stamp):
+    def visit(acc, row):
         return F.when(
-            stamp["_us"] >= acc["free"],
-            F.struct((stamp["_us"] + step).alias("free"), F.concat(acc["out"], F.array(stamp)).alias("out")),
+            row["us"] >= acc["free"],
+            F.struct((row["us"] + step).alias("free"), F.concat(acc["out"], F.array(row)).alias("out")),
         ).otherwise(acc)
 
-    ordered = F.array_sort(F.collect_list(F.struct("_us", "_first")))
     return (
-        stamps.groupBy("_k")
-        .agg(ordered.alias("_stamps"))
-        .select("_k", F.inline(F.aggregate("_stamps", start, visit, lambda acc: acc["out"])))
+        rows.groupBy(*keys)
+        .agg(ordered.alias("_rows"))
+        .select(F.inline(F.aggregate("_rows", start, visit, lambda acc: acc["out"])))
+        .select("record.*")
     )
 
 
@@ -121,7 +124,6 @@ def _compose(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np
 
 _FUNCTION = "_key string, _up long, _chunk long, _at array<long>, _to array<long>"
 _ENTRY = "_key string, _chunk long, _entry long"
-_PICKED = "_key string, _us long"
 
 
 def _longs(table: pa.Table, name: str) -> np.ndarray:
@@ -156,10 +158,13 @@ def _entries(table: pa.Table, entry: int) -> pa.Table:
                     names=["_key", "_chunk", "_entry"])
 
 
-def _resolve_heavy(stamps: DataFrame, step: int, intervals: int, fan_in: int, levels: int) -> DataFrame:
+def _resolve_heavy(rows: DataFrame, keys: list[str], ts: str, order: str, step: int, intervals: int, fan_in: int,
+                   levels: int) -> DataFrame:
     width = step * intervals
-    named = stamps.withColumns({"_key": F.to_json("_k"), "_chunk": _floor_div("_us", width)})
-    chunked = named.select("_key", "_chunk", "_us")
+    named = rows.withColumns({"_key": F.to_json(F.struct(*keys)), "_us": micros(ts)})
+    # The first arrival of each (key, stamp) stands for its equals: none of the others can pass.
+    stamps = named.groupBy("_key", "_us").agg(F.min(order).alias("_first")).withColumn("_chunk", _floor_div("_us", width))
+    chunked = stamps.select("_key", "_chunk", "_us", "_first")
 
     def summarise(key, table):
         name, number = key[0].as_py(), key[1].as_py()
@@ -170,7 +175,7 @@ def _resolve_heavy(stamps: DataFrame, step: int, intervals: int, fan_in: int, le
         name, number = key[0].as_py(), key[1].as_py()
         return _function_row(name, number // fan_in, number, _compose(_functions(table)[1]))
 
-    layers = [chunked.groupBy("_key", "_chunk").applyInArrow(summarise, _FUNCTION)]
+    layers = [chunked.drop("_first").groupBy("_key", "_chunk").applyInArrow(summarise, _FUNCTION)]
     for _ in range(levels):
         layers.append(layers[-1].groupBy("_key", "_up").applyInArrow(merge, _FUNCTION))
 
@@ -183,16 +188,21 @@ def _resolve_heavy(stamps: DataFrame, step: int, intervals: int, fan_in: int, le
         entries = entries.groupBy("_key", "_chunk").cogroup(layer.groupBy("_key", "_up")).applyInArrow(descend, _ENTRY)
 
     def pick(known, table):
-        us = np.sort(_longs(table, "_us"))
+        stamps_us = _longs(table, "_us")
+        rank = np.argsort(stamps_us)
+        us = stamps_us[rank]
         free, found = int(_longs(known, "_entry")[0]), []
         while (at := int(np.searchsorted(us, free, side="left"))) < len(us):
-            found.append(int(us[at]))
-            free = found[-1] + step
-        keys = [known.column("_key")[0].as_py()] * len(found)
-        return pa.table([pa.array(keys, pa.string()), pa.array(found, pa.int64())], names=["_key", "_us"])
+            found.append(at)
+            free = int(us[at]) + step
+        return table.select(["_key", "_us", "_first"]).take(pa.array(rank[np.array(found, dtype=np.int64)]))
 
-    picked = entries.groupBy("_key", "_chunk").cogroup(chunked.groupBy("_key", "_chunk")).applyInArrow(pick, _PICKED)
-    return named.join(picked, ["_key", "_us"], "left_semi").select("_k", "_us", "_first")
+    picked = entries.groupBy("_key", "_chunk").cogroup(chunked.groupBy("_key", "_chunk")).applyInArrow(
+        pick, chunked.select("_key", "_us", "_first").schema
+    )
+    return named.join(
+        picked.withColumnRenamed("_first", order), ["_key", "_us", order], "left_semi"
+    ).select(*rows.columns)
 
 
 def _floor_div(column: str, width: int) -> Column:

@@ -66,7 +66,9 @@ def multi_window_pv_uv(df: DataFrame, ts: str, id_col: str, sizes: Sequence[str]
     """PV and UV at several tumbling sizes.
 
     The rows are first reduced to (slice, id) counts, the slice being the greatest common divisor of the
-    sizes; only those are copied once per size. Windows with no non-null id still show up, with zeros.
+    sizes. Those go to the tasks by id, at most one row per slice, and are copied once per size only there:
+    an id's copies meet in their task, so just per-window sums are shuffled after that. Windows with no
+    non-null id still show up, with zeros.
     """
     slice_us = reduce(gcd, (duration_us(s) for s in sizes))
     us = micros(ts)
@@ -74,11 +76,14 @@ def multi_window_pv_uv(df: DataFrame, ts: str, id_col: str, sizes: Sequence[str]
         df.filter(F.col(ts).isNotNull())
         .groupBy((us - F.pmod(us, F.lit(slice_us))).alias("_slice"), id_col)
         .agg(F.count(id_col).alias("_views"))
+        .repartition(id_col)
     )
     return (
         _fan_out(slices, F.col("_slice"), type_of(df, ts), sizes)
+        .groupBy("window_size", *BOUNDS, id_col)
+        .agg(F.sum("_views").alias("_views"))
         .groupBy("window_size", *BOUNDS)
-        .agg(F.sum("_views").alias("pv"), F.countDistinct(id_col).alias("uv"))
+        .agg(F.sum("_views").alias("pv"), F.count(id_col).alias("uv"))
     )
 
 

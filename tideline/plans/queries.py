@@ -203,7 +203,7 @@ def dedup_interval(spark, folder):
 def dedup_interval_heavy(spark, folder):
     """The same by event type, every key on the route for heavy keys."""
     passed = dedup.dedup_interval(
-        _events(spark, folder), ["event_type"], "ts", "1 hour", "event_id", light_stamps=0, fan_in=8, levels=2
+        _events(spark, folder), ["event_type"], "ts", "1 hour", "event_id", light_rows=0, fan_in=8, levels=2
     )
     return passed.select("event_id", "event_type", "ts")
 
