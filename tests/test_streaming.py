@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import os
 import time
 
 from data import BASE, CLICKS, DISORDERED, arrivals, at, lines
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tideline.functions import parse_clicks, parse_pairs
 from tideline.operators import keyed_table as K
 from tideline.operators import windows
 from tideline.operators.dedup import dedup_interval
+from tideline.sources.tables import TableSpec, processing_time
 from tideline.sources.text import spread_lines, text_stream
 from tideline.streaming import dedup as SD
 from tideline.streaming import late, sinks
@@ -226,3 +229,25 @@ def test_cumulative_stream_equals_batch(rocksdb, tmp_path):
     got = windows.cumulate_steps(steps, "ts", "10 minutes", "1 hour")
     expected = windows.cumulate_pv_uv(rocksdb.createDataFrame(rows, EVENT), "ts", "id", "10 minutes", "1 hour")
     assert bag(got) == bag(expected)
+
+
+def test_processing_time_window(rocksdb, tmp_path):
+    """Windows over the arrival time, reported while they are open."""
+    feed = Feed(rocksdb, tmp_path / "in", EVENT).add([(at(0), 1), (at(0), 1), (at(0), 2)])
+    df = feed.stream().withColumn("proc_time", processing_time())
+    got = run(SW.pv_uv_early(df, "proc_time", "id", "1 day"), "arrival", "update", tmp_path / "cp")
+    assert bag(got.select("measure", "value")) == [("pv", 3), ("uv", 2)]
+    assert abs((got.first().window_start - dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)).total_seconds()) <= 2 * 86400
+
+
+def test_declared_table_feeds_a_windowed_stream(rocksdb, tmp_path):
+    schema = T.StructType([T.StructField("account_id", T.LongType()), T.StructField("amount", T.LongType()),
+                           T.StructField("transaction_time", T.TimestampNTZType())])
+    feed = Feed(rocksdb, tmp_path / "in", schema)
+    feed.add([(1, 10, at(1)), (1, None, at(2)), (2, 11, at(3))]).add([(1, 10, at(100))])
+    spec = TableSpec("transactions", schema, event_time="transaction_time", delay="3 seconds")
+    spec.apply(feed.stream())
+    df = rocksdb.sql("""SELECT account_id, window.end AS window_end, count(amount) AS count1 FROM transactions
+                        GROUP BY account_id, window(transaction_time, '10 seconds')""")
+    got = run(df, "per_account", "append", tmp_path / "cp")
+    assert sorted((r.account_id, r.count1) for r in got.collect()) == [(1, 1), (2, 1)]
