@@ -29,6 +29,24 @@ def test_bounded_generator(spark):
     assert df.collect() != G.generate(spark, PROFILE, 500, seed=2).collect()
 
 
+def test_random_table_from_a_declaration(spark):
+    schema = T.StructType([
+        T.StructField("n", T.LongType()), T.StructField("id", T.IntegerType()), T.StructField("price", T.DecimalType(32, 2)),
+        T.StructField("buyer", T.StructType([T.StructField("first_name", T.StringType()), T.StructField("age", T.ShortType())])),
+        T.StructField("order_time", T.TimestampNTZType()),
+    ])
+    options = {"number-of-rows": "200", "rows-per-second": "2", "fields.n.kind": "sequence", "fields.n.start": "5",
+               "fields.id.min": "1", "fields.id.max": "10", "fields.buyer.first_name.length": "8", "fields.buyer.age.max": "90"}
+    df = G.random_table(spark, schema, options)
+    assert [f.dataType for f in df.schema] == [f.dataType for f in schema] or df.schema.simpleString() == schema.simpleString()
+    stats = df.agg(F.min("n"), F.max("n"), F.min("id"), F.max("id"), F.max(F.length("buyer.first_name")), F.max("buyer.age") <= 90,
+                   F.count("order_time"), F.countDistinct("price") > 100).first()
+    assert tuple(stats) == (5, 204, 1, 10, 8, True, 200, True)
+    assert G.random_table(spark, schema, options, stream=True).isStreaming
+    with pytest.raises(ValueError):
+        G.random_table(spark, schema)
+
+
 def test_generator_stream_has_the_same_columns(spark):
     df = G.generate_stream(spark, PROFILE, 10, rows=1000, time_column="ts")
     assert df.isStreaming and df.columns == [*PROFILE, "ts"]

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 Field = Callable[[int], Column]
 
@@ -45,6 +46,49 @@ def sequence() -> Field:
     return lambda seed: F.col("_row")
 
 
+def _field(kind: T.DataType, path: str, options: dict[str, str]) -> Field:
+    """Generator of a declared field; `fields.<path>.*` options narrow it."""
+    low, high = options.get(f"fields.{path}.min"), options.get(f"fields.{path}.max")
+    if options.get(f"fields.{path}.kind", "random") == "sequence":
+        first = int(options.get(f"fields.{path}.start", 0))
+        return lambda seed: (F.col("_row") + first).cast(kind)
+    if isinstance(kind, T.StructType):
+        parts = {f.name: _field(f.dataType, f"{path}.{f.name}", options) for f in kind}
+        return lambda seed: F.struct(*[make(seed + 31 * i).alias(name) for i, (name, make) in enumerate(parts.items(), 1)])
+    if isinstance(kind, T.StringType):
+        return random_hex(int(options.get(f"fields.{path}.length", 100)))
+    if isinstance(kind, T.BooleanType):
+        return choice(True, False)
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        return lambda seed: F.current_timestamp().cast(kind)
+    if isinstance(kind, (T.DoubleType, T.FloatType, T.DecimalType)):
+        make = uniform_double(float(low or 0), float(high or 1_000_000))
+    elif isinstance(kind, T.IntegralType):
+        top = {T.ByteType: (1 << 7) - 1, T.ShortType: (1 << 15) - 1}.get(type(kind), (1 << 31) - 1)
+        make = uniform_long(int(low or 0), int(high or top))
+    else:
+        raise ValueError(f"no generator for {kind.simpleString()}")
+    return lambda seed: make(seed).cast(kind)
+
+
+def random_table(spark: SparkSession, schema: T.StructType, options: dict[str, str] | None = None, *,
+                 stream: bool = False, seed: int = 0) -> DataFrame:
+    """A declared table of random rows, with the options of a table declaration.
+
+    rows-per-second and number-of-rows for the table; kind (random or sequence), min, max, start, length for
+    `fields.<name>`, with dots into nested fields. Numbers without bounds are not negative; times are the current time.
+    """
+    options = options or {}
+    fields = {f.name: _field(f.dataType, f.name, options) for f in schema}
+    rows = options.get("number-of-rows")
+    if stream:
+        rate = int(options.get("rows-per-second", 10_000))
+        return generate_stream(spark, fields, rate, int(rows) if rows else None, seed)
+    if rows is None:
+        raise ValueError("a bounded table needs number-of-rows")
+    return generate(spark, fields, int(rows), seed)
+
+
 def _columns(fields: dict[str, Field], seed: int) -> list[Column]:
     return [make(seed + 104_729 * i).alias(name) for i, (name, make) in enumerate(fields.items())]
 
