@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+import re
 
 import pytest
 from data import at
@@ -53,12 +54,17 @@ def test_start_values(spark, rows):
 def test_no_task_sees_a_whole_key(rows):
     """The hot key's rows are hash-partitioned by (key, bucket), never by the key alone."""
     plan = running(rows, ["k"], ["seq"], {"n": ("count", "v")}, seq_bucket("seq", 3))._jdf.queryExecution().executedPlan().toString()
-    import re
-
     last = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line][0]
     assert re.search(r"hashpartitioning\(k#\d+, _bucket#\d+", last)
 
 
+def test_single_task_sees_only_folded_buckets(rows):
+    plan = running(rows, [], ["seq"], {"n": ("count", "v")}, seq_bucket("seq", 3))._jdf.queryExecution().executedPlan().toString()
+    lines = plan.splitlines()
+    [single] = [i for i, line in enumerate(lines) if "Exchange SinglePartition" in line]
+    assert "HashAggregate(keys=[_coarse#" in lines[single + 1]
+
+
 def test_number_rows(spark):
     rng = random.Random(5)
     data = [(at(rng.randrange(0, 40)), i) for i in range(300)]

@@ -43,7 +43,8 @@ def tag_late(
     df: DataFrame, ts: str, seq: str, size: str, delay: str = "0 seconds", lateness: str = "0 seconds", **replay
 ) -> DataFrame:
     """Add window bounds, `wm_before` and `is_late`: the watermark had passed end - 1 ms + lateness."""
-    judged = tumble(replay_watermark(df, ts, seq, delay, **replay), ts, size)
+    timed = df.filter(F.col(ts).isNotNull())  # a row without time moves no watermark and is in no window
+    judged = tumble(replay_watermark(timed, ts, seq, delay, **replay), ts, size)
     closes = F.col("window_end") - F.lit(MILLISECOND) + span(lateness)
     return judged.withColumn("is_late", F.coalesce(closes <= F.col("wm_before"), F.lit(False)))
 
