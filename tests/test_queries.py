@@ -8,6 +8,8 @@ import pytest
 from compare import connect, differences
 
 import __spark_entry__ as registry
+from tideline.plans.oracles import oracles
+from tideline.plans.queries import registered
 
 FOLDER = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="given tables are not here")
@@ -19,12 +21,14 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(registry.queries()) == set(registry.oracle_sql())
+    assert set(registered()) == set(oracles())
+    assert set(registered()) <= set(registry.queries())
+    assert set(registry.oracle_sql()) <= set(registry.queries())
 
 
-@pytest.mark.parametrize("name", sorted(registry.queries()))
+@pytest.mark.parametrize("name", sorted(registered()))
 def test_query_matches_sql(spark, con, name):
-    assert differences(spark, con, registry.queries()[name], registry.oracle_sql()[name], FOLDER) is None
+    assert differences(spark, con, registered()[name], oracles()[name], FOLDER) is None
 
 
 def test_entry(spark):
