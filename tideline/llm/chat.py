@@ -58,7 +58,7 @@ def examples(turns: DataFrame, conv: str = "conv_id", turn: str = "turn", role:
     ends = F.filter(F.sequence(F.lit(1), F.size("ts")), lambda i: F.element_at("ts", i)["is_reply"])
     marked = written.withColumn("ends", ends)
     rest = F.when(~F.element_at("ts", -1)["is_reply"], F.array(F.size("ts") + 1)).otherwise(F.array().cast("array<int>"))
-    spread = marked.select("conv_id", "parts", "ts", F.posexplode(F.concat("ends", rest)).alias("example", "end"))
+    spread = marked.select("conv_id", "parts", "ts", F.posexplode_outer(F.concat("ends", rest)).alias("example", "end"))
     last = F.col("end") > F.size("ts")
     before = F.array_join(F.slice("parts", F.lit(1), F.col("end") - 1), "")
     own = F.get("ts", F.col("end") - 1)

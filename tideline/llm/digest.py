@@ -114,7 +114,7 @@ def fingerprint_pairs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
                 out[i].append(before)
         return pd.Series(out)
 
-    dealt = rows.withColumn("h", F.xxhash64("text")).select("at", "id", "h", "text", F.posexplode(ranges_of("at", "h")).alias("extra", "range"))
+    dealt = rows.withColumn("h", F.xxhash64("text")).select("at", "id", "h", "text", F.posexplode_outer(ranges_of("at", "h")).alias("extra", "range"))
     spark = docs.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     ordered = dealt.repartition(parts, "range").sortWithinPartitions("range", "extra", "at", "h")

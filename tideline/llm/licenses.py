@@ -68,7 +68,8 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     grams = F.when(F.size("words") >= K, F.transform(
         F.sequence(F.lit(1), F.size("words") - (K - 1)),
         lambda i: F.concat_ws(" ", *[F.element_at("words", i + k) for k in range(K)])))
-    rolled = words.select("key", F.posexplode(grams).alias("p", "gram")).withColumn("h", F.xxhash64("gram"))
+    # Outer, because a plain explode makes the planner filter on the whole expression, written out and so split once per word.
+    rolled = words.select("key", F.posexplode_outer(grams).alias("p", "gram")).withColumn("h", F.xxhash64("gram"))
     # The templates are a fixed table of some hundred rows.
     votes = (rolled.join(F.broadcast(_templates(spark)), "h").filter(F.col("gram") == F.col("t_gram"))
              .select("key", "template", "label", "base", "grams", "q", "p").distinct())

@@ -30,7 +30,8 @@ def _windows(docs: DataFrame, key: str, text: str, width: int) -> DataFrame:
     ready = split.select(key, "_lines", hashes.alias("_hash"), blank.alias("_blank"), starts.alias("_starts"))
     # The arrays end here: only small structs are exploded, never beside the text.
     found = ready.select(key, F.transform("_starts", window).alias("_found"))
-    return found.select(key, F.explode("_found").alias("_f")).filter(~F.col("_f.blank")).select(key, "_f.pos", "_f.w")
+    # Outer, because a plain explode makes the planner filter on the whole expression, written out and so split once per line.
+    return found.select(key, F.explode_outer("_found").alias("_f")).filter(~F.col("_f.blank")).select(key, "_f.pos", "_f.w")
 
 
 def removed_lines(docs: DataFrame, key: str = "key", text: str = "text", width: int = WINDOW) -> DataFrame:
@@ -67,12 +68,13 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     removed = removed_lines(texts, "key", "text", width)
     joined = keyed.join(removed.withColumnRenamed("key", "of"), F.col("key").eqNullSafe(F.col("of")), "left")
     text = F.col("doc").getField(text_col)
-    lines = F.split(text, "\n", -1)
-    left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("removed"))
-    kept = F.array_join(F.transform(left, lambda i: F.element_at(lines, i + 1)), "\n")
-    return joined.select(
+    # The lines are a column of their own: written into the lambda below, the text would be split once per line.
+    ready = joined.select("doc", "removed", text.alias("whole"), F.split(text, "\n", -1).alias("lines"))
+    left = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), F.col("removed"))
+    kept = F.array_join(F.transform(left, lambda i: F.element_at("lines", i + 1)), "\n")
+    return ready.select(
         "doc",
-        F.when(F.col("removed").isNull(), text).otherwise(kept).alias("text"),
-        F.when(text.isNull(), F.lit(0)).otherwise(F.size(lines)).cast("bigint").alias("n_lines"),
+        F.when(F.col("removed").isNull(), F.col("whole")).otherwise(kept).alias("text"),
+        F.when(F.col("whole").isNull(), F.lit(0)).otherwise(F.size("lines")).cast("bigint").alias("n_lines"),
         F.when(F.col("removed").isNull(), F.lit(0)).otherwise(F.size("removed")).cast("bigint").alias("n_removed"),
     )
