@@ -17,6 +17,7 @@ K = 3
 DRIFT = 3
 COVERAGE = 0.8
 _NOT_WORD = "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
+_NOT_WORD_AS_WRITTEN = "[\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+"
 
 # The phrases that must be found, word for word, and their labels.
 BASE = (
@@ -43,17 +44,22 @@ NOTICES = (
 
 def _templates(spark: SparkSession) -> DataFrame:
     """One row per template k-gram: a table of fixed size."""
-    rows = [(n, label, n < len(BASE), len(words) - K + 1, q, " ".join(words[q:q + K]))
+    rows = [(n, label, n < len(BASE), len(words) - K + 1, q, words[q:q + K])
             for n, (phrase, label) in enumerate(BASE + NOTICES) for words in [phrase.split()]
             for q in range(len(words) - K + 1)]
-    made = spark.createDataFrame(rows, "template int, label string, base boolean, grams int, q int, t_gram string")
-    return made.withColumn("h", F.xxhash64("t_gram"))
+    made = spark.createDataFrame(rows, "template int, label string, base boolean, grams int, q int, gram array<string>")
+    return made.select("template", "label", "base", "grams", "q", *[F.col("gram")[k].alias(f"t{k}") for k in range(K)],
+                       F.xxhash64(*[F.col("gram")[k] for k in range(K)]).alias("h"))
 
 
 def words_of(text: F.Column) -> F.Column:
     """Words [^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+ of the text with A-Z in lower case; none for NULL."""
-    split = F.split(lower_ascii(F.coalesce(text, F.lit(""))), _NOT_WORD, -1)
-    return F.filter(split, lambda w: w != "")
+    return F.array_remove(F.split(lower_ascii(F.coalesce(text, F.lit(""))), _NOT_WORD, -1), "")
+
+
+def word_number(text: F.Column) -> F.Column:
+    """How many; capitals are parts of words before they are put in lower case."""
+    return F.size(F.array_remove(F.split(F.coalesce(text, F.lit("")), _NOT_WORD_AS_WRITTEN, -1), "")).cast("bigint")
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -65,13 +71,17 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     """
     spark = docs.sparkSession
     words = docs.select(row_key(id_col, F.col(text_col)).alias("key"), words_of(F.col(text_col)).alias("words"))
-    grams = F.when(F.size("words") >= K, F.transform(
-        F.sequence(F.lit(1), F.size("words") - (K - 1)),
-        lambda i: F.concat_ws(" ", *[F.element_at("words", i + k) for k in range(K)])))
+    # The words beside their successors: shifted slices of one array, which needs no function per word.
+    shifted = F.arrays_zip(*[(F.slice("words", F.lit(k + 1), F.size("words")) if k else F.col("words")).alias(f"w{k}") for k in range(K)])
     # Outer, because a plain explode makes the planner filter on the whole expression, written out and so split once per word.
-    rolled = words.select("key", F.posexplode_outer(grams).alias("p", "gram")).withColumn("h", F.xxhash64("gram"))
+    exploded = words.select("key", F.posexplode_outer(shifted).alias("p", "gram"))
+    rolled = exploded.select("key", "p", *[F.col("gram")[f"w{k}"].alias(f"w{k}") for k in range(K)]).withColumn(
+        "h", F.xxhash64(*[f"w{k}" for k in range(K)]))
+    same = F.lit(True)
+    for k in range(K):
+        same = same & (F.col(f"w{k}") == F.col(f"t{k}"))
     # The templates are a fixed table of some hundred rows.
-    votes = (rolled.join(F.broadcast(_templates(spark)), "h").filter(F.col("gram") == F.col("t_gram"))
+    votes = (rolled.join(F.broadcast(_templates(spark)), "h").filter(same)
              .select("key", "template", "label", "base", "grams", "q", "p").distinct())
 
     # Base phrases: all votes of one diagonal.
@@ -97,7 +107,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
 
     found = base.join(notices, "key", "full").withColumnRenamed("key", "found")
     light = docs.select(F.col(id_col).alias("doc_id"), row_key(id_col, F.col(text_col)).alias("key"),
-                        F.size(words_of(F.col(text_col))).cast("bigint").alias("n_words"))
+                        word_number(F.col(text_col)).alias("n_words"))
     empty = F.array().cast("array<string>")
     base_set, notice_set = F.coalesce("base_set", empty), F.coalesce("notice_set", empty)
     joined = light.join(found, F.col("key").eqNullSafe(F.col("found")), "left")
