@@ -1,0 +1,111 @@
+from __future__ import annotations
+
+import random
+import re
+
+import numpy as np
+import pytest
+import xxhash
+from cases import ascii_lower, empty_table, odd_table
+
+from tideline.llm import simhash
+from tideline.llm.components import components
+from tideline.llm.queries import op7_simhash
+
+
+def brute_print(text):
+    words = re.findall("[^\x20\x09-\x0d]+", ascii_lower(text or ""))
+    if not words:
+        return 0
+    hashes = [xxhash.xxh64_intdigest(" ".join(words[i:i + 4]).encode(), 42) for i in range(max(1, len(words) - 3))]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def brute_components(prints: dict[int, int], bits: int = 4) -> dict[int, int]:
+    ids = sorted(prints)
+    root = {i: i for i in ids}
+    changed = True
+    while changed:
+        changed = False
+        for i in ids:
+            for j in ids:
+                if (prints[i] ^ prints[j]).bit_count() <= bits and root[i] != root[j]:
+                    root[i] = root[j] = min(root[i], root[j])
+                    changed = True
+    return root
+
+
+def test_query_matches_brute_force(spark, folder):
+    docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").collect()
+    prints = {r.doc_id: brute_print(r.text) for r in docs}
+    expected = brute_components(prints)
+    got = op7_simhash(spark, folder).collect()
+    assert len(got) == len(docs)
+    assert {r.doc_id: (int(r.fingerprint, 16), r.component_id) for r in got} == {i: (prints[i], expected[i]) for i in prints}
+
+
+@pytest.mark.parametrize("scheme", [simhash.COARSE, simhash.FINE])
+def test_every_word_has_an_anchor_within_the_radius(scheme):
+    for anchors in scheme:
+        offsets, patterns = anchors.patterns()
+        near = [min(int(p).bit_count() for p in patterns[a:b]) for a, b in zip(offsets, offsets[1:])]
+        assert max(near) <= anchors.radius
+
+
+@pytest.mark.parametrize("scheme,tile", [(simhash.COARSE, 4096), (simhash.COARSE, 16), (simhash.FINE, 4096), (simhash.FINE, 8)])
+def test_links_of_planted_fingerprints(spark, scheme, tile):
+    """Chains of up to 4 flipped bits, a crowd around one value, and strangers; both anchor sets and small tiles."""
+    rng = random.Random(3)
+    values = [rng.getrandbits(64) for _ in range(60)]
+    for _ in range(150):
+        base = rng.choice(values)
+        for bit in rng.sample(range(64), rng.randint(1, 6)):
+            base ^= 1 << bit
+        values.append(base)
+    crowd = rng.getrandbits(64)
+    values += [crowd ^ (1 << a) ^ (1 << b) for a in range(0, 64, 3) for b in range(a + 1, 64, 7)]
+    values = sorted(set(values))
+    rows = [(i, v - (1 << 64) if v >> 63 else v) for i, v in enumerate(values)]
+    found = simhash.classes(spark.createDataFrame(rows, "id bigint, fp bigint"), scheme=scheme, tile=tile).collect()
+    assert {r.least: r.component_id for r in found} == brute_components(dict(enumerate(values)))
+
+
+def test_odd_rows(spark):
+    got = simhash.simhash(odd_table(spark)).collect()
+    assert len(got) == odd_table(spark).count()
+    by = {}
+    for r in got:
+        by.setdefault(r.doc_id, []).append((r.fingerprint, r.component_id))
+    assert by[4][0] == by[5][0] == by[6][0] == ("0" * 16, 4)
+    assert by[1][0] == by[2][0] and by[2][0][1] == 1
+    assert by[12][0] == by[12][1]
+    assert sorted(c is None for _, c in by[None]) == [True, True]
+
+
+def test_one_of_each_group_stays(spark):
+    table = odd_table(spark)
+    kept = simhash.keep_one(table)
+    assert kept.columns == table.columns
+    rows = kept.collect()
+    ids = [r.doc_id for r in rows]
+    assert 1 in ids and 2 not in ids and ids.count(12) == 1 and ids.count(13) == 2
+    assert [i for i in ids if i in (4, 5, 6)] == [4]
+    assert simhash.keep_one(empty_table(spark)).collect() == []
+
+
+def test_empty(spark):
+    assert simhash.simhash(empty_table(spark)).collect() == []
+
+
+def test_components_of_paths_and_stars(spark):
+    path = [(i, i + 1) for i in range(200)]
+    star = [(1000, 1000 + i) for i in range(1, 300)]
+    got = components(spark.createDataFrame([*path, *star, (7, 7)], "a bigint, b bigint")).collect()
+    assert {r.node: r.root for r in got} == {**{i: 0 for i in range(201)}, **{1000 + i: 1000 for i in range(300)}}
+    assert len(got) == 501
+
+
+def test_long_text_is_read_whole():
+    words = [f"w{i % 977}" for i in range(200_000)]
+    assert simhash.fingerprint(" ".join(words)) == brute_print(" ".join(words))
+    assert np.uint64(simhash.fingerprint(None)) == 0

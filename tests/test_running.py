@@ -36,9 +36,9 @@ def bag(df, columns):
 
 
 @pytest.mark.parametrize("keys", [[], ["k"]])
-@pytest.mark.parametrize("bits,fold", [(16, None), (3, None), (2, 2), (0, 3)])
-def test_equals_plain_window(rows, keys, bits, fold):
-    got = running(rows, keys, ["seq"], AGGS, seq_bucket("seq", bits), fold_bits=fold)
+@pytest.mark.parametrize("bits,fold,levels", [(16, 16, 1), (3, 16, 0), (2, 2, 1), (0, 3, 2), (16, 16, 2)])
+def test_equals_plain_window(rows, keys, bits, fold, levels):
+    got = running(rows, keys, ["seq"], AGGS, seq_bucket("seq", bits), fold_bits=fold, levels=levels)
     expected = direct(rows, keys)
     assert bag(got, expected.columns) == bag(expected, expected.columns)
 
@@ -58,6 +58,22 @@ def test_no_task_sees_a_whole_key(rows):
     assert re.search(r"hashpartitioning\(k#\d+, _bucket#\d+", last)
 
 
+def test_sparse_order(spark, rows):
+    """Hashed numbers: nearly every row has a bucket of its own."""
+    hashed = rows.withColumn("seq", F.xxhash64("seq"))
+    got = running(hashed, ["k"], ["seq"], AGGS, seq_bucket("seq"), levels=2)
+    expected = direct(hashed, ["k"])
+    assert bag(got, expected.columns) == bag(expected, expected.columns)
+
+
+def test_buckets_of_a_key_are_folded(rows):
+    """No window is partitioned by the key alone over bucket rows: only folded buckets meet there."""
+    plan = running(rows, ["k"], ["seq"], {"n": ("count", "v")}, seq_bucket("seq", 3))._jdf.queryExecution().executedPlan().toString()
+    lines = plan.splitlines()
+    alone = [i for i, line in enumerate(lines) if re.search(r"Exchange hashpartitioning\(k#\d+, \d+\)", line)]
+    assert alone and all("HashAggregate(keys=[k#" in lines[i + 1] and "_coarse#" in lines[i + 1] for i in alone)
+
+
 def test_single_task_sees_only_folded_buckets(rows):
     plan = running(rows, [], ["seq"], {"n": ("count", "v")}, seq_bucket("seq", 3))._jdf.queryExecution().executedPlan().toString()
     lines = plan.splitlines()
@@ -69,6 +85,7 @@ def test_number_rows(spark):
     rng = random.Random(5)
     data = [(at(rng.randrange(0, 40)), i) for i in range(300)]
     df = spark.createDataFrame(data, "arrival timestamp_ntz, id bigint")
-    got = number_rows(df, ["arrival", "id"], partitions=7).orderBy("seq").collect()
+    second = F.unix_seconds(F.col("arrival").cast("timestamp"))
+    got = number_rows(df, ["arrival", "id"], second).orderBy("seq").collect()
     assert [r.seq for r in got] == list(range(300))
     assert [(r.arrival, r.id) for r in got] == sorted(data)

@@ -81,9 +81,9 @@ def test_csv_and_text_files(spark, tmp_path):
     source = tmp_path / "temp.txt"
     source.write_text("\n".join(TEMPERATURES), encoding="utf-8")
     schema = "province string, city string, flag int, temp double, ts timestamp"
-    assert text.csv_table(spark, str(source), schema).agg(F.sum("temp")).first()[0] == 211.5
-    assert text.text_lines(spark, str(source)).count() == 9
-    source.write_text("a,./comd, 123", encoding="utf-8")
+    assert text.csv_table(spark, str(source), schema).agg(F.sum("temp")).first()[0] == 15.5
+    assert text.text_lines(spark, str(source)).count() == 6
+    source.write_text("only two, fields", encoding="utf-8")
     with pytest.raises(Exception, match="FAILED_READ_FILE|MALFORMED"):
         text.csv_table(spark, str(source), schema).collect()
 

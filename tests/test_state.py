@@ -39,17 +39,17 @@ def test_interval_counts_from_the_passed_row(spark):
     assert passed(df) == [0, 3, 6]
 
 
-@pytest.mark.parametrize("unit,kept", [("second", 11), ("millisecond", 10)])
+@pytest.mark.parametrize("unit,kept", [("second", 4), ("millisecond", 3)])
 def test_clicks(spark, unit, kept):
     df = parse_clicks(lines(spark, CLICKS), unit=unit).withColumn("n", F.monotonically_increasing_id())
     assert dedup_interval(df, ["click_key"], "ts", "60 seconds", "n").count() == kept
 
 
-HEAVY = dict(light_rows=0, intervals_per_chunk=2, fan_in=3, levels=2)
+HEAVY = dict(light_stamps=0, intervals_per_chunk=2, fan_in=3, levels=2)
 
 
 @pytest.mark.parametrize("seed", range(4))
-@pytest.mark.parametrize("route", [{}, HEAVY, dict(HEAVY, light_rows=150, intervals_per_chunk=1, levels=3)])
+@pytest.mark.parametrize("route", [{}, HEAVY, dict(HEAVY, light_stamps=150, intervals_per_chunk=1, levels=3)])
 def test_both_routes_equal_the_fold(spark, seed, route):
     rng = random.Random(seed)
     span = [300, 4000, 60_000, 900][seed]

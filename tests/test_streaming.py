@@ -6,16 +6,16 @@ import datetime as dt
 import os
 import time
 
-from data import BASE, CLICKS, DISORDERED, arrivals, at, lines
+from data import BASE, DISORDERED, arrivals, at, lines
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tideline.functions import parse_clicks, parse_pairs
+from tideline.functions import parse_pairs
 from tideline.operators import keyed_table as K
 from tideline.operators import windows
 from tideline.operators.dedup import dedup_interval
 from tideline.sources.tables import TableSpec, processing_time
-from tideline.sources.text import spread_lines, text_stream
+from tideline.sources.text import text_stream
 from tideline.streaming import dedup as SD
 from tideline.streaming import late, sinks
 from tideline.streaming import windows as SW
@@ -152,18 +152,22 @@ def test_dedup_stream_with_time_to_live(rocksdb, tmp_path):
 def test_late_rows_go_to_a_side_output(spark, tmp_path):
     feed = Feed(spark, tmp_path / "in", "k string, v bigint, ts timestamp_ntz, seq bigint")
     rows = [tuple(r) for r in arrivals(spark, DISORDERED).orderBy("seq").collect()]
-    paths = [str(tmp_path / n) for n in ("ontime", "late", "cp")]
+    path, checkpoint = str(tmp_path / "split"), str(tmp_path / "cp")
 
     def drain():
-        late.split_late_stream(feed.stream(), "ts", "seq", "5 seconds", "2 seconds", *paths, available_now=True).start().awaitTermination()
+        late.split_late_stream(feed.stream(), "ts", "seq", "5 seconds", "2 seconds", path, checkpoint, available_now=True).start().awaitTermination()
 
     feed.add(rows[:4]).add(rows[4:8])
     drain()
     feed.add(rows[8:])
     drain()  # a restart goes on from the carried timestamp
-    read = lambda p: [r.v for r in spark.read.parquet(p).orderBy("seq").collect()]
-    assert read(paths[1]) == [3, 4, 9, 8]
-    assert read(paths[0]) == [1, 5, 6, 7, 10, 12, 10, 22]
+    read = lambda side: [r.v for r in spark.read.parquet(path).filter(F.col("is_late") == side).orderBy("seq").collect()]
+    assert read(True) == [3, 4, 9, 8]
+    assert read(False) == [1, 5, 6, 7, 10, 12, 10, 22]
+    for row in [(("a", s, at(s), 100 + s)) for s in range(40, 48)]:
+        feed.add([row])
+    drain()
+    assert len(os.listdir(f"{checkpoint}/carried")) <= 4  # what is carried does not pile up
 
 
 def test_upsert_sink_and_change_stream(spark, tmp_path):
@@ -179,6 +183,11 @@ def test_upsert_sink_and_change_stream(spark, tmp_path):
     assert {(r.order_number, r.first_name) for r in latest.collect()} == {(1, "eve"), (2, "bob")}
     followed = run(K.stream_log(spark, path, flat.schema), "followed", "append", tmp_path / "cp2")
     assert followed.count() == 4
+    files = sorted((tmp_path / "log").glob("*/*.parquet"))
+    K.write_commit(log.filter("_commit = 2").select(*flat.columns), path, 2, once=True)  # a repeated batch leaves the files alone
+    assert sorted((tmp_path / "log").glob("*/*.parquet")) == files
+    again = run(K.stream_log(spark, path, flat.schema), "again", "append", tmp_path / "cp3")
+    assert again.count() == 4
 
 
 def test_changes_in_update_mode(rocksdb, tmp_path):
@@ -188,17 +197,6 @@ def test_changes_in_update_mode(rocksdb, tmp_path):
     assert bag(got) == [("a", 1), ("a", 3), ("b", 5)]
 
 
-def test_paced_replay_keeps_file_order(spark, tmp_path):
-    source = tmp_path / "clicks.txt"
-    source.write_text("\n".join(CLICKS), encoding="utf-8")
-    assert spread_lines(str(source), str(tmp_path / "replay")) == 11
-    seen = []
-    df = parse_clicks(text_stream(spark, str(tmp_path / "replay")))
-    writer = sinks.batch_sink(df, lambda batch, n: seen.append([r.click_key for r in batch.collect()]), str(tmp_path / "cp"), available_now=True)
-    writer.start().awaitTermination()
-    assert [keys for keys in seen if keys] == [["-".join(line.split(",")[:2])] for line in CLICKS]
-
-
 def test_text_sink_stream(spark, tmp_path):
     (tmp_path / "in").mkdir()
     (tmp_path / "in" / "one.txt").write_text("a 1\nbroken\na 4\n")
@@ -209,7 +207,7 @@ def test_text_sink_stream(spark, tmp_path):
 
 def test_console_and_table_writers(spark, tmp_path):
     feed = Feed(spark, tmp_path / "in", EVENT).add([(at(0), 1)])
-    query = sinks.print_sink(feed.stream(), "append").start()
+    query = sinks.preview_sink(feed.stream(), 20, "append").start()
     query.processAllAvailable()
     query.stop()
     spark.sql("DROP TABLE IF EXISTS streamed_rows")

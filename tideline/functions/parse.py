@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+_BROKEN, _TEXT = "_broken", "_text"
+
+
 def csv_fields(line: str | Column, separator: str = ",") -> Column:
     """Split on a literal separator."""
     return F.split(line, re.escape(separator))
@@ -83,11 +86,18 @@ def tokens(df: DataFrame, text: str, separator: str = ",", keep: tuple[str, ...]
 
 def parse_json(df: DataFrame, schema: T.StructType | str, value: str = "value",
                keep: tuple[str, ...] = ()) -> DataFrame:
-    """JSON text to columns: missing or unparsable fields become NULL, malformed text is dropped."""
+    """JSON objects to columns: missing fields and fields of a wrong type become NULL; of a repeated name the last counts.
+
+    A text that is no JSON, or whose root is not an object, is dropped. A text is parsed once; only one with damage
+    is read again, to tell a wrong field from a broken text.
+    """
     text = F.col(value).cast("string")
-    parsed = F.from_json(text, schema, {"mode": "PERMISSIVE"})
-    return (
-        df.filter(F.try_parse_json(text).isNotNull())
-        .select(*keep, parsed.alias("_j"))
-        .select(*keep, "_j.*")
-    )
+    if isinstance(schema, str):
+        schema = T._parse_datatype_string(schema)
+    marked = T.StructType([*schema.fields, T.StructField(_BROKEN, T.StringType())])
+    parsed = F.from_json(text, marked, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BROKEN})
+    # Behind an explode the parsed value is a column of its own, so the filter below does not parse again.
+    rows = df.filter(text.rlike(r"^[ \t\r\n]*\{")).select(*keep, text.alias(_TEXT), F.explode_outer(F.array(parsed)).alias("_j"))
+    whole = F.from_json(_TEXT, "map<string,string>", {"mode": "PERMISSIVE"}).isNotNull()
+    sound = F.when(F.col(f"_j.{_BROKEN}").isNull(), F.lit(True)).otherwise(whole)
+    return rows.filter(sound).select(*keep, *[F.col("_j").getField(n).alias(n) for n in schema.names])

@@ -23,7 +23,7 @@ def register_functions(spark: SparkSession, hash_factor: int = S.HASH_FACTOR) ->
     spark.sql(f"""
         CREATE OR REPLACE TEMPORARY FUNCTION user_scalar_func(n BIGINT) RETURNS {S.USER_TYPE}
         RETURN CASE WHEN n IS NOT NULL THEN named_struct(
-            'age', CAST(pmod(n + 2147483648L, 4294967296L) - 2147483648L AS INT),
+            'age', CAST(pmod(n, 4294967296L) - CASE WHEN pmod(n, 4294967296L) < 2147483648L THEN 0L ELSE 4294967296L END AS INT),
             'name', CASE WHEN n BETWEEN {low} AND {high} THEN '{S.LOW_NAME}' ELSE '{S.HIGH_NAME}' END,
             'totalBalance', CAST(CASE WHEN n BETWEEN {low} AND {high} THEN {S.LOW_BALANCE}
                                  ELSE {S.HIGH_BALANCE} END AS {S.BALANCE_TYPE})) END""")

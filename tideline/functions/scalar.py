@@ -16,8 +16,9 @@ HASH_FACTOR = 12
 
 
 def wrap_int(value: Column) -> Column:
-    """Two's-complement wrap of a BIGINT into INT; never an ANSI overflow error."""
-    return (F.pmod(value + F.lit(1 << 31), F.lit(1 << 32)) - F.lit(1 << 31)).cast("int")
+    """Two's-complement wrap of any BIGINT into INT; never an ANSI overflow error."""
+    low = F.pmod(value, F.lit(1 << 32))
+    return F.when(low < F.lit(1 << 31), low).otherwise(low - F.lit(1 << 32)).cast("int")
 
 
 def java_hash(text: str | Column, factor: int = HASH_FACTOR) -> Column:

@@ -1,28 +1,32 @@
 """Interval deduplication: per key, pass a row, then drop rows until `interval` after the passed row.
 
 The chain "next passed = first stamp at or after last passed + interval" is sequential, so a key that holds
-a large share of the table needs more than a sort per key. Two routes, chosen per key by its row count:
+a large share of the table needs more than a sort per key. All work is done on distinct (key, stamp) pairs, grouped by the
+typed key columns themselves. Two ways through them, which pass the same rows:
 
-* light keys fold their sorted rows inside one aggregate, in the JVM;
+* light keys: a stamp at least `interval` after the one before it starts a chain anew. Sorted stamps are read as a
+  stream, chain by chain, many keys in one task;
 * heavy keys are cut into time chunks. A chunk is summarised, whatever comes before it, as a step function
   "earliest stamp allowed at entry -> earliest stamp allowed at exit". Step functions of neighbouring chunks
-  compose level by level; then the entries go back down and each chunk picks its rows. A task never holds
-  more than the distinct stamps of a few intervals.
+  compose level by level; then the entries go back down and each chunk picks its rows. A task holds
+  the distinct stamps of a few intervals.
+
+How many stamps make a key heavy is a matter of speed alone.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tideline.functions.times import duration_us, micros
 
-LIGHT_ROWS = 10_000
-KEY_BUCKETS = 1 << 20
+LIGHT_STAMPS = 1_000_000
 INTERVALS_PER_CHUNK = 8
 FAN_IN = 64
 LEVELS = 3
@@ -31,46 +35,54 @@ _NEVER = np.iinfo(np.int64).min
 
 def dedup_interval(
     df: DataFrame, keys: Sequence[str], ts: str, interval: str, order: str, *,
-    light_rows: int = LIGHT_ROWS, intervals_per_chunk: int = INTERVALS_PER_CHUNK,
+    light_stamps: int = LIGHT_STAMPS, intervals_per_chunk: int = INTERVALS_PER_CHUNK,
     fan_in: int = FAN_IN, levels: int = LEVELS,
 ) -> DataFrame:
-    """Rows that pass, unchanged. `order` is a unique column that decides between equal stamps."""
+    """Rows that pass, unchanged; columns of any type. `order` is a unique column that decides between equal stamps.
+
+    NULL keys form a group of their own; rows with a NULL stamp never pass.
+    """
     keys = list(keys)
     step = duration_us(interval)
     if step <= 0:
         raise ValueError("interval must be positive")
-    rows = df.filter(F.col(ts).isNotNull()).withColumn("_b", F.pmod(F.xxhash64(*keys), F.lit(KEY_BUCKETS)))
-    # Keys are routed by hash bucket, so the broadcast has at most KEY_BUCKETS numbers whatever the data. A
-    # light key that shares a bucket with a heavy one takes the heavy route, with the same result.
-    heavy = F.broadcast(
-        rows.groupBy(*keys, "_b").agg(F.count("*").alias("_n")).filter(F.col("_n") > light_rows).select("_b").distinct()
-    )
-    light = _fold_light(rows.join(heavy, "_b", "left_anti").select(*df.columns), keys, ts, order, step)
-    resolved = _resolve_heavy(
-        rows.join(heavy, "_b", "left_semi").select(*df.columns), keys, ts, order, step, intervals_per_chunk, fan_in, levels
-    )
-    return light.unionByName(resolved)
-
-
-def _fold_light(rows: DataFrame, keys: list[str], ts: str, order: str, step: int) -> DataFrame:
-    """Fold each key's sorted rows; their number is bounded by the route choice."""
-    ordered = F.array_sort(F.collect_list(F.struct(
-        micros(ts).alias("us"), F.col(order).alias("place"), F.struct(*rows.columns).alias("record")
-    )))
-    start = F.struct(F.lit(int(_NEVER)).alias("free"), F.filter("_rows", lambda row: F.lit(False)).alias("out"))
-
-    def visit(acc, row):
-        return F.when(
-            row["us"] >= acc["free"],
-            F.struct((row["us"] + step).alias("free"), F.concat(acc["out"], F.array(row)).alias("out")),
-        ).otherwise(acc)
-
-    return (
-        rows.groupBy(*keys)
-        .agg(ordered.alias("_rows"))
-        .select(F.inline(F.aggregate("_rows", start, visit, lambda acc: acc["out"])))
-        .select("record.*")
-    )
+    rows = df.filter(F.col(ts).isNotNull())
+    named = {f"_k{i}": F.col(k) for i, k in enumerate(keys)}
+    # The first arrival of each (key, stamp) stands for its equals: none of the others can pass.
+    stamps = (rows.select(*[c.alias(n) for n, c in named.items()], micros(ts).alias("_us"), F.col(order).alias("_first"))
+              .groupBy(*named, "_us").agg(F.min("_first").alias("_first")))
+    heavy = (stamps.groupBy(*named).agg(F.count("*").alias("_n")).filter(F.col("_n") > light_stamps)
+             .select(*[F.col(n).alias(f"_h{i}") for i, n in enumerate(named)]))
+    same = F.lit(True)
+    for i, n in enumerate(named):
+        same = same & F.col(n).eqNullSafe(F.col(f"_h{i}"))
+    light = _pass_light(stamps.join(heavy, same, "left_anti"), list(named), step)
+    resolved = _resolve_heavy(stamps.join(heavy, same, "left_semi"), list(named), step, intervals_per_chunk, fan_in, levels)
+    passed = light.unionByName(resolved).withColumnRenamed("_first", order)
+    return rows.join(passed, order, "left_semi").select(*df.columns)
+
+
+def _pass_light(stamps: DataFrame, keys: list[str], step: int) -> DataFrame:
+    """_first of the stamps that pass, for keys of bounded length."""
+    before = F.lag("_us").over(Window.partitionBy(*keys).orderBy("_us"))
+    sorted_rows = stamps.withColumn("_anew", F.coalesce(F.col("_us") - before >= step, F.lit(True))).sortWithinPartitions(*keys, "_us")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        free = int(_NEVER)
+        for batch in batches:
+            us, anew = batch.column(0).to_numpy(), batch.column(1).to_numpy(zero_copy_only=False)
+            passed = []
+            cuts = [0, *np.flatnonzero(anew).tolist(), len(us)]
+            for k, (begin, end) in enumerate(zip(cuts, cuts[1:])):
+                if k:  # the first part goes on with the chain of the batch before
+                    free = int(_NEVER)
+                while (begin := begin + int(np.searchsorted(us[begin:end], free))) < end:
+                    passed.append(begin)
+                    free = int(us[begin]) + step
+            yield pa.RecordBatch.from_arrays([batch.column(2).take(pa.array(passed, pa.int64()))], ["_first"])
+
+    ready = sorted_rows.select("_us", "_anew", "_first")
+    return ready.mapInArrow(run, T.StructType([ready.schema["_first"]]))
 
 
 # -- step functions -----------------------------------------------------------------------------------
@@ -121,19 +133,23 @@ def _compose(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np
 
 
 # -- heavy keys ---------------------------------------------------------------------------------------
-
-_FUNCTION = "_key string, _up long, _chunk long, _at array<long>, _to array<long>"
-_ENTRY = "_key string, _chunk long, _entry long"
+# Every table here carries the typed key columns beside the numbers, and is grouped by them.
 
 
 def _longs(table: pa.Table, name: str) -> np.ndarray:
     return table.column(name).to_numpy().astype(np.int64, copy=False)
 
 
-def _function_row(key: str, up: int, chunk: int, function: tuple[np.ndarray, np.ndarray]) -> pa.Table:
-    arrays = [pa.array([values], pa.list_(pa.int64())) for values in function]
-    return pa.table([pa.array([key], pa.string()), pa.array([up], pa.int64()), pa.array([chunk], pa.int64()), *arrays],
-                    names=["_key", "_up", "_chunk", "_at", "_to"])
+def _with_key(key: pa.Table, numbers: dict[str, pa.Array]) -> pa.Table:
+    """A table with the (single-row) key repeated."""
+    n = len(next(iter(numbers.values())))
+    at = pa.array(np.zeros(n, np.int64))
+    return pa.table({**{c: key.column(c).take(at) for c in key.column_names}, **numbers})
+
+
+def _function_row(key: pa.Table, up: int, chunk: int, function: tuple[np.ndarray, np.ndarray]) -> pa.Table:
+    at, to = (pa.array([values], pa.list_(pa.int64())) for values in function)
+    return _with_key(key, {"_up": pa.array([up]), "_chunk": pa.array([chunk]), "_at": at, "_to": to})
 
 
 def _functions(table: pa.Table) -> tuple[np.ndarray, list[tuple[np.ndarray, np.ndarray]]]:
@@ -146,46 +162,46 @@ def _functions(table: pa.Table) -> tuple[np.ndarray, list[tuple[np.ndarray, np.n
     ]
 
 
-def _entries(table: pa.Table, entry: int) -> pa.Table:
+def _entries(table: pa.Table, key: pa.Table, entry: int) -> pa.Table:
     """Entry of each chunk in turn, from the entry of the first."""
     chunks, functions = _functions(table)
     found = []
     for function in functions:
         found.append(entry)
         entry = int(_apply(*function, np.array([entry], dtype=np.int64))[0])
-    keys = [table.column("_key")[0].as_py()] * len(found)
-    return pa.table([pa.array(keys, pa.string()), pa.array(chunks, pa.int64()), pa.array(found, pa.int64())],
-                    names=["_key", "_chunk", "_entry"])
+    return _with_key(key, {"_chunk": pa.array(chunks, pa.int64()), "_entry": pa.array(found, pa.int64())})
 
 
-def _resolve_heavy(rows: DataFrame, keys: list[str], ts: str, order: str, step: int, intervals: int, fan_in: int,
-                   levels: int) -> DataFrame:
+def _resolve_heavy(stamps: DataFrame, keys: list[str], step: int, intervals: int, fan_in: int, levels: int) -> DataFrame:
+    """_first of the stamps that pass, for keys of any length."""
     width = step * intervals
-    named = rows.withColumns({"_key": F.to_json(F.struct(*keys)), "_us": micros(ts)})
-    # The first arrival of each (key, stamp) stands for its equals: none of the others can pass.
-    stamps = named.groupBy("_key", "_us").agg(F.min(order).alias("_first")).withColumn("_chunk", _floor_div("_us", width))
-    chunked = stamps.select("_key", "_chunk", "_us", "_first")
-
-    def summarise(key, table):
-        name, number = key[0].as_py(), key[1].as_py()
-        function = _chunk_function(np.sort(_longs(table, "_us")), step, number * width)
-        return _function_row(name, number // fan_in, number, function)
-
-    def merge(key, table):
-        name, number = key[0].as_py(), key[1].as_py()
-        return _function_row(name, number // fan_in, number, _compose(_functions(table)[1]))
-
-    layers = [chunked.drop("_first").groupBy("_key", "_chunk").applyInArrow(summarise, _FUNCTION)]
+    chunked = stamps.withColumn("_chunk", _floor_div("_us", width))
+    key_fields = [stamps.schema[k] for k in keys]
+    longs = lambda *names: [T.StructField(n, T.LongType()) for n in names]
+    function = T.StructType([*key_fields, *longs("_up", "_chunk"), *[T.StructField(n, T.ArrayType(T.LongType())) for n in ("_at", "_to")]])
+    entry = T.StructType([*key_fields, *longs("_chunk", "_entry")])
+
+    def summarise(table):
+        number = int(_longs(table, "_chunk")[0])
+        found = _chunk_function(np.sort(_longs(table, "_us")), step, number * width)
+        return _function_row(table.select(keys).slice(0, 1), number // fan_in, number, found)
+
+    def merge(table):
+        number = int(_longs(table, "_up")[0])
+        return _function_row(table.select(keys).slice(0, 1), number // fan_in, number, _compose(_functions(table)[1]))
+
+    layers = [chunked.drop("_first").groupBy(*keys, "_chunk").applyInArrow(summarise, function)]
     for _ in range(levels):
-        layers.append(layers[-1].groupBy("_key", "_up").applyInArrow(merge, _FUNCTION))
+        layers.append(layers[-1].groupBy(*keys, "_up").applyInArrow(merge, function))
 
-    entries = layers[-1].groupBy("_key").applyInArrow(lambda table: _entries(table, int(_NEVER)), _ENTRY)
+    entries = layers[-1].groupBy(*keys).applyInArrow(
+        lambda table: _entries(table, table.select(keys).slice(0, 1), int(_NEVER)), entry)
 
     def descend(known, table):
-        return _entries(table, int(_longs(known, "_entry")[0]))
+        return _entries(table, known.select(keys).slice(0, 1), int(_longs(known, "_entry")[0]))
 
     for layer in reversed(layers[:-1]):
-        entries = entries.groupBy("_key", "_chunk").cogroup(layer.groupBy("_key", "_up")).applyInArrow(descend, _ENTRY)
+        entries = entries.groupBy(*keys, "_chunk").cogroup(layer.groupBy(*keys, "_up")).applyInArrow(descend, entry)
 
     def pick(known, table):
         stamps_us = _longs(table, "_us")
@@ -195,14 +211,11 @@ def _resolve_heavy(rows: DataFrame, keys: list[str], ts: str, order: str, step:
         while (at := int(np.searchsorted(us, free, side="left"))) < len(us):
             found.append(at)
             free = int(us[at]) + step
-        return table.select(["_key", "_us", "_first"]).take(pa.array(rank[np.array(found, dtype=np.int64)]))
+        return table.select(["_first"]).take(pa.array(rank[np.array(found, dtype=np.int64)]))
 
-    picked = entries.groupBy("_key", "_chunk").cogroup(chunked.groupBy("_key", "_chunk")).applyInArrow(
-        pick, chunked.select("_key", "_us", "_first").schema
+    return entries.groupBy(*keys, "_chunk").cogroup(chunked.groupBy(*keys, "_chunk")).applyInArrow(
+        pick, T.StructType([chunked.schema["_first"]])
     )
-    return named.join(
-        picked.withColumnRenamed("_first", order), ["_key", "_us", order], "left_semi"
-    ).select(*rows.columns)
 
 
 def _floor_div(column: str, width: int) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tideline.operators.running import running, seq_bucket
@@ -70,35 +70,13 @@ def assign_ids(df: DataFrame, ts: str, worker: Column, order: str, name: str = "
     millisecond. A worker has 4,096 ids per millisecond; further rows take the next free milliseconds, as a
     generator that waits for the clock would hand them out.
 
-    Only a worker with a millisecond of more than 4,096 rows needs slots beyond the row's own millisecond;
-    all others take one window over groups that are known to be small.
-    """
-    rows = df.withColumns({"_worker": worker.cast("bigint"), "_ms": F.unix_millis(F.col(ts).cast("timestamp"))})
-    totals = rows.groupBy("_worker", "_ms").agg(F.count("*").alias("_n"))
-    # At most one row per valid worker, so safe to broadcast.
-    crowded = F.broadcast(
-        totals.filter((F.col("_n") > PER_MS) & F.col("_worker").between(0, WORKERS - 1)).select("_worker").distinct()
-    )
-    rank = F.row_number().over(Window.partitionBy("_worker", "_ms").orderBy(order)) - 1
-    roomy = rows.join(crowded, "_worker", "left_anti").withColumn("_slot", F.col("_ms") * PER_MS + rank)
-    spilling = _spill(
-        rows.join(crowded, "_worker", "left_semi"), totals.join(crowded, "_worker", "left_semi"),
-        order, bucket_bits, ms_bits,
-    )
-    slot = F.col("_slot")
-    return roomy.unionByName(spilling).withColumn(
-        name,
-        encode_id(F.shiftright(slot, SEQUENCE_BITS), F.col("_worker"), slot.bitwiseAND(_mask(SEQUENCE_BITS))),
-    ).drop("_worker", "_ms", "_slot")
-
-
-def _spill(rows: DataFrame, totals: DataFrame, order: str, bucket_bits: int, ms_bits: int) -> DataFrame:
-    """Slots for workers whose milliseconds overflow.
-
     A worker's rows, in order, take slots p = max(previous + 1, ms * 4096). With c rows before a millisecond
     and M the running maximum of (ms * 4096 - c), its first slot is c + M: a running count and a running
-    maximum over (worker, ms) totals. Inside a millisecond a third running count goes on from that slot.
+    maximum over (worker, ms) totals. Inside a millisecond a third running count goes on from that slot. Whole rows
+    move once, whatever the crowding; `order` may be sparse.
     """
+    rows = df.withColumns({"_worker": worker.cast("bigint"), "_ms": F.unix_millis(F.col(ts).cast("timestamp"))})
+    totals = rows.groupBy("_worker", "_ms").agg(F.count("*").alias("_n"))
     by_time = F.shiftright(F.col("_ms"), ms_bits)
     counted = running(totals, ["_worker"], ["_ms"], {"_c": ("sum", "_n")}, by_time)
     counted = counted.withColumn("_c", F.coalesce("_c_before", F.lit(0).cast("bigint"))).drop("_c_before")
@@ -106,6 +84,10 @@ def _spill(rows: DataFrame, totals: DataFrame, order: str, bucket_bits: int, ms_
         counted, ["_worker"], ["_ms"], {"_m": ("max", F.col("_ms") * PER_MS - F.col("_c"))}, by_time
     ).select("_worker", "_ms", (F.col("_c") + F.col("_m")).alias("_slot"))
     ranked = running(
-        rows, ["_worker", "_ms"], [order], {"_slot": ("count", F.lit(1))}, seq_bucket(order, bucket_bits), start=first
+        rows, ["_worker", "_ms"], [order], {"_slot": ("count", F.lit(1))}, seq_bucket(order, bucket_bits), levels=2, start=first
     )
-    return ranked.withColumn("_slot", F.col("_slot_before")).drop("_slot_before")
+    slot = F.col("_slot_before")
+    return ranked.withColumn(
+        name,
+        encode_id(F.shiftright(slot, SEQUENCE_BITS), F.col("_worker"), slot.bitwiseAND(_mask(SEQUENCE_BITS))),
+    ).drop("_worker", "_ms", "_slot", "_slot_before")

@@ -50,13 +50,16 @@ def incremental(log: DataFrame, keys, ordering: str, frm: int, to: int, tie: Seq
 def compaction_commit(log: DataFrame, every: int = 3) -> DataFrame:
     """One row `last`: the commit of the last compaction when every `every`-th commit compacts; NULL before it.
 
-    Only the distinct commit numbers are gathered.
+    Commits are counted; of their numbers only the largest `every` are gathered.
     """
     if every < 1:
         raise ValueError("every must be at least 1")
-    commits = log.select(COMMIT).distinct().agg(F.array_sort(F.collect_list(COMMIT)).alias("all"))
-    done = (F.floor(F.size("all") / F.lit(every)) * every).cast("int")
-    return commits.select(F.try_element_at("all", F.nullif(done, F.lit(0))).alias("last"))
+    commits = log.select(COMMIT).distinct()
+    top = commits.orderBy(F.desc(COMMIT)).limit(every).agg(F.sort_array(F.collect_list(COMMIT), asc=False).alias("top"))
+    counted = commits.agg(F.count("*").alias("n")).scalar()
+    # The last compaction lies behind the n % every newest commits.
+    place = F.when(counted >= every, (counted % every).cast("int") + 1)
+    return top.select(F.try_element_at("top", place).alias("last"))
 
 
 def read_optimized(log: DataFrame, keys, ordering: str, every: int = 3, tie: Sequence[str] = ()) -> DataFrame:
@@ -115,16 +118,29 @@ def evolve(*logs: DataFrame) -> DataFrame:
     return first
 
 
-def write_commit(rows: DataFrame, path: str, commit: int, op: str = UPSERT, partition_by: Sequence[str] = ()) -> None:
+def _complete(spark: SparkSession, folder: str) -> bool:
+    """Whether a write into the folder has been committed."""
+    mark = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/_SUCCESS")
+    return mark.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(mark)
+
+
+def write_commit(rows: DataFrame, path: str, commit: int, op: str = UPSERT, partition_by: Sequence[str] = (),
+                 once: bool = False) -> None:
     """Write one commit of a log. A commit has its own folder, which a repeated write replaces.
 
+    once: a commit that is already complete stays as it is. A replaced folder has new files, which `stream_log` would
+    follow as new rows, so a writer that may repeat itself (a streaming batch) asks for this.
+
     The rebalance hint gathers a partition value into few files, and still splits a value with very many rows.
     """
+    folder = f"{path}/{COMMIT}={int(commit)}"
+    if once and _complete(rows.sparkSession, folder):
+        return
     by = list(partition_by)
     staged = rows.withColumn(OP, F.lit(op))
     if by:
         staged = staged.hint("rebalance", *by).sortWithinPartitions(*by)
-    staged.write.mode("overwrite").partitionBy(*by).parquet(f"{path}/{COMMIT}={int(commit)}")
+    staged.write.mode("overwrite").partitionBy(*by).parquet(folder)
 
 
 def bulk_insert(rows: DataFrame, path: str, commit: int, partition_by: Sequence[str] = ()) -> None:

@@ -13,7 +13,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tideline.session import ensure_checkpoint_dir
 
 _MERGE = {"sum": F.sum, "count": F.sum, "max": F.max, "min": F.min}
 _BUCKET, _COARSE, _HEAD = "_bucket", "_coarse", "_head"
@@ -32,19 +31,19 @@ def _with_heads(rows: DataFrame, heads: DataFrame) -> DataFrame:
     )
 
 
-def _prefix(summary: DataFrame, keys: list[str], merge: dict[str, str], fold_bits: int | None) -> DataFrame:
-    """Exclusive prefix over the buckets of each key; with fold_bits in two levels, so that no task sees
-    all buckets of a key."""
+def _prefix(summary: DataFrame, keys: list[str], merge: dict[str, str], fold_bits: int, levels: int) -> DataFrame:
+    """Exclusive prefix over the buckets of each key, folded `levels` times, so that no task sees all buckets of a key."""
 
     def exclusive(frame: DataFrame, by: list, order: list) -> DataFrame:
         before = Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
         return frame.select(*keys, *order, *[_MERGE[kind](name).over(before).alias(name) for name, kind in merge.items()])
 
-    if fold_bits is None:
-        return exclusive(summary, keys, [_BUCKET])
+    if levels == 0:
+        return exclusive(summary, keys or [F.lit(0)], [_BUCKET])
     leveled = summary.withColumn(_COARSE, F.shiftright(F.col(_BUCKET), fold_bits))
     tops = leveled.groupBy(*keys, _COARSE).agg(*[_MERGE[kind](name).alias(name) for name, kind in merge.items()])
-    stacked = _with_heads(leveled, exclusive(tops, keys or [F.lit(0)], [_COARSE]))
+    above = _prefix(tops.withColumnRenamed(_COARSE, _BUCKET), keys, merge, fold_bits, levels - 1)
+    stacked = _with_heads(leveled, above.withColumnRenamed(_BUCKET, _COARSE))
     before = Window.partitionBy(*keys, _COARSE).orderBy(F.desc(_HEAD), _BUCKET).rowsBetween(Window.unboundedPreceding, -1)
     return stacked.select(
         *keys, _BUCKET, _HEAD, *[_MERGE[kind](name).over(before).alias(name) for name, kind in merge.items()]
@@ -57,7 +56,8 @@ def running(
     order: Sequence[str],
     aggs: dict[str, tuple[str, str | Column]],
     bucket: Column,
-    fold_bits: int | None = None,
+    fold_bits: int = FOLD_BITS,
+    levels: int = 1,
     start: DataFrame | None = None,
 ) -> DataFrame:
     """Add, per aggregate, `<name>` (up to and with the row) and `<name>_before` (rows before it).
@@ -65,8 +65,9 @@ def running(
     aggs: {name: (kind, column)} with kind in sum, count, max, min.
     order: columns that order the rows of a key uniquely; ascending.
     bucket: an integer that never decreases in that order. Rows of one (key, bucket) share a task.
-    fold_bits: 2**fold_bits buckets share a task when the prefix over buckets is formed. Without it a key's buckets
-        do, but a frame without keys always folds (by 16 bits).
+    fold_bits: 2**fold_bits buckets share a task when the prefix over buckets is formed, for every key.
+    levels: how often buckets are folded. One level suits dense numbers; if `order` is a sparse number (a hash, an
+        id), two levels leave the last task at most 2**16 rows of a key whatever the numbers are.
     start: per key, one row with a value for each (sum or count) aggregate to begin from.
     """
     keys, order = list(keys), list(order)
@@ -80,7 +81,7 @@ def running(
 
     rows = df.withColumns({_BUCKET: bucket.cast("bigint"), **source})
     summary = rows.groupBy(*keys, _BUCKET).agg(*[_MERGE[k](n).alias(n) for n, k in merge.items()])
-    heads = _prefix(summary, keys, merge, fold_bits or (None if keys else FOLD_BITS))
+    heads = _prefix(summary, keys, merge, fold_bits, levels)
     if start is not None:
         begin = start.select(*keys, *[F.col(name).alias(f"_start_{name}") for name in aggs])
         heads = heads.join(begin, keys, "left").select(
@@ -104,19 +105,11 @@ def running(
     )
 
 
-def number_rows(df: DataFrame, order: Sequence[str], name: str = "seq", partitions: int | None = None) -> DataFrame:
-    """Dense row number from 0 in the order of any columns, without a single-task sort.
+def number_rows(df: DataFrame, order: Sequence[str], bucket: Column, name: str = "seq") -> DataFrame:
+    """Dense row number from 0 in the order of any columns that order the rows uniquely, without a single-task sort.
 
-    The range partition of a row depends on sampling, so the ranged table is checkpointed once: its part
-    numbers then stay fixed even if executors are lost.
+    bucket: an integer that never decreases in that order, such as the minute of the first column. Rows of one
+    bucket share a task. Nothing runs before the result is used.
     """
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    partitions = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (
-        df.repartitionByRange(partitions, *order)
-        .withColumn("_part", F.spark_partition_id())
-        .checkpoint()
-    )
-    numbered = running(ranged, [], order, {"_n": ("count", F.lit(1))}, F.col("_part"))
-    return numbered.withColumn(name, F.col("_n_before")).drop("_n", "_n_before", "_part")
+    numbered = running(df, [], order, {"_n": ("count", F.lit(1))}, bucket, levels=2)
+    return numbered.withColumn(name, F.col("_n_before")).drop("_n", "_n_before")

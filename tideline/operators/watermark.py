@@ -32,7 +32,7 @@ def replay_watermark(
 
     start_max: largest timestamp seen before this table, to go on from an earlier part of a stream.
     """
-    seen = running(df, [], [seq], {"_max_ts": ("max", ts)}, seq_bucket(seq, bucket_bits))
+    seen = running(df, [], [seq], {"_max_ts": ("max", ts)}, seq_bucket(seq, bucket_bits), levels=2)
     max_before = F.col("_max_ts_before")
     if start_max is not None:
         max_before = F.greatest(max_before, F.lit(start_max).cast(df.schema[ts].dataType))

@@ -87,24 +87,6 @@ def multi_window_pv_uv(df: DataFrame, ts: str, id_col: str, sizes: Sequence[str]
     )
 
 
-def cumulate(df: DataFrame, ts: str, step: str, max_size: str) -> DataFrame:
-    """Every cumulative window that contains the row, one row each.
-
-    This is the plain definition and makes up to max_size/step copies; `cumulate_pv_uv` needs none.
-    """
-    step_us, max_us = _cumulate_sizes(step, max_size)
-    us, kind = micros(ts), type_of(df, ts)
-    start = us - F.pmod(us, F.lit(max_us))
-    first_end = us - F.pmod(us, F.lit(step_us)) + step_us
-    return (
-        df.filter(F.col(ts).isNotNull())
-        .withColumn("_start", start)
-        .withColumn("_end", F.explode(F.sequence(first_end, start + max_us, F.lit(step_us))))
-        .withColumns({"window_start": from_micros(F.col("_start"), kind), "window_end": from_micros(F.col("_end"), kind)})
-        .drop("_start", "_end")
-    )
-
-
 def _cumulate_sizes(step: str, max_size: str) -> tuple[int, int]:
     step_us, max_us = duration_us(step), duration_us(max_size)
     if step_us <= 0 or max_us % step_us:

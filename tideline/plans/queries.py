@@ -164,7 +164,8 @@ def late_by_arrival_time(spark, folder):
         F.unix_micros(F.col("ts").cast("timestamp")) + F.pmod(F.col("event_id") * 7919, F.lit(3600)) * 1_000_000
     )
     arrived = _events(spark, folder).select("event_id", "ts").withColumn("arrival", jitter)
-    numbered = running.number_rows(arrived, ["arrival", "event_id"])
+    minute = F.expr("unix_micros(arrival) div 60000000")
+    numbered = running.number_rows(arrived, ["arrival", "event_id"], minute)
     tagged = watermark.tag_late(numbered, "ts", "seq", "30 minutes", "10 minutes")
     return tagged.select("event_id", "seq", "window_end", F.col("is_late").alias("late"))
 
@@ -203,7 +204,7 @@ def dedup_interval(spark, folder):
 def dedup_interval_heavy(spark, folder):
     """The same by event type, every key on the route for heavy keys."""
     passed = dedup.dedup_interval(
-        _events(spark, folder), ["event_type"], "ts", "1 hour", "event_id", light_rows=0, fan_in=8, levels=2
+        _events(spark, folder), ["event_type"], "ts", "1 hour", "event_id", light_stamps=0, fan_in=8, levels=2
     )
     return passed.select("event_id", "event_type", "ts")
 

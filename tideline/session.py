@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import SparkSession
 
 SETTINGS = {
@@ -41,28 +39,6 @@ def local_session(cores: int | str = 8, app: str = "tideline", partitions: int |
     return configure(builder.getOrCreate())
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The shared folder for checkpoints and intermediate tables.
-
-    The cluster names it in `spark.checkpoint.dir`. Only a session that lacks the setting (a test) gets
-    a folder of its own, which is refused outside local mode because executors could not see it.
-    """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="tideline-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
-
-
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Make `DataFrame.checkpoint` usable; an already set folder stays."""
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_dir(spark))
-
-
 def ignore_idle_sources(spark: SparkSession, ignore: bool = True) -> None:
     """Let the fastest of several sources set the watermark, so that an idle one does not hold it back.
 

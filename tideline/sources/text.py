@@ -1,9 +1,7 @@
-"""Text lines: files, paced replay and sockets."""
+"""Text lines: files and sockets."""
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,23 +22,6 @@ def text_stream(spark: SparkSession, folder: str, files_per_trigger: int = 1) ->
     return spark.readStream.option("maxFilesPerTrigger", files_per_trigger).text(folder)
 
 
-def spread_lines(path: str, folder: str, first_mtime: int = 1_600_000_000) -> int:
-    """Write each line of a small file to a file of its own for paced replay; returns their number.
-
-    Replayed with one file per trigger, and a one-second trigger, this gives one line per second in file order.
-    It is a demonstration source: the file is read line by line here, outside Spark.
-    """
-    os.makedirs(folder, exist_ok=True)
-    count = 0
-    with open(path, encoding="utf-8") as source:
-        for count, line in enumerate(source, start=1):
-            target = os.path.join(folder, f"line-{count:08d}.txt")
-            with open(target, "w", encoding="utf-8") as out:
-                out.write(line.rstrip("\n") + "\n")
-            os.utime(target, (first_mtime + count, first_mtime + count))
-    return count
-
-
 def socket_lines(spark: SparkSession, host: str, port: int) -> DataFrame:
     """Lines from a socket server. Spark's socket source cannot be replayed after a failure."""
     return spark.readStream.format("socket").option("host", host).option("port", port).load()

@@ -64,14 +64,15 @@ def dedup_interval_stream(df: DataFrame, keys: Sequence[str], ts: str, interval:
 
     The default clears a key by an event-time timer. `processing_ttl` lets the state expire by wall clock
     instead; Spark does not mix the two in one operator. A key's rows of one micro-batch that may still pass are
-    held together.
+    held together. By default rows behind the watermark do not reach the state: a row later than `delay` is dropped even if
+    its key is new. Choose `delay` for the disorder of the source, or `processing_ttl`, which has no watermark.
     """
     rows = df.filter(F.col(ts).isNotNull())
     if not processing_ttl:
         rows = with_event_time(rows, ts, delay)
     # Record and key travel as text: whole numbers next to NULLs would become floating point in Python.
     staged = rows.select(
-        F.to_json(F.struct(*keys)).alias("key"), micros(ts).alias("stamp"), F.col(order).alias("place"),
+        F.to_json(F.struct(*keys), _EXACT).alias("key"), micros(ts).alias("stamp"), F.col(order).alias("place"),
         F.to_json(F.struct(*df.columns), _EXACT).alias("record"), *([] if processing_ttl else [EVENT_TIME]),
     )
     return staged.groupBy("key").transformWithStateInPandas(

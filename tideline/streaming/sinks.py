@@ -18,8 +18,9 @@ def _timed(writer: DataStreamWriter, interval: str | None, available_now: bool)
     return writer.trigger(processingTime=interval) if interval else writer
 
 
-def print_sink(df: DataFrame, mode: str = "update", interval: str | None = None, rows: int = 20) -> DataStreamWriter:
-    """Rows to the console. `interval` gives early results of open windows in update mode."""
+def preview_sink(df: DataFrame, rows: int, mode: str = "update", interval: str | None = None) -> DataStreamWriter:
+    """The first `rows` rows of every batch to the console; the rest of a batch is not shown. For the whole output use
+    `text_sink` or `table_sink`. `interval` gives early results of open windows in update mode."""
     writer = df.writeStream.format("console").outputMode(mode).option("truncate", False).option("numRows", rows)
     return _timed(writer, interval, False)
 
@@ -49,12 +50,12 @@ def upsert_sink(df: DataFrame, log_path: str, checkpoint: str, op: str = UPSERT,
                 first_commit: int = 1, interval: str | None = "10 seconds", available_now: bool = False) -> DataStreamWriter:
     """Append each micro-batch to a commit log as commit `first_commit + batch_id`.
 
-    A repeated batch replaces its own commit folder, so each batch counts once. Read the log with
+    A repeated batch finds its commit complete and leaves it, so each batch counts once, here and for followers. Read the log with
     `operators.keyed_table`. Where earlier commits exist, set `first_commit` past them.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        write_commit(batch, log_path, first_commit + batch_id, op, partition_by)
+        write_commit(batch, log_path, first_commit + batch_id, op, partition_by, once=True)
 
     return batch_sink(df, write, checkpoint, "append", interval, available_now)
 
