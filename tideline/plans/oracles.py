@@ -123,6 +123,11 @@ def oracles() -> dict[str, str]:
             UNION ALL SELECT 'all', count(DISTINCT event_id) FROM events""",
         "late_split": f"""WITH {_judged('30 minutes', '10 minutes', '5 minutes')}
             SELECT event_id, window_end, wm_before, late FROM judged""",
+        "late_split_strict": f"""WITH {_judged('30 minutes', '0 seconds')}
+            SELECT event_id, window_end, wm_before, late FROM judged""",
+        "late_split_per_event": f"""WITH {_judged('30 minutes', '0 seconds')},
+            each AS (SELECT event_id, window_end, wm_before + INTERVAL '1 millisecond' AS wm_before FROM judged)
+            SELECT *, coalesce(window_end - INTERVAL '1 millisecond' <= wm_before, false) AS late FROM each""",
         "late_by_arrival_time": f"""WITH numbered AS (SELECT event_id, ts, row_number() OVER (
                 ORDER BY ts + to_seconds(event_id * 7919 % 3600), event_id) - 1 AS seq FROM events),
             marked AS (SELECT *, max(ts) OVER (ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
@@ -143,19 +148,36 @@ def oracles() -> dict[str, str]:
             FROM fired WINDOW w AS (PARTITION BY event_type, window_start, window_end ORDER BY pos)""",
         "windowed_reduce": f"""WITH {_judged('6 hours', '1 hour')},
             grouped AS (SELECT event_type, window_start, window_end, list(floor(value)::BIGINT ORDER BY seq) AS vs
-                        FROM judged WHERE NOT late GROUP BY ALL)
+                        FROM judged WHERE NOT late AND event_id % 9 > 0 AND value IS NOT NULL GROUP BY ALL)
             SELECT event_type, window_start, window_end,
                    event_type || CASE WHEN len(vs) > 1 THEN '_' || array_to_string(vs[2:], '_') ELSE '' END AS label,
                    list_sum(vs)::BIGINT AS total FROM grouped""",
+        "windowed_reduce_parts": f"""WITH {_judged('6 hours', '1 hour')}
+            SELECT event_type, window_start, window_end, seq // 256 AS part, string_agg(floor(value)::BIGINT::VARCHAR, '_' ORDER BY seq) AS piece,
+                   first(floor(value)::BIGINT::VARCHAR ORDER BY seq) AS first_value, sum(floor(value)::BIGINT)::BIGINT AS total, count(*) AS rows
+            FROM judged WHERE NOT late AND event_id % 9 > 0 AND value IS NOT NULL GROUP BY ALL""",
         "distinct_per_key_hour": f"""WITH {_judged('1 hour', '10 minutes')}
             SELECT event_type, window_end AS hour_end, count(DISTINCT user_id) AS devices FROM judged
             WHERE NOT coalesce(window_end + INTERVAL '1 millisecond' < wm_before, false) GROUP BY ALL""",
         "dedup_interval": _dedup("user_id", "12 hours"),
         "dedup_interval_heavy": _dedup("event_type", "1 hour"),
+        "dedup_interval_mixed": f"""WITH RECURSIVE keyed AS (
+                SELECT event_id, ts, CASE WHEN user_id % 3 = 0 THEN -1 ELSE user_id END::BIGINT AS account FROM events),
+            chain(k, t) AS (
+                SELECT account, min(ts) FROM keyed GROUP BY account
+                UNION ALL
+                SELECT c.k, min(e.ts) FROM chain c JOIN keyed e ON e.account = c.k AND e.ts >= c.t + INTERVAL '2 hours' GROUP BY c.k)
+            SELECT min(e.event_id) AS event_id, e.account, e.ts FROM keyed e JOIN chain c ON e.account = c.k AND e.ts = c.t
+            GROUP BY e.account, e.ts""",
+        "arrival_window_pv_uv": f"""WITH arrived AS (SELECT user_id, ts + to_seconds(event_id * 7919 % 3600) AS ts FROM events)
+            SELECT {_bucket('1 hour')} AS window_start, {_bucket('1 hour')} + INTERVAL 1 HOUR AS window_end,
+                   count(user_id) AS pv, count(DISTINCT user_id) AS uv FROM arrived GROUP BY ALL""",
         "changelog": f"{_CHANGES} SELECT * FROM changes",
         "changelog_apply": f"""{_CHANGES} SELECT user_id, result FROM (
             SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY change_seq DESC) AS rn FROM changes)
             WHERE rn = 1 AND row_kind IN ('+I', '+U')""",
+        "changelog_apply_deletes": """SELECT user_id, sum(round(value * 100)::BIGINT)::BIGINT AS result FROM events
+            WHERE user_id IS NULL OR user_id % 5 <> 0 GROUP BY user_id""",
         "java_hash_x12": f"SELECT event_id, ({_hash('props', 12)})::INTEGER AS hash FROM events",
         "java_hash_texts": f"""SELECT lang, sum(h)::BIGINT AS checksum, count(DISTINCT h) AS hashes
             FROM (SELECT lang, ({_hash('text', 7)})::BIGINT AS h FROM documents) GROUP BY lang""",
@@ -163,17 +185,30 @@ def oracles() -> dict[str, str]:
             CASE WHEN event_id % 10 BETWEEN 1 AND 5 THEN 'name1' ELSE 'name2' END AS name,
             CASE WHEN event_id % 10 BETWEEN 1 AND 5 THEN 1.1 ELSE 2.2 END::DOUBLE AS balance,
             CASE WHEN event_id % 10 BETWEEN 1 AND 5 THEN 'name1' ELSE 'name2' END AS name_of_record FROM events""",
+        "user_struct_sql": f"""WITH n AS (SELECT event_id, event_type, CASE WHEN event_id % 17 = 0 THEN 9223372036854775807
+                WHEN event_id % 19 = 0 THEN -9223372036854775808 ELSE event_id % 10 END AS n FROM events)
+            SELECT event_id, CASE WHEN event_id % 17 = 0 THEN -1 WHEN event_id % 19 = 0 THEN 0 ELSE n END::INTEGER AS age,
+                CASE WHEN n BETWEEN 1 AND 5 THEN 'name1' ELSE 'name2' END AS name,
+                CASE WHEN n BETWEEN 1 AND 5 THEN 1.1 ELSE 2.2 END::DOUBLE AS balance,
+                CASE WHEN n BETWEEN 1 AND 5 THEN 'name1' ELSE 'name2' END AS name_of_record,
+                ({_hash('event_type', 12)})::INTEGER AS hash FROM n""",
+        "declared_table": """SELECT strftime(o_orderdate, '%Y-%m-%d') AS order_day, count(o_orderkey) AS orders,
+            sum(o_totalprice::DECIMAL(32, 2))::DOUBLE AS price FROM orders GROUP BY 1""",
+        "parse_temperature_lines": """SELECT event_type AS province, count(DISTINCT user_id) AS cities, max(floor(value))::DOUBLE AS top,
+            sum(epoch_us(date_trunc('second', ts)) // 1000)::BIGINT AS ms FROM events GROUP BY event_type""",
         "json_tolerant": """WITH raw AS (SELECT event_id, CASE
                 WHEN event_id % 7 = 0 THEN substring(props, 1, length(props) - 1)
                 WHEN event_id % 11 = 0 THEN '{"k": "x"}' WHEN event_id % 13 = 0 THEN '{"other": 1}'
-                ELSE props END AS value FROM events)
+                WHEN event_id % 17 = 0 OR event_id % 19 = 0 THEN 'no object' WHEN event_id % 23 = 0 THEN '{"k": 2}'
+                WHEN event_id % 29 = 0 THEN 'no object' ELSE props END AS value FROM events)
             SELECT event_id, TRY_CAST(CASE WHEN json_valid(value) THEN json_extract_string(value, '$.k') END AS INTEGER) AS k
             FROM raw WHERE json_valid(value)""",
         "nested_flatten": """SELECT c_custkey, split_part(c_name, '#', 1) AS first_name,
             split_part(c_name, '#', 2) AS last_name FROM customer""",
         "parse_csv_lines": """SELECT o_orderkey || '-' || o_custkey AS click_key, o_orderdate AS ts FROM orders
             WHERE o_orderstatus = 'F'""",
-        "parse_pairs_tolerant": """SELECT event_type AS k, count(*) AS n, sum(event_id)::BIGINT AS total FROM events
+        "parse_pairs_tolerant": """SELECT event_type AS k, count(*) AS n, sum(event_id)::BIGINT AS total,
+            make_timestamp(max(event_id)::BIGINT * 1000000) AS latest FROM events
             WHERE event_id % 5 IN (1, 4) GROUP BY event_type""",
         "interval_shift": """SELECT event_id, ts - INTERVAL 5 SECOND AS shifted, date_trunc('hour', ts) AS hour,
             epoch_us(ts) // 1000 AS epoch_ms, date_trunc('millisecond', ts) + INTERVAL 8 HOUR AS local_ts,
@@ -184,6 +219,12 @@ def oracles() -> dict[str, str]:
         "read_optimized": _latest("""_commit <= (SELECT max(c) FROM (
             SELECT c, row_number() OVER (ORDER BY c) AS n FROM (SELECT DISTINCT _commit AS c FROM log)) WHERE n % 3 = 0)"""),
         "merge_batch": _latest(),
+        "merge_rows": """SELECT o_custkey, o_orderkey, o_totalprice, o_orderdate FROM (
+            SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, (o_orderkey % 7 > 4) DESC, o_orderkey DESC) AS rn
+            FROM orders) WHERE rn = 1""",
+        "bootstrap_evolve": """SELECT o_orderkey, o_custkey, o_orderstatus, o_orderdate,
+            CASE WHEN o_orderkey % 4 <> 0 THEN o_totalprice END AS o_totalprice,
+            CASE WHEN o_orderkey % 4 = 0 THEN 'again' END AS note FROM orders""",
         "delete_keys": _latest("o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING')"),
         "struct_key_upsert": f"""WITH {_LOG} SELECT a, b, o_orderkey, o_orderdate FROM (
             SELECT o_custkey % 50 AS a, o_custkey > 700 AS b, o_orderkey, o_orderdate, row_number() OVER (

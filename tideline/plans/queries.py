@@ -12,12 +12,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tideline.functions import from_epoch_ms, java_hash, parse_clicks, parse_json, parse_pairs, span, user_func
-from tideline.functions.times import clock
+from tideline.functions import from_epoch_ms, java_hash, parse_clicks, parse_json, parse_pairs, parse_temperatures, span, user_func
+from tideline.functions.register import register_functions
+from tideline.functions.times import clock, epoch_ms
 from tideline.operators import aggregates, dedup, distinct, ids, keyed_table, ordered, running, watermark, windows
 from tideline.operators import changelog as changes
 from tideline.session import configure
-from tideline.sources.tables import testdata
+from tideline.sources.tables import TableSpec, testdata
 
 Query = Callable[[SparkSession, str], DataFrame]
 _REGISTRY: dict[str, Query] = {}
@@ -157,6 +158,20 @@ def late_split(spark, folder):
     return tagged.select("event_id", "window_end", "wm_before", F.col("is_late").alias("late"))
 
 
+@query
+def late_split_strict(spark, folder):
+    """Monotonous watermark: no disorder is tolerated."""
+    tagged = watermark.tag_late(_arrivals(spark, folder), "ts", "seq", "30 minutes", "0 seconds")
+    return tagged.select("event_id", "window_end", "wm_before", F.col("is_late").alias("late"))
+
+
+@query
+def late_split_per_event(spark, folder):
+    """A generator that emits every event's own time as the watermark."""
+    tagged = watermark.tag_late(_arrivals(spark, folder), "ts", "seq", "30 minutes", per_event=True)
+    return tagged.select("event_id", "window_end", "wm_before", F.col("is_late").alias("late"))
+
+
 @query
 def late_by_arrival_time(spark, folder):
     """The same split where arrival is a time with ties, numbered first."""
@@ -180,11 +195,20 @@ def lateness_firings(spark, folder):
 
 @query
 def windowed_reduce(spark, folder):
-    numbered = _arrivals(spark, folder).withColumn("n", F.floor("value").cast("bigint"))
-    on_time, _ = watermark.split_late(numbered, "ts", "seq", "6 hours", "1 hour")
+    """Every 9th arrival has no value."""
+    n = F.when(F.pmod("event_id", F.lit(9)) > 0, F.floor("value").cast("bigint"))
+    on_time, _ = watermark.split_late(_arrivals(spark, folder).withColumn("n", n), "ts", "seq", "6 hours", "1 hour")
     return ordered.ordered_reduce(on_time, "event_type", "seq", "n", windows.BOUNDS)
 
 
+@query
+def windowed_reduce_parts(spark, folder):
+    """The same reduction in pieces of bounded size, the form for groups of any size."""
+    n = F.when(F.pmod("event_id", F.lit(9)) > 0, F.floor("value").cast("bigint"))
+    on_time, _ = watermark.split_late(_arrivals(spark, folder).withColumn("n", n), "ts", "seq", "6 hours", "1 hour")
+    return ordered.ordered_parts(on_time, "event_type", "seq", "n", windows.BOUNDS, part_bits=8)
+
+
 @query
 def distinct_per_key_hour(spark, folder):
     judged = watermark.replay_watermark(_arrivals(spark, folder), "ts", "seq", "10 minutes")
@@ -209,6 +233,24 @@ def dedup_interval_heavy(spark, folder):
     return passed.select("event_id", "event_type", "ts")
 
 
+@query
+def dedup_interval_mixed(spark, folder):
+    """A key that holds a third of all rows beside small ones; keys of over 1,000 stamps take the route for heavy keys."""
+    key = F.when(F.pmod("user_id", F.lit(3)) == 0, -1).otherwise(F.col("user_id"))
+    keyed = _events(spark, folder).withColumn("account", key.cast("bigint"))
+    passed = dedup.dedup_interval(keyed, ["account"], "ts", "2 hours", "event_id", light_stamps=1_000)
+    return passed.select("event_id", "account", "ts")
+
+
+@query
+def arrival_window_pv_uv(spark, folder):
+    """Windows over the time of arrival instead of the time of the event."""
+    lag = F.pmod(F.col("event_id") * 7919, F.lit(3600)) * 1_000_000
+    arrival = F.timestamp_micros(F.unix_micros(F.col("ts").cast("timestamp")) + lag).cast("timestamp_ntz")
+    arrived = _events(spark, folder).withColumn("arrival", arrival)
+    return windows.pv_uv(windows.tumble(arrived, "arrival", "1 hour"), "user_id")
+
+
 # -- changelogs ---------------------------------------------------------------------------------------
 
 
@@ -227,6 +269,16 @@ def changelog_apply(spark, folder):
     return changes.apply_changelog(_cents_changelog(spark, folder), "user_id", "change_seq", "row_kind")
 
 
+@query
+def changelog_apply_deletes(spark, folder):
+    """A changelog that at last takes away every fifth user."""
+    changelog = _cents_changelog(spark, folder)
+    last = F.lit(1 << 40).cast("bigint").alias("change_seq")
+    gone = (_events(spark, folder).filter(F.pmod("user_id", F.lit(5)) == 0).select("user_id").distinct()
+            .select("user_id", last, F.lit(changes.DELETE).alias("row_kind"), F.lit(None).cast("bigint").alias("result")))
+    return changes.apply_changelog(changelog.unionByName(gone), "user_id", "change_seq", "row_kind")
+
+
 # -- functions and parsing ----------------------------------------------------------------------------
 
 
@@ -252,14 +304,51 @@ def user_struct(spark, folder):
     )
 
 
+@query
+def user_struct_sql(spark, folder):
+    """The registered SQL functions, over numbers at both ends of BIGINT too."""
+    register_functions(spark)
+    n = (F.when(F.pmod("event_id", F.lit(17)) == 0, F.lit((1 << 63) - 1)).when(F.pmod("event_id", F.lit(19)) == 0, F.lit(-(1 << 63)))
+         .otherwise(F.pmod("event_id", F.lit(10))))
+    called = _events(spark, folder).select("event_id", "event_type", n.alias("n")).selectExpr(
+        "event_id", "user_scalar_func(n) AS record", "hashCode(event_type) AS hash")
+    return called.selectExpr("event_id", "record.age", "record.name", "CAST(record.totalBalance AS DOUBLE) AS balance",
+                             "user_scalar_name(record) AS name_of_record", "hash")
+
+
+@query
+def declared_table(spark, folder):
+    """Orders through a table declaration with a computed column."""
+    spec = TableSpec(
+        "declared_orders", T.StructType([T.StructField("o_orderkey", T.LongType()), T.StructField("o_orderdate", T.TimestampNTZType()),
+                                         T.StructField("o_totalprice", T.DecimalType(32, 2))]),
+        computed={"order_day": F.date_format("o_orderdate", "yyyy-MM-dd")}, event_time="o_orderdate", key=("o_orderkey",))
+    declared = spec.apply(testdata(spark, folder, "orders"), view=False)
+    return declared.groupBy("order_day").agg(F.count("o_orderkey").alias("orders"), F.sum("o_totalprice").cast("double").alias("price"))
+
+
+@query
+def parse_temperature_lines(spark, folder):
+    """Events written as comma separated lines and parsed back, with epoch milliseconds of the written time."""
+    written = F.date_format("ts", "yyyy-MM-dd HH:mm:ss")
+    events = _events(spark, folder)
+    lines = events.select(F.concat_ws(",", "event_type", "user_id", F.lit(1), F.floor("value"), written).alias("value"))
+    parsed = parse_temperatures(lines).select("province", "city", "temp", epoch_ms(F.date_format("ts", "yyyy-MM-dd HH:mm:ss")).alias("ms"))
+    return parsed.groupBy("province").agg(F.countDistinct("city").alias("cities"), F.max("temp").alias("top"), F.sum("ms").alias("ms"))
+
+
 @query
 def json_tolerant(spark, folder):
-    """Event properties with damage by rule: every 7th is cut off, every 11th has text for its number."""
+    """Event properties with damage by rule: every 7th is cut off, every 11th has text for its number, some are no objects."""
     number = F.col("event_id")
     damaged = (
         F.when(F.pmod(number, F.lit(7)) == 0, F.expr("substring(props, 1, length(props) - 1)"))
         .when(F.pmod(number, F.lit(11)) == 0, F.lit('{"k": "x"}'))
         .when(F.pmod(number, F.lit(13)) == 0, F.lit('{"other": 1}'))
+        .when(F.pmod(number, F.lit(17)) == 0, F.lit("5"))
+        .when(F.pmod(number, F.lit(19)) == 0, F.lit('[{"k": 3}]'))
+        .when(F.pmod(number, F.lit(23)) == 0, F.lit('{"k": 1, "k": 2}'))
+        .when(F.pmod(number, F.lit(29)) == 0, F.lit("null"))
         .otherwise(F.col("props"))
     )
     raw = _events(spark, folder).select("event_id", damaged.alias("value"))
@@ -299,7 +388,8 @@ def parse_pairs_tolerant(spark, folder):
         .otherwise(F.concat_ws(" ", "event_type", number))
     )
     pairs = parse_pairs(_events(spark, folder).select(line.alias("value")))
-    return pairs.groupBy("k").agg(F.count("*").alias("n"), F.sum(F.col("v").cast("bigint")).alias("total"))
+    return pairs.groupBy("k").agg(F.count("*").alias("n"), F.sum(F.col("v").cast("bigint")).alias("total"),
+                                   F.max("ts").cast("timestamp_ntz").alias("latest"))
 
 
 @query
@@ -358,6 +448,26 @@ def merge_batch(spark, folder):
     return keyed_table.upsert_latest(shortened, **_LOG_KEYS)
 
 
+@query
+def merge_rows(spark, folder):
+    """The rows of the last two commits merged into the table of all before, newest order date first."""
+    orders = testdata(spark, folder, "orders").select("o_custkey", "o_orderkey", "o_totalprice", "o_orderdate")
+    late = F.pmod("o_orderkey", F.lit(7)) > 4
+    return keyed_table.merge_rows(orders.filter(~late), orders.filter(late), **_LOG_KEYS)
+
+
+@query
+def bootstrap_evolve(spark, folder):
+    """An existing table as commit 0, then a commit of another schema: without prices, with a note."""
+    schema = testdata(spark, folder, "orders").schema
+    first = keyed_table.bootstrap(spark, f"{folder}/orders.parquet", schema).drop("o_orderpriority")
+    urgent = testdata(spark, folder, "orders").filter(F.pmod("o_orderkey", F.lit(4)) == 0).select(
+        "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", F.lit("again").alias("note"))
+    log = keyed_table.evolve(first, keyed_table.as_commit(urgent, 1))
+    latest = keyed_table.upsert_latest(log, "o_orderkey", "o_orderdate")
+    return latest.select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_totalprice", "note")
+
+
 @query
 def delete_keys(spark, folder):
     gone = testdata(spark, folder, "customer").filter("c_mktsegment = 'BUILDING'").select(F.col("c_custkey").alias("o_custkey"))
