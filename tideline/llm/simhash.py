@@ -233,14 +233,14 @@ def links(prints: DataFrame, max_bits: int = MAX_BITS, scheme: tuple[Anchors, ..
 
 
 def classes(prints: DataFrame, max_bits: int = MAX_BITS, **options) -> DataFrame:
-    """fp, least, component_id for rows (id, fp): least is the smallest id with that fingerprint, component_id the
-    smallest one that links of at most max_bits reach."""
+    """fp, least, root, component_id for rows (id, fp): least is the smallest id with that fingerprint, root names the
+    fingerprint's component, component_id is the smallest id in it."""
     distinct = saved(prints.groupBy("fp").agg(F.min("id").alias("least")))
     roots = components(links(distinct, max_bits, **options))
     placed = distinct.join(roots, F.col("fp") == F.col("node"), "left").select(
         "fp", "least", F.coalesce("root", "fp").alias("root"))
     best = placed.groupBy("root").agg(F.min("least").alias("component_id"))
-    return placed.join(best, "root").select("fp", "least", "component_id")
+    return placed.join(best, "root").select("fp", "least", "root", "component_id")
 
 
 def simhash(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_bits: int = MAX_BITS, **options) -> DataFrame:
@@ -267,9 +267,8 @@ def keep_one(docs: DataFrame, max_bits: int = MAX_BITS, **options) -> DataFrame:
     kind = dict(docs.select(key.alias("key")).dtypes)["key"]
     prints = saved(docs.select(F.col("doc_id").alias("id"), "text", key.alias("key")).mapInArrow(run, f"id bigint, fp bigint, key {kind}"))
     found = classes(prints, max_bits, **options)
-    root = F.coalesce("component_id", F.lit(-(1 << 63)))
-    # Per component one key, combined in the tasks; a component without any id is told apart by the stand-in.
-    first = (prints.join(found, "fp").groupBy(root.alias("c")).agg(F.min("key").alias("first")).select("first"))
+    # Per component one key, combined in the tasks. Components are told apart by their root, as ids may repeat or be missing.
+    first = prints.join(found, "fp").groupBy("root").agg(F.min("key").alias("first")).select("first")
     rows = docs.select(F.struct("*").alias("doc"), key.alias("key"))
     chosen = rows.join(first, F.col("key").eqNullSafe(F.col("first")), "left_semi")
     # Rows alike in id and text share the key; one of them stays.
