@@ -18,7 +18,7 @@ SEQUENCE = 2048
 END_ID = 0
 TOKENIZER = "word_bpe_49k.json"
 GROUP = 16_384
-CACHE = 400_000
+CACHE = 250_000
 
 # White space ends every token of this tokenizer, so the parts between blanks can be encoded one by one. Inside a part, a
 # run of letters (with inner apostrophes) and what lies between runs are apart too, but for the cases below.
@@ -34,17 +34,17 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.limit = limit
-        self.runs: dict[str, np.ndarray] = {}
+        self.runs: dict[str, bytes] = {}
 
-    def _encode(self, text: str) -> np.ndarray:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
+    def _encode(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def _run(self, run: str) -> np.ndarray:
+    def _run(self, run: str) -> bytes:
         ids = self.runs.get(run)
         if ids is None:
             if run.isascii() and run.isalpha():
                 # Lower-case ASCII letters pass the normalizer and the pre-tokenizer unchanged.
-                ids = np.array([t.id for t in self.tokenizer.model.tokenize(run.lower())], np.uint32)
+                ids = np.array([t.id for t in self.tokenizer.model.tokenize(run.lower())], "<u4").tobytes()
             else:
                 ids = self._encode(run)
             if len(self.runs) >= self.limit:
@@ -52,17 +52,14 @@ class Encoder:
             self.runs[run] = ids
         return ids
 
-    def word(self, word: str) -> np.ndarray:
+    def word(self, word: str) -> bytes:
+        """Ids of one part between blanks, as little-endian 32-bit numbers."""
         if word.isascii():
             if not _WHOLE.search(word):
                 low = word.lower()
-                if low.isalpha():
-                    return self._run(low)
-                parts = [self._run(r) for r in _RUNS.split(low) if r]
-                return parts[0] if len(parts) == 1 else np.concatenate(parts) if parts else np.zeros(0, np.uint32)
+                return self._run(low) if low.isalpha() else b"".join([self._run(r) for r in _RUNS.split(low) if r])
         elif is_normalized("NFC", word) and not _WHOLE.search(word):
-            parts = [self._run(r) for r in _RUNS.split(word) if r]
-            return parts[0] if len(parts) == 1 else np.concatenate(parts)
+            return b"".join([self._run(r) for r in _RUNS.split(word) if r])
         return self._encode(word)
 
     def batch(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -75,9 +72,9 @@ class Encoder:
         pieces = [self.word(w) for w in coded.dictionary.to_pylist()]
         if not pieces:
             return np.zeros(0, np.uint32), np.zeros(len(texts), np.int64)
-        sizes = np.array([len(p) for p in pieces], np.int64)
+        sizes = np.array([len(p) for p in pieces], np.int64) // 4
         starts = np.cumsum(sizes) - sizes
-        table = np.concatenate(pieces)
+        table = np.frombuffer(b"".join(pieces), "<u4")
         each = sizes[index]
         ends = np.cumsum(each)
         total = int(ends[-1]) if len(ends) else 0
