@@ -154,3 +154,22 @@ def test_ids_follow_the_waiting_generator(spark):
         expected[n] = ((slot // 4096 - 1480166465631) << 22) | (w << 12) | slot % 4096
     assert got == expected
     assert len(set(got.values())) == len(rows)
+
+
+KEY_KINDS = {
+    "timestamp": lambda n: at(n / 1e6), "double": lambda n: [0.5, float("nan"), -1e300][n], "string": lambda n: ["a", "A", ""][n],
+    "binary": lambda n: bytearray([n, 255 - n]), "struct<a:int,b:timestamp_ntz>": lambda n: (1, at(n / 1e6)),
+}
+
+
+@pytest.mark.parametrize("kind", list(KEY_KINDS))
+def test_keys_of_any_type_are_told_apart(spark, kind):
+    """Keys that differ in a microsecond or a byte; the routes for light, heavy and mixed keys agree; a MAP column comes along."""
+    rng = random.Random(kind)
+    picks = [(rng.choice([0, 0, 0, 1, 2, None]), rng.randrange(4000)) for _ in range(300)]
+    rows = [(None if k is None else KEY_KINDS[kind](k), at(s), i, {"i": i}) for i, (k, s) in enumerate(picks)]
+    df = spark.createDataFrame(rows, f"k {kind}, ts timestamp_ntz, n bigint, extra map<string,int>")
+    for route in ({}, HEAVY, dict(HEAVY, light_stamps=100)):
+        got = dedup_interval(df, ["k"], "ts", "60 seconds", "n", **route)
+        assert passed(got) == greedy(picks, 60)
+        assert all(r.extra == {"i": r.n} for r in got.collect())
