@@ -113,3 +113,45 @@ def test_large_budget():
     for budget, slack in ((10_007, 0), (1_234_567, 0), (int((lengths * counts).sum()) - 3, 3)):
         take = mixing.fit_budget(lengths, counts, budget)
         assert ((take >= 0) & (take <= counts)).all() and abs(int((lengths * take).sum()) - budget) <= slack
+
+
+@pytest.mark.parametrize("table,budget,gap", [
+    ({100: 1000, 500_000: 1}, 480_000, 20_000), ({400_000: 1, 600_000: 1}, 590_000, 10_000), ({100_000: 1}, 60_000, 40_000),
+    ({7: 1, 40_000: 1, 90_000: 2}, 130_010, 3), ({60_000: 200, 60_001: 1}, 6_000_001, 0)])
+def test_documents_beyond_the_window(table, budget, gap):
+    lengths, counts = np.array(sorted(table)), np.array([table[k] for k in sorted(table)])
+    take = mixing.fit_budget(lengths, counts, budget)
+    assert ((take >= 0) & (take <= counts)).all() and abs(int((lengths * take).sum()) - budget) == gap
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.dictionaries(st.integers(1, 60) | st.integers(30_000, 700_000), st.integers(1, 3), min_size=1, max_size=5),
+       st.integers(0, 1000), st.sampled_from([1, 100, 32_768]))
+def test_budget_is_met_with_lengths_beyond_the_window(table, share, window):
+    lengths, counts = np.array(sorted(table)), np.array([table[k] for k in sorted(table)])
+    budget = int((lengths * counts).sum()) * share // 1000
+    take = mixing.fit_budget(lengths, counts, budget, window)
+    assert ((take >= 0) & (take <= counts)).all()
+    sums = {sum(l * c for l, c in zip(lengths.tolist(), pick)) for pick in itertools.product(*[range(c + 1) for c in counts])}
+    assert abs(int((lengths * take).sum()) - budget) == min(abs(s - budget) for s in sums)
+
+
+@pytest.mark.parametrize("limit,slack", [(1 << 24, 0), (4_000_000, 0), (300_000, 20)])
+def test_large_budget_of_long_documents(limit, slack):
+    """One knapsack, exchanges around the bulk, and exchanges in coarser units first, which is only near."""
+    rng = np.random.default_rng(1)
+    lengths = np.unique(np.append(rng.integers(40_000, 700_000, 60), np.arange(1, 9)))
+    counts = rng.integers(1, 4, len(lengths))
+    for part in (0.2, 0.5, 0.83):
+        budget = int((lengths * counts).sum() * part)
+        take = mixing.fit_budget(lengths, counts, budget, 1000, limit)
+        assert ((take >= 0) & (take <= counts)).all() and abs(int((lengths * take).sum()) - budget) <= slack
+
+
+def test_a_long_document_meets_its_target(spark):
+    """Source a holds many short documents and one long one; only the long one comes near its target."""
+    rows = [(i, "w " * 100, "a") for i in range(1000)] + [(2000, "w " * 500_000, "a")] + [(3000 + i, "w " * 1000, "b") for i in range(840)]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    got = mixing.mix(frame).selectExpr("doc_id", "size", "source_size", "target", "size * repeats as taken").collect()
+    gaps, _ = check(got, rows)
+    assert max(map(abs, gaps.values())) <= 20_000

@@ -14,6 +14,8 @@ from tideline.llm.common import row_key, saved
 WEIGHTS = (1, 2, 3)
 MAX_EPOCHS = 3
 WINDOW = 32_768
+# The most sums of words that one knapsack tells apart, five bytes each.
+LIMIT = 1 << 24
 SEED = 17
 SUB_BITS = 12
 
@@ -62,20 +64,62 @@ def targets(sizes: DataFrame, weights: Sequence[int] = WEIGHTS, max_epochs: int
     return ranked.withColumn("target", F.least(cap.cast("double"), F.col("weight") * level))
 
 
-def fit_budget(lengths: np.ndarray, counts: np.ndarray, budget: int, window: int = WINDOW) -> np.ndarray:
+def _knapsack(lengths: np.ndarray, add: np.ndarray, drop: np.ndarray, goal: int, low: int, high: int, least: int = 0) -> np.ndarray:
+    """How many documents of each length to add (or, negative, to drop) for a sum as near to `goal` as can be.
+
+    At most add[i] and drop[i] of a length move, in powers of two; sums stay within low..high all the way. Lengths enter in the
+    order given, until a sum is `least` from the goal. Below wins a tie. Per sum only the step that reached it first is kept.
+    """
+    first = np.full(high - low + 1, -1, np.int32)
+    reached = np.zeros(high - low + 1, bool)
+    reached[-low] = True
+    best = [p for p in (goal - least - low, goal + least - low) if 0 <= p < len(reached)]
+    steps: list[tuple[int, int]] = []
+    for i, size in enumerate(lengths.tolist()):
+        for sign, remaining in ((1, int(add[i])), (-1, int(drop[i]))):
+            remaining, power = min(remaining, (high - low) // size) if size else 0, 1
+            while remaining > 0 and not reached[best].any():
+                part = min(power, remaining)
+                remaining -= part
+                power *= 2
+                by = part * size
+                new = (np.flatnonzero(reached[:-by] > reached[by:]) + by if sign > 0
+                       else np.flatnonzero(reached[by:] > reached[:-by]))
+                reached[new] = True
+                first[new] = len(steps)
+                steps.append((i, sign * part))
+    sums = np.flatnonzero(reached)
+    at = int(sums[np.argmin(np.abs(sums - (goal - low)))])
+    moved = np.zeros(len(lengths), np.int64)
+    while first[at] >= 0:
+        # What a sum came from was reached in an earlier step.
+        i, part = steps[first[at]]
+        moved[i] += part
+        at -= part * int(lengths[i])
+    return moved
+
+
+def fit_budget(lengths: np.ndarray, counts: np.ndarray, budget: int, window: int = WINDOW, limit: int = LIMIT) -> np.ndarray:
     """How many documents of each length to take, so that their lengths add up to `budget` as nearly as can be.
 
-    lengths are distinct and positive. The bulk is a proportional share of every length, topped up from the longest; the
-    remaining budget, at most about `window`, is met by a bounded knapsack over the documents left: reachable sums are the bits of
-    one integer, each length enters in powers of two of its count. Exact below the window; ties take fewer lengths.
+    lengths are distinct and positive. First the bulk is a proportional share of every length, topped up from the longest, and
+    the remaining budget, at most about `window`, is met by a bounded knapsack over the documents left. If that is not the
+    best that the lengths' common divisor allows, documents of any length are decided anew: all of them by one
+    knapsack where twice the budget (or twice what it leaves out) is at most `limit` words, which is exact; else by
+    exchanges around the bulk, where the sums on the way stay within limit / 2 words of it. Lengths above limit / 4 are
+    then exchanged in coarser units first.
     """
     lengths, counts = lengths.astype(np.int64), counts.astype(np.int64)
     total = int((lengths * counts).sum())
     if budget >= total:
         return counts.copy()
+    # No sum is nearer than the nearest multiple of the common divisor.
+    over = budget % int(np.gcd.reduce(lengths))
+    least = min(over, int(np.gcd.reduce(lengths)) - over)
+    gap = lambda t: abs(int((lengths * t).sum()) - budget)
     # What the knapsack is left to fill: enough for any pattern of short documents.
     bulk = max(budget - window, 0)
-    taken = np.floor(counts * (bulk / total)).astype(np.int64) if total else np.zeros_like(counts)
+    taken = np.floor(counts * (bulk / total)).astype(np.int64)
     rest = bulk - int((lengths * taken).sum())
     part = counts * (bulk / total) - taken
     for i in np.argsort(-part, kind="stable"):
@@ -87,30 +131,31 @@ def fit_budget(lengths: np.ndarray, counts: np.ndarray, budget: int, window: int
         taken[i] += more
         rest -= more * int(lengths[i])
     rest = budget - int((lengths * taken).sum())
-    left = counts - taken
-    usable = [i for i in np.argsort(lengths) if left[i] > 0 and lengths[i] <= rest + window]
-    limit = rest + window
-    mask = (1 << (limit + 1)) - 1
-    reached, steps = 1, []
-    for i in usable:
-        size, remaining, power = int(lengths[i]), min(int(left[i]), limit // int(lengths[i])), 1
-        while remaining > 0 and not reached >> rest & 1:
-            part = min(power, remaining)
-            remaining -= part
-            power *= 2
-            steps.append((i, part, reached))
-            reached = (reached | reached << (part * size)) & mask
-        if reached >> rest & 1:
-            break
-    below = (reached & ((1 << (rest + 1)) - 1)).bit_length() - 1
-    above = reached >> (rest + 1)
-    nearest_above = rest + 1 + ((above & -above).bit_length() - 1) if above else None
-    goal = below if nearest_above is None or rest - below <= nearest_above - rest else nearest_above
-    for i, part, before in reversed(steps):
-        if not before >> goal & 1:
-            taken[i] += part
-            goal -= part * int(lengths[i])
-    return taken
+    none, order, found = np.zeros_like(counts), np.argsort(-lengths), taken.copy()
+    if rest + window <= limit:
+        short = order[::-1][lengths[order[::-1]] <= rest + window]
+        found[short] += _knapsack(lengths[short], (counts - taken)[short], none[short], rest, 0, rest + window, least)
+    if gap(found) == least:
+        return found
+    smaller = min(budget, total - budget)
+    if 2 * smaller <= limit:
+        # Nothing taken, or nothing left out, is `smaller` off: no nearer sum lies beyond twice that.
+        some = order[lengths[order] <= 2 * smaller]
+        moved = none.copy()
+        moved[some] = _knapsack(lengths[some], counts[some], none[some], smaller, 0, min(total, 2 * smaller), least)
+        return moved if smaller == budget else counts - moved
+    half = limit // 2
+    unit = -(-4 * int(lengths.max()) // limit)
+    for step in ([unit, 1] if unit > 1 else [1]):
+        start = min((taken, found), key=gap) if step == 1 and unit > 1 else taken
+        sizes = (lengths[order] + step // 2) // step
+        moves = (sizes > 0) & (sizes <= half)
+        some, rest = order[moves], budget - int((lengths * start).sum())
+        taken = start.copy()
+        taken[some] += _knapsack(sizes[moves], (counts - start)[some], start[some], max(min(round(rest / step), half), -half),
+                                 -half, half, least if step == 1 else 0)
+        found = min((found, taken), key=gap)
+    return found
 
 
 def _fit_sources(histogram: DataFrame, window: int) -> DataFrame:
