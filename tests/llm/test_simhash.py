@@ -70,6 +70,13 @@ def test_links_of_planted_fingerprints(spark, scheme, tile):
     assert {r.least: r.component_id for r in found} == brute_components(dict(enumerate(values)))
 
 
+def test_a_tile_of_one_home_and_one_other_member(spark):
+    rng = random.Random(5)
+    values = [v ^ flip for v in (rng.getrandbits(63) for _ in range(30)) for flip in (0, 0b1011 << 20)]
+    found = simhash.classes(spark.createDataFrame(list(enumerate(values)), "id bigint, fp bigint"), tile=1).collect()
+    assert {r.least: r.component_id for r in found} == {i: i - i % 2 for i in range(60)}
+
+
 def test_odd_rows(spark):
     got = simhash.simhash(odd_table(spark)).collect()
     assert len(got) == odd_table(spark).count()

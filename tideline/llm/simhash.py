@@ -185,7 +185,8 @@ def _compare(tiles: DataFrame, max_bits: int) -> DataFrame:
 
     def flush(table: np.ndarray) -> list[tuple[int, int]]:
         values, home = table["fp"].view(np.uint64), table["home"]
-        return tile_forest(values[home], values[~home], max_bits) if home.any() and len(values) > 2 else []
+        # A fingerprint alone is its own home and member; two rows of a tile may also be two fingerprints.
+        return tile_forest(values[home], values[~home], max_bits) if 0 < home.sum() < len(home) and (values != values[0]).any() else []
 
     kind = np.dtype([("anchor", "<i8"), ("tile", "<i4"), ("fp", "<i8"), ("home", "?")])
 
