@@ -10,7 +10,7 @@ from cases import empty_table, odd_rows, odd_table
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from tideline.llm import packing
+from tideline.llm import encoding, packing
 from tideline.llm.queries import op8_packing, tokenizer_path
 
 ODD = ["", "it's 'tis !!'s don't l'homme L'ÉTÉ", "a\tb\x1cc\x1c!", "<|endoftext|> x<|startoftext|>y <|STARTOFTEXT|>", "İstanbul! ΣΑΣ ẞ x²y Ⅷ 12345 a1b",
@@ -28,8 +28,8 @@ def ids_of(tokenizer, text):
     return np.array([*tokenizer.encode(text or "", add_special_tokens=False).ids, 0], "<u4")
 
 
-def same_ids(tokenizer, texts, limit=packing.CACHE):
-    ids, counts = packing.Encoder(tokenizer_path(), limit).batch(pa.array(texts, pa.string()))
+def same_ids(tokenizer, texts, limit=encoding.CACHE):
+    ids, counts = encoding.Encoder(tokenizer_path(), limit).batch(pa.array(texts, pa.string()))
     at = 0
     for text, count in zip(texts, counts.tolist()):
         assert ids[at:at + count].tolist() == ids_of(tokenizer, text)[:-1].tolist(), text
@@ -96,3 +96,36 @@ def test_best_fit_keeps_every_constraint(rule, capacity):
         assert (offsets[bins == b][order] == np.cumsum(own[order]) - own[order]).all()
     bound = max(lengths.sum() / capacity[0], len(lengths) / capacity[1], (lengths**2).sum() / capacity[2])
     assert bins.max() + 1 <= 1.1 * bound + 1
+
+
+def plain_best_fit(lengths, capacity, weights, rule):
+    """The same choice by trying every bin for every piece."""
+    cap, left, found = [float(c) for c in capacity], [], {}
+    for i in sorted(range(len(lengths)), key=lambda i: (-lengths[i], i)):
+        need = [float(lengths[i]), 1.0, float(lengths[i]) ** 2]
+        fits = [b for b, room in enumerate(left) if all(r >= x for r, x in zip(room, need))]
+
+        def cost(b):
+            if rule == "norm":
+                return sum(w * ((r - x) / c) ** 2 for w, r, x, c in zip(weights, left[b], need, cap))
+            return -sum(w * r * x / c**2 for w, r, x, c in zip(weights, left[b], need, cap))
+
+        best = min((cost(b) for b in fits), default=None)
+        # Costs that differ by rounding alone are one cost; the oldest bin has it.
+        b = next((b for b in fits if cost(b) <= best + 1e-12), None) if fits else None
+        if b is None:
+            b = len(left)
+            left.append(cap[:])
+        found[i] = (b, cap[0] - left[b][0])
+        left[b] = [r - x for r, x in zip(left[b], need)]
+    return [found[i] for i in range(len(lengths))]
+
+
+@pytest.mark.parametrize("rule", ["norm", "dot"])
+@pytest.mark.parametrize("capacity", [(64, 64, 64**2), (64, 4, 64**2), (64, 64, 1500)])
+def test_best_fit_equals_a_plain_one(rule, capacity):
+    rng = random.Random(3)
+    for n in (0, 1, 40, 250):
+        lengths = np.array([rng.randint(1, 38) for _ in range(n)], np.int64)
+        bins, offsets = packing.best_fit(lengths, capacity, rule=rule)
+        assert list(zip(bins.tolist(), offsets.tolist())) == plain_best_fit(lengths.tolist(), capacity, (1.0, 0.05, 0.05), rule)

@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-import re
 import zlib
-from collections.abc import Iterable, Iterator
-from unicodedata import is_normalized
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -13,108 +11,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tideline.llm.common import row_key, saved, text_chunks
+from tideline.llm.encoding import CHUNK, encoder
 
 SEQUENCE = 2048
 END_ID = 0
 TOKENIZER = "word_bpe_49k.json"
 GROUP = 16_384
-CACHE = 250_000
-# Bytes of text that are encoded together: a word that they share is handled once.
-CHUNK = 1 << 23
-
-# White space ends every token of this tokenizer, so the parts between blanks can be encoded one by one. Inside a part, a
-# run of letters (with inner apostrophes) and what lies between runs are apart too, but for the cases below.
-_RUNS = re.compile(r"([^\W\d_]+(?:'[^\W\d_]+)*)")
-_WHOLE = re.compile("<\\||(?<![^\\W\\d_])'[a-zA-Zſ]|[\U00010000-\U0010ffffİ]")
-
-
-class Encoder:
-    """Ids of whole texts, equal to those of tokenizers' encode, with a bounded memory of runs seen before."""
-
-    def __init__(self, path: str, limit: int = CACHE):
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.limit = limit
-        (self.one,) = self.tokenizer.encode("1", add_special_tokens=False).ids
-        self.runs: dict[str, bytes] = {}
-
-    def _encode(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-
-    @staticmethod
-    def _runs_of(word: str) -> list[str] | None:
-        """The runs of a part between blanks that can be encoded apart, or None if it has to be encoded whole."""
-        if word.isascii():
-            word = word.lower()
-            if word.isalpha():
-                return [word]
-        elif not is_normalized("NFC", word):
-            return None
-        if _WHOLE.search(word):
-            return None
-        return [r for r in _RUNS.split(word) if r]
-
-    def _learn(self, runs: Iterable[str]) -> None:
-        together = []
-        for run in runs:
-            if run.isascii() and run.isalpha():
-                # Lower-case ASCII letters pass the normalizer and the pre-tokenizer unchanged.
-                self.runs[run] = np.array([t.id for t in self.tokenizer.model.tokenize(run.lower())], "<u4").tobytes()
-            elif run[0].isalpha():
-                together.append(run)
-            else:
-                self.runs[run] = self._encode(run)
-        # A digit is a token of its own and never part of a run of letters: it parts runs that are encoded in one call.
-        for begin in range(0, len(together), 1000):
-            some = together[begin:begin + 1000]
-            ids = np.array(self.tokenizer.encode("1".join(some), add_special_tokens=False).ids, "<u4")
-            cuts = [0, *(np.flatnonzero(ids == self.one) + 1).tolist(), len(ids) + 1]
-            self.runs.update((run, ids[i:k - 1].tobytes()) for run, i, k in zip(some, cuts[:-1], cuts[1:], strict=True))
-
-    def words(self, words: list[str]) -> list[bytes]:
-        """Ids of parts between blanks, as little-endian 32-bit numbers."""
-        split = [self._runs_of(w) for w in words]
-        wanted = {r for runs in split if runs for r in runs}
-        new = wanted.difference(self.runs)
-        if len(self.runs) + len(new) > self.limit:
-            self.runs.clear()
-            new = wanted
-        self._learn(new)
-        known = self.runs
-        return [self._encode(w) if runs is None else known[runs[0]] if len(runs) == 1 else b"".join([known[r] for r in runs])
-                for w, runs in zip(words, split)]
-
-    def batch(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """(ids of all texts one after the other, number of ids of each)."""
-        flat = pa.compute.replace_substring(pa.compute.fill_null(texts.cast(pa.large_string()), ""), "\n", " ")
-        split = pa.compute.split_pattern(flat, " ")
-        words = split.values.slice(split.offsets[0].as_py(), split.offsets[-1].as_py() - split.offsets[0].as_py())
-        coded = words.dictionary_encode()
-        index = coded.indices.to_numpy(zero_copy_only=False)
-        pieces = self.words(coded.dictionary.to_pylist())
-        if not pieces:
-            return np.zeros(0, np.uint32), np.zeros(len(texts), np.int64)
-        sizes = np.array([len(p) for p in pieces], np.int64) // 4
-        starts = np.cumsum(sizes) - sizes
-        table = np.frombuffer(b"".join(pieces), "<u4")
-        each = sizes[index]
-        ends = np.cumsum(each)
-        total = int(ends[-1]) if len(ends) else 0
-        ids = table[np.repeat(starts[index] - (ends - each), each) + np.arange(total)]
-        bounds = np.asarray(split.offsets) - split.offsets[0].as_py()
-        upto = np.concatenate([[0], ends])
-        return ids, upto[bounds[1:]] - upto[bounds[:-1]]
-
-
-_encoders: dict[str, Encoder] = {}
-
-
-def encoder(path: str) -> Encoder:
-    """One encoder per worker process and file."""
-    if path not in _encoders:
-        _encoders[path] = Encoder(path)
-    return _encoders[path]
 
 
 def pieces(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", sequence: int = SEQUENCE,
