@@ -70,8 +70,9 @@ def saved(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def partition_sums(df: DataFrame, fold: Callable[[Iterator[pa.RecordBatch]], np.ndarray]) -> np.ndarray | None:
-    """Add up one float64 array per partition. The arrays have a fixed shape, whatever the rows; they are added
+def partition_sums(df: DataFrame, fold: Callable[[Iterator[pa.RecordBatch]], np.ndarray],
+                   merge: Callable[[np.ndarray, np.ndarray], np.ndarray] = np.add) -> np.ndarray | None:
+    """Add up (or else merge) one float64 array per partition. The arrays have a fixed shape, whatever the rows; they are added
     in tasks first, so the driver gets a few of them."""
     spark = df.sparkSession
 
@@ -85,7 +86,7 @@ def partition_sums(df: DataFrame, fold: Callable[[Iterator[pa.RecordBatch]], np.
         for batch in batches:
             for value in batch.column(0):
                 one = np.frombuffer(value.as_py(), "<f8")
-                total = one.copy() if total is None else total + one
+                total = one.copy() if total is None else merge(total, one)
         if total is not None:
             yield pa.RecordBatch.from_pydict({"part": pa.array([total.tobytes()], pa.binary())})
 
@@ -94,7 +95,7 @@ def partition_sums(df: DataFrame, fold: Callable[[Iterator[pa.RecordBatch]], np.
     total = None
     for row in rows:
         one = np.frombuffer(row.part, "<f8")
-        total = one.copy() if total is None else total + one
+        total = one.copy() if total is None else merge(total, one)
     return total
 
 

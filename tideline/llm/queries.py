@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideline.llm import chat, digest, language, licenses, lines, mixing, packing, quality, search, simhash
+from tideline.llm import chat, digest, divergence, language, licenses, lines, mixing, packing, quality, search, simhash, tokenfiles, whitening
 from tideline.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -69,6 +69,18 @@ def op10_search(spark: SparkSession, folder: str) -> DataFrame:
     return search.search(table(spark, folder, "embeddings"))
 
 
+def op11_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.whiten(table(spark, folder, "embeddings"))
+
+
+def op12_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    return divergence.audit(table(spark, folder, "documents"))
+
+
+def op13_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    return tokenfiles.write_and_read(table(spark, folder, "documents"), tokenizer_path())
+
+
 def queries() -> dict[str, Query]:
     found = {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
     return dict(sorted(found.items(), key=lambda x: int(x[0][2:].split("_")[0])))

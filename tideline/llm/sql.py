@@ -54,6 +54,33 @@ r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, ve
 SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM r WHERE rank <= 10
 """
 
+OP12_DIVERGENCE = """
+WITH d AS (
+  SELECT row_number() OVER () AS doc, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS words FROM documents),
+w AS (SELECT doc, lang, source, unnest(words) AS term FROM d),
+kept AS (SELECT lang, term FROM w GROUP BY lang, term HAVING count(DISTINCT doc) >= 10),
+v AS (SELECT lang, count(*) AS v FROM kept GROUP BY lang),
+g AS (SELECT DISTINCT lang, source FROM d),
+c AS (SELECT lang, source, term, count(*) AS n FROM w JOIN kept USING (lang, term) GROUP BY ALL),
+slots AS (SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n FROM g JOIN kept k USING (lang) LEFT JOIN c USING (lang, source, term)),
+p AS (SELECT lang, source, term, n, 1 + 1000000000 * (n + 2) // ((sum(n) OVER (PARTITION BY lang, source))::BIGINT + 2 * v) AS p
+      FROM slots JOIN v USING (lang)),
+q AS (SELECT lang, term, 1 + 1000000000 * (n + 2) // ((sum(n) OVER (PARTITION BY lang))::BIGINT + 2 * v) AS q
+      FROM (SELECT lang, term, sum(n)::BIGINT AS n FROM slots GROUP BY ALL) JOIN v USING (lang)),
+apart AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p))::BIGINT AS value
+          FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+r AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(x.value, 0)::BIGINT AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN apart x ON x.lang = a.lang AND x.source = a.source AND x.item = b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, ((p - q) * (p - q) // (p + q))::BIGINT FROM p JOIN q USING (lang, term) WHERE n > 0 AND p > q),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM r)
+SELECT lang, source, part, item, value, rank::INTEGER AS rank FROM ranked WHERE part = 'pair' OR rank <= 10
+"""
+
 
 def _op3() -> str:
     """Base phrases and notices by their word positions, from the same fixed texts."""
@@ -93,4 +120,5 @@ FROM d LEFT JOIN bases x USING (doc_id) LEFT JOIN notices n USING (doc_id)
 
 
 def oracles() -> dict[str, str]:
-    return {"op2_line_dedup": OP2_LINE_DEDUP, "op3_licenses": _op3(), "op9_chat": OP9_CHAT, "op10_search": OP10_SEARCH}
+    return {"op2_line_dedup": OP2_LINE_DEDUP, "op3_licenses": _op3(), "op9_chat": OP9_CHAT, "op10_search": OP10_SEARCH,
+            "op12_divergence": OP12_DIVERGENCE}
