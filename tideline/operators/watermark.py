@@ -44,7 +44,12 @@ def tag_late(
 ) -> DataFrame:
     """Add window bounds, `wm_before` and `is_late`: the watermark had passed end - 1 ms + lateness."""
     timed = df.filter(F.col(ts).isNotNull())  # a row without time moves no watermark and is in no window
-    judged = tumble(replay_watermark(timed, ts, seq, delay, **replay), ts, size)
+    return judge_late(replay_watermark(timed, ts, seq, delay, **replay), ts, size, lateness)
+
+
+def judge_late(df: DataFrame, ts: str, size: str, lateness: str = "0 seconds") -> DataFrame:
+    """Add window bounds and `is_late` to rows with `wm_before`, of whatever watermark."""
+    judged = tumble(df, ts, size)
     closes = F.col("window_end") - F.lit(MILLISECOND) + span(lateness)
     return judged.withColumn("is_late", F.coalesce(closes <= F.col("wm_before"), F.lit(False)))
 

@@ -56,6 +56,33 @@ def _hash(text: str, factor: int) -> str:
     return f"CASE WHEN {scaled} >= 2147483648 THEN {scaled} - 4294967296 ELSE {scaled} END"
 
 
+def _idle_late() -> str:
+    """Three sources; a time-out mark after every row, which counts unless the source has sent a row meanwhile."""
+    hour = 3_600_000_000
+    states = ", ".join(f"max(v) FILTER (source = {s}) OVER w AS v{s}, max(a) FILTER (source = {s}) OVER w AS a{s}, "
+                       f"max(m) FILTER (source = {s}) OVER w AS m{s}" for s in range(3))
+    known = " OR ".join(f"(a{s} IS NOT NULL AND coalesce(m{s} < a{s} + {hour}, true) AND v{s} IS NULL)" for s in range(3))
+    values = ", ".join(f"CASE WHEN a{s} IS NOT NULL AND coalesce(m{s} < a{s} + {hour}, true) THEN v{s} END" for s in range(3))
+    start, end = _bucket("30 minutes"), f"{_bucket('30 minutes')} + INTERVAL '30 minutes'"
+    return f"""WITH sent AS (
+        SELECT *, CASE WHEN event_id % 3 = 2 AND hour(ts) BETWEEN 6 AND 17 THEN 0 ELSE event_id % 3 END AS source FROM events),
+    arrived AS (SELECT *, epoch_us(ts) + (event_id * 7919 % 900 + CASE WHEN source = 1 THEN 1200 ELSE 0 END) * 1000000 AS came FROM sent),
+    started AS (SELECT source, min(min(came)) OVER () AS came FROM arrived GROUP BY source),
+    e AS (
+        SELECT came, 0 AS kind, NULL AS event_id, source, NULL AS v, came AS a, NULL AS m FROM started
+        UNION ALL SELECT came, 1, event_id, source, epoch_us(ts), came, NULL FROM arrived
+        UNION ALL SELECT DISTINCT came + {hour}, 2, NULL, NULL, NULL, NULL, NULL FROM (SELECT came FROM arrived UNION ALL SELECT came FROM started)
+        UNION ALL SELECT DISTINCT came + {hour}, 3, NULL, source, NULL, NULL, came + {hour} FROM (SELECT came, source FROM arrived UNION ALL SELECT came, source FROM started)),
+    s AS (SELECT *, {states} FROM e WINDOW w AS (ORDER BY came, kind, event_id, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+    l AS (SELECT *, CASE WHEN kind IN (1, 2) AND NOT ({known}) THEN least({values}) END AS low FROM s),
+    w AS (SELECT *, max(low) OVER (ORDER BY came, kind, event_id, source) AS wm FROM l),
+    marked AS (SELECT event_id, w.source, make_timestamp(wm) - INTERVAL '5 minutes' - INTERVAL '1 millisecond' AS wm_before
+               FROM w WHERE kind = 1)
+    SELECT event_id, source::BIGINT AS source, {end} AS window_end, wm_before,
+           coalesce({end} - INTERVAL '1 millisecond' + INTERVAL '5 minutes' <= wm_before, false) AS late
+    FROM marked JOIN events USING (event_id)"""
+
+
 _CHANGES = f"""WITH {_ARRIVALS},
     scanned AS (SELECT user_id, seq, sum(round(value * 100)::BIGINT) OVER w AS res, row_number() OVER w AS n
                 FROM arrivals WINDOW w AS (PARTITION BY user_id ORDER BY seq)),
@@ -128,6 +155,7 @@ def oracles() -> dict[str, str]:
         "late_split_per_event": f"""WITH {_judged('30 minutes', '0 seconds')},
             each AS (SELECT event_id, window_end, wm_before + INTERVAL '1 millisecond' AS wm_before FROM judged)
             SELECT *, coalesce(window_end - INTERVAL '1 millisecond' <= wm_before, false) AS late FROM each""",
+        "idle_sources_late": _idle_late(),
         "late_by_arrival_time": f"""WITH numbered AS (SELECT event_id, ts, row_number() OVER (
                 ORDER BY ts + to_seconds(event_id * 7919 % 3600), event_id) - 1 AS seq FROM events),
             marked AS (SELECT *, max(ts) OVER (ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)

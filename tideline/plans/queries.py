@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 from tideline.functions import from_epoch_ms, java_hash, parse_clicks, parse_json, parse_pairs, parse_temperatures, span, user_func
 from tideline.functions.register import register_functions
 from tideline.functions.times import clock, epoch_ms
-from tideline.operators import aggregates, dedup, distinct, ids, keyed_table, ordered, running, watermark, windows
+from tideline.operators import aggregates, dedup, distinct, idle, ids, keyed_table, ordered, running, watermark, windows
 from tideline.operators import changelog as changes
 from tideline.session import configure
 from tideline.sources.tables import TableSpec, testdata
@@ -185,6 +185,19 @@ def late_by_arrival_time(spark, folder):
     return tagged.select("event_id", "seq", "window_end", F.col("is_late").alias("late"))
 
 
+@query
+def idle_sources_late(spark, folder):
+    """Three sources with a watermark each. One of them sends nothing from 6 to 18 o'clock, another comes 20 minutes late."""
+    silent = (F.pmod("event_id", F.lit(3)) == 2) & F.hour("ts").between(6, 17)
+    source = F.when(silent, F.lit(0)).otherwise(F.pmod("event_id", F.lit(3)))
+    lag = F.pmod(F.col("event_id") * 7919, F.lit(900)) + F.when(source == 1, 1200).otherwise(0)
+    arrival = F.timestamp_micros(F.unix_micros(F.col("ts").cast("timestamp")) + lag * 1_000_000)
+    arrived = _events(spark, folder).withColumns({"source": source, "arrival": arrival})
+    marked = idle.idle_watermark(arrived, "ts", "source", "arrival", "event_id", "1 hour", "5 minutes")
+    tagged = watermark.judge_late(marked, "ts", "30 minutes", "5 minutes")
+    return tagged.select("event_id", "source", "window_end", "wm_before", F.col("is_late").alias("late"))
+
+
 @query
 def lateness_firings(spark, folder):
     arrivals = _arrivals(spark, folder).withColumn("cents", F.round(F.col("value") * 100).cast("bigint"))
