@@ -56,6 +56,37 @@ def _hash(text: str, factor: int) -> str:
     return f"CASE WHEN {scaled} >= 2147483648 THEN {scaled} - 4294967296 ELSE {scaled} END"
 
 
+_TAKEN_BACK = f"""WITH {_ARRIVALS},
+    e AS (SELECT user_id, seq, round(value * 100)::BIGINT AS cents, 1 AS sign FROM arrivals),
+    signed AS (SELECT * FROM e
+        UNION ALL SELECT user_id, seq + 50000000, cents, -1 FROM e WHERE seq % 3 = 0
+        UNION ALL SELECT user_id, seq + 100000000, cents, -1 FROM e WHERE seq % 3 <> 0 AND user_id % 5 = 0),
+    scanned AS (SELECT user_id, seq, sum(sign) OVER w AS n, sum(sign * cents) OVER w AS res
+                FROM signed WINDOW w AS (PARTITION BY user_id ORDER BY seq)),
+    pairs AS (SELECT *, coalesce(lag(n) OVER w, 0) AS n_old, lag(res) OVER w AS old FROM scanned WINDOW w AS (PARTITION BY user_id ORDER BY seq))
+    SELECT user_id, seq * 2 + 1 AS change_seq, CASE WHEN n_old = 0 THEN '+I' ELSE '+U' END AS row_kind, res::BIGINT AS result
+    FROM pairs WHERE n > 0 AND (n_old = 0 OR res <> old)
+    UNION ALL
+    SELECT user_id, seq * 2, CASE WHEN n = 0 THEN '-D' ELSE '-U' END, old::BIGINT FROM pairs WHERE n_old > 0 AND (n = 0 OR res <> old)"""
+
+_FIRED = f"""WITH {_ARRIVALS},
+    cut AS (SELECT event_id, event_type, ts, seq, least(seq * 3 // (SELECT max(seq) + 1 FROM arrivals) + (event_id % 50 = 0)::INT, 2) AS part,
+            {_bucket('6 hours')} + INTERVAL 6 HOUR AS window_end FROM arrivals),
+    tops AS (SELECT part + 1 AS part, max(ts) AS top FROM cut GROUP BY part),
+    marks AS (SELECT part, max(top) OVER (ORDER BY part) - INTERVAL 10 MINUTE AS mark FROM tops),
+    judged AS (SELECT c.*, CASE WHEN mark IS NULL OR window_end > mark THEN 'in time'
+                               WHEN window_end + INTERVAL 5 DAY > mark THEN 'late' ELSE 'gone' END AS state
+               FROM cut c LEFT JOIN marks m ON c.part = m.part),
+    first AS (SELECT event_type, window_end, count(*) FILTER (state = 'in time') > 0 AS timely FROM judged GROUP BY ALL),
+    numbered AS (SELECT *, timely::INT + row_number() OVER (PARTITION BY event_type, window_end, state ORDER BY part, seq) AS nth
+                 FROM judged JOIN first USING (event_type, window_end)),
+    fires AS (SELECT event_type, window_end, nth AS firing FROM numbered WHERE state = 'late'
+              UNION ALL SELECT event_type, window_end, 1 FROM first WHERE timely AND window_end <= (SELECT max(mark) FROM marks))
+    SELECT event_id, event_type, window_end, firing FROM numbered JOIN fires USING (event_type, window_end)
+    WHERE state = 'in time' OR (state = 'late' AND nth <= firing)
+    UNION ALL SELECT event_id, event_type, window_end, 0 FROM judged WHERE state = 'gone'"""
+
+
 def _idle_late() -> str:
     """Three sources; a time-out mark after every row, which counts unless the source has sent a row meanwhile."""
     hour = 3_600_000_000
@@ -155,6 +186,10 @@ def oracles() -> dict[str, str]:
         "late_split_per_event": f"""WITH {_judged('30 minutes', '0 seconds')},
             each AS (SELECT event_id, window_end, wm_before + INTERVAL '1 millisecond' AS wm_before FROM judged)
             SELECT *, coalesce(window_end - INTERVAL '1 millisecond' <= wm_before, false) AS late FROM each""",
+        "changelog_stream": f"{_CHANGES} SELECT * FROM changes",
+        "changelog_stream_deletes": _TAKEN_BACK,
+        "fired_window_rows": _FIRED,
+        "dedup_interval_stream": _dedup("user_id", "12 hours"),
         "idle_sources_late": _idle_late(),
         "late_by_arrival_time": f"""WITH numbered AS (SELECT event_id, ts, row_number() OVER (
                 ORDER BY ts + to_seconds(event_id * 7919 % 3600), event_id) - 1 AS seq FROM events),

@@ -19,6 +19,10 @@ from tideline.operators import aggregates, dedup, distinct, idle, ids, keyed_tab
 from tideline.operators import changelog as changes
 from tideline.session import configure
 from tideline.sources.tables import TableSpec, testdata
+from tideline.streaming.changelog import changelog_stream as stream_changes
+from tideline.streaming.dedup import dedup_interval_stream as stream_dedup
+from tideline.streaming.firing import fired_window_rows_stream
+from tideline.streaming.replay import replay
 
 Query = Callable[[SparkSession, str], DataFrame]
 _REGISTRY: dict[str, Query] = {}
@@ -526,3 +530,45 @@ def snowflake_overflow(spark, folder):
     )
     worker = F.when(F.pmod("o_custkey", F.lit(10)) < 8, 37).otherwise(38)
     return ids.assign_ids(stamped, "ts", worker, "o_orderkey").select("o_orderkey", "id")
+
+
+# -- streams: the table arrives in three parts, one micro-batch each ----------------------------------
+
+
+def _in_parts(rows: DataFrame, seq: str = "seq") -> DataFrame:
+    """Add `part`: the third of the arrivals that a row is in."""
+    return rows.withColumn("part", F.floor(F.col(seq) * 3 / (F.lit(rows.select(F.max(seq)).scalar()) + 1)).cast("int"))
+
+
+@query
+def changelog_stream(spark, folder):
+    events = _arrivals(spark, folder).withColumn("cents", F.round(F.col("value") * 100).cast("bigint"))
+    parts = _in_parts(events.select("user_id", "seq", "cents"))
+    return replay(parts, "part", 3, lambda s: stream_changes(s, "user_id", "seq", "cents"))
+
+
+@query
+def changelog_stream_deletes(spark, folder):
+    """Every third event is taken back 50,000,000 arrivals later, and at last all events of every fifth user."""
+    events = _arrivals(spark, folder).select("user_id", "seq", F.round(F.col("value") * 100).cast("bigint").alias("cents"), F.lit(1).alias("sign"))
+    third, fifth = F.pmod("seq", F.lit(3)) == 0, F.pmod("user_id", F.lit(5)) == 0
+    again = lambda rows, later: rows.withColumns({"seq": F.col("seq") + later, "sign": F.lit(-1)})
+    all_rows = (events.unionByName(again(events.filter(third), 50_000_000)).unionByName(again(events.filter(fifth & ~third), 100_000_000)))
+    part = F.when(F.col("seq") >= 100_000_000, 2).when(F.col("seq") >= 50_000_000, 1).otherwise(0)
+    return replay(all_rows.withColumn("part", part), "part", 3, lambda s: stream_changes(s, "user_id", "seq", "cents", sign="sign"))
+
+
+@query
+def fired_window_rows(spark, folder):
+    """Windows with their rows at every firing. Every 50th event comes one part later than its number says."""
+    rows = _in_parts(_arrivals(spark, folder).select("event_id", "event_type", "ts", "seq"))
+    later = F.least(F.col("part") + (F.pmod("event_id", F.lit(50)) == 0).cast("int"), F.lit(2))
+    fired = replay(rows.withColumn("part", later), "part", 3, lambda s: fired_window_rows_stream(
+        s, ["event_type"], "ts", "seq", "6 hours", "10 minutes", "5 days"))
+    return fired.select("event_id", "event_type", "window_end", "firing")
+
+
+@query
+def dedup_interval_stream(spark, folder):
+    rows = _in_parts(_events(spark, folder).select("event_id", "user_id", "ts"), "event_id")
+    return replay(rows, "part", 3, lambda s: stream_dedup(s, ["user_id"], "ts", "12 hours", "event_id"))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from tideline.functions.times import duration_us, micros
-from tideline.streaming.windows import EVENT_TIME, with_event_time
+from tideline.streaming.windows import with_event_time
 
 _STATE = "free_from long"
 _EXACT = {"timestampFormat": "yyyy-MM-dd HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss.SSSSSS"}
@@ -62,18 +62,19 @@ def dedup_interval_stream(df: DataFrame, keys: Sequence[str], ts: str, interval:
                           delay: str = "1 second", processing_ttl: bool = False) -> DataFrame:
     """Pass a row, then drop its key's rows until `interval` after it. Needs the RocksDB state store.
 
-    The default clears a key by an event-time timer. `processing_ttl` lets the state expire by wall clock
-    instead; Spark does not mix the two in one operator. A key's rows of one micro-batch that may still pass are
-    held together. By default rows behind the watermark do not reach the state: a row later than `delay` is dropped even if
-    its key is new. Choose `delay` for the disorder of the source, or `processing_ttl`, which has no watermark.
+    The default clears a key by an event-time timer, once the watermark has passed its interval. `processing_ttl` lets the
+    state expire by wall clock instead; Spark does not mix the two in one operator. A key's rows of one micro-batch that may still
+    pass are held together. The watermark only clears state, it holds back no row: a row later than `delay` passes if nothing is
+    known of its key, new or cleared, and its state goes with the same batch.
     """
     rows = df.filter(F.col(ts).isNotNull())
     if not processing_ttl:
         rows = with_event_time(rows, ts, delay)
     # Record and key travel as text: whole numbers next to NULLs would become floating point in Python.
+    # Without the event time itself in these columns Spark drops no late row ahead of the state.
     staged = rows.select(
         F.to_json(F.struct(*keys), _EXACT).alias("key"), micros(ts).alias("stamp"), F.col(order).alias("place"),
-        F.to_json(F.struct(*df.columns), _EXACT).alias("record"), *([] if processing_ttl else [EVENT_TIME]),
+        F.to_json(F.struct(*df.columns), _EXACT).alias("record"),
     )
     return staged.groupBy("key").transformWithStateInPandas(
         statefulProcessor=_PassFirst(duration_us(interval), not processing_ttl),
