@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import itertools
 import re
+import time
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -155,3 +156,31 @@ def test_a_long_document_meets_its_target(spark):
     got = mixing.mix(frame).selectExpr("doc_id", "size", "source_size", "target", "size * repeats as taken").collect()
     gaps, _ = check(got, rows)
     assert max(map(abs, gaps.values())) <= 20_000
+
+
+def test_search_is_bounded(monkeypatch):
+    """Tables that no sum meets, and tables of many lengths: the steps of a knapsack are counted."""
+    shifts = []
+    real = mixing._shifted
+    monkeypatch.setattr(mixing, "_shifted", lambda words, by: shifts.append(len(words)) or real(words, by))
+    tables = [(np.append(np.arange(2, 400, 2), 9_999_999), np.append(np.full(199, 50), 1), [0.6, 0.1, 0.83], 2_900_000),
+              (np.append(np.arange(2, 2000, 2), 30_000_001), np.append(np.full(999, 5000), 1), [0.3, 0.5], 1),
+              (np.arange(3, 30_003) * 3, np.full(30_000, 1000), [0.4], 2)]
+    for lengths, counts, shares, slack in tables:
+        total = int((lengths * counts).sum())
+        for share in shares:
+            shifts.clear()
+            budget = int(total * share) | 1
+            begin = time.perf_counter()
+            take = mixing.fit_budget(lengths, counts, budget)
+            assert time.perf_counter() - begin < 20  # a few seconds on an idle machine
+            assert sum(n + 4096 for n in shifts) <= 4 * mixing.WORK
+            assert ((take >= 0) & (take <= counts)).all() and abs(int((lengths * take).sum()) - budget) <= slack
+
+
+@pytest.mark.parametrize("by", [0, 1, 63, 64, 65, 130, 400, -1, -64, -77, -400])
+def test_shifted_bits(by):
+    words = np.random.default_rng(1).integers(0, 1 << 63, 5, np.uint64)
+    value = sum(int(w) << 64 * i for i, w in enumerate(words))
+    moved = (value << by if by > 0 else value >> -by) & (1 << 320) - 1
+    assert sum(int(w) << 64 * i for i, w in enumerate(mixing._shifted(words, by))) == moved

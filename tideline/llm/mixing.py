@@ -14,8 +14,10 @@ from tideline.llm.common import row_key, saved
 WEIGHTS = (1, 2, 3)
 MAX_EPOCHS = 3
 WINDOW = 32_768
-# The most sums of words that one knapsack tells apart, five bytes each.
+# The most sums of words that one knapsack tells apart, a bit and four bytes each.
 LIMIT = 1 << 24
+# The most work of one knapsack: words of reached sums times steps, about a second.
+WORK = 1 << 29
 SEED = 17
 SUB_BITS = 12
 
@@ -64,31 +66,55 @@ def targets(sizes: DataFrame, weights: Sequence[int] = WEIGHTS, max_epochs: int
     return ranked.withColumn("target", F.least(cap.cast("double"), F.col("weight") * level))
 
 
+def _shifted(words: np.ndarray, by: int) -> np.ndarray:
+    """The bits of a row of 64-bit words moved up by `by` places (down if negative)."""
+    far, near = divmod(abs(by), 64)
+    out = np.zeros_like(words)
+    if far >= len(words):
+        return out
+    part = words[:len(words) - far] if by > 0 else words[far:]
+    to = out[far:] if by > 0 else out[:len(words) - far]
+    up, down = np.uint64(near), np.uint64(64 - near)
+    to[:] = part << up if by > 0 else part >> up
+    if near and by > 0:
+        to[1:] |= part[:-1] >> down
+    elif near:
+        to[:-1] |= part[1:] << down
+    return out
+
+
 def _knapsack(lengths: np.ndarray, add: np.ndarray, drop: np.ndarray, goal: int, low: int, high: int, least: int = 0) -> np.ndarray:
     """How many documents of each length to add (or, negative, to drop) for a sum as near to `goal` as can be.
 
     At most add[i] and drop[i] of a length move, in powers of two; sums stay within low..high all the way. Lengths enter in the
-    order given, until a sum is `least` from the goal. Below wins a tie. Per sum only the step that reached it first is kept.
+    order given, until a sum is `least` from the goal, or until WORK is used up: then the nearest sum of the lengths so far counts.
+    Below wins a tie. Reached sums are bits of words; per sum only the step that reached it first is kept.
     """
-    first = np.full(high - low + 1, -1, np.int32)
-    reached = np.zeros(high - low + 1, bool)
-    reached[-low] = True
-    best = [p for p in (goal - least - low, goal + least - low) if 0 <= p < len(reached)]
+    size = high - low + 1
+    first = np.full(size, -1, np.int32)
+    reached = np.zeros(-(-size // 64), np.uint64)
+    reached[-low // 64] = np.uint64(1 << (-low % 64))
+    inside = np.uint64((1 << 64) - 1 >> -size % 64)
+    near = [p for p in (goal - least - low, goal + least - low) if 0 <= p < size]
     steps: list[tuple[int, int]] = []
-    for i, size in enumerate(lengths.tolist()):
+    # A step costs as much as its words, and some more whatever they are.
+    allowed = max(1, WORK // (len(reached) + 4096))
+    for i, length in enumerate(lengths.tolist()):
         for sign, remaining in ((1, int(add[i])), (-1, int(drop[i]))):
-            remaining, power = min(remaining, (high - low) // size) if size else 0, 1
-            while remaining > 0 and not reached[best].any():
+            remaining, power = min(remaining, (high - low) // length) if length else 0, 1
+            while remaining > 0 and len(steps) < allowed and not any(int(reached[p // 64]) >> p % 64 & 1 for p in near):
                 part = min(power, remaining)
                 remaining -= part
                 power *= 2
-                by = part * size
-                new = (np.flatnonzero(reached[:-by] > reached[by:]) + by if sign > 0
-                       else np.flatnonzero(reached[by:] > reached[:-by]))
-                reached[new] = True
-                first[new] = len(steps)
+                new = _shifted(reached, sign * part * length) & ~reached
+                new[-1] &= inside
+                some = np.flatnonzero(new)
+                bits = np.unpackbits(new[some].astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+                row, bit = np.nonzero(bits)
+                first[some[row] * 64 + bit] = len(steps)
+                reached |= new
                 steps.append((i, sign * part))
-    sums = np.flatnonzero(reached)
+    sums = np.flatnonzero(np.unpackbits(reached.astype("<u8").view(np.uint8), bitorder="little")[:size])
     at = int(sums[np.argmin(np.abs(sums - (goal - low)))])
     moved = np.zeros(len(lengths), np.int64)
     while first[at] >= 0:
@@ -107,7 +133,8 @@ def fit_budget(lengths: np.ndarray, counts: np.ndarray, budget: int, window: int
     best that the lengths' common divisor allows, documents of any length are decided anew: all of them by one
     knapsack where twice the budget (or twice what it leaves out) is at most `limit` words, which is exact; else by
     exchanges around the bulk, where the sums on the way stay within limit / 2 words of it. Lengths above limit / 4 are
-    then exchanged in coarser units first.
+    then exchanged in coarser units first. Each of these at most four knapsacks stops at WORK; until then its answer is
+    the nearest there is among the sums named.
     """
     lengths, counts = lengths.astype(np.int64), counts.astype(np.int64)
     total = int((lengths * counts).sum())
