@@ -9,10 +9,12 @@ from data import DISORDERED, IN_ORDER, arrivals, at
 from pyspark.sql import functions as F
 
 from tideline.operators.changelog import agg_changelog
+from tideline.operators.ids import EPOCH_MS
 from tideline.operators.watermark import window_firings
 from tideline.streaming.changelog import changelog_stream
 from tideline.streaming.dedup import dedup_interval_stream
 from tideline.streaming.firing import fired_window_rows_stream
+from tideline.streaming.ids import assign_ids_stream
 from tideline.streaming.replay import replay
 
 
@@ -117,3 +119,18 @@ def test_a_late_row_of_a_new_key_passes(spark):
     # a's state is gone when row 5 comes; so is c's when row 6 comes; b is still held back at row 4.
     assert sorted(r.n for r in got.collect()) == [0, 1, 2, 3, 5, 6]
     assert got.filter(F.col("k") == "c").count() == 2
+
+
+def test_ids_stay_unique_over_batches_and_early_rows(spark):
+    """A crowded millisecond, rows earlier than those before, two workers, three runs: ids as a clock that never goes back gives them."""
+    rng = random.Random(5)
+    base = 1_700_000_000_000
+    rows = [(n, base + rng.choice([0, 1, 2, 40]) - 30 * (part == 1), rng.randrange(2), part) for part in range(3) for n in range(part * 6000, part * 6000 + 6000)]
+    table = spark.createDataFrame(rows, "n bigint, ms bigint, w int, part int").withColumn("ts", F.timestamp_millis("ms"))
+    got = replay(table, "part", 3, lambda s: assign_ids_stream(s, "ts", F.col("w"), "n"))
+    free, expected = {}, {}
+    for n, ms, w, part in sorted(rows, key=lambda r: (r[3], r[1], r[0])):
+        slot = max(free.get(w, 0), ms * 4096)
+        free[w] = slot + 1
+        expected[n] = (slot // 4096 - EPOCH_MS << 22) | (w << 12) | slot % 4096
+    assert {r.n: r.id for r in got.collect()} == expected and len(set(expected.values())) == len(rows)

@@ -145,7 +145,7 @@ def test_ids_follow_the_waiting_generator(spark):
     rows = [(i, base + rng.choice([0, 0, 0, 0, 1, 1, 3, 9]), 5 if i % 8 else 6) for i in range(24_000)]
     rows += [(24_000 + i, base + 500 + i, 7) for i in range(20)]
     df = spark.createDataFrame(rows, "n bigint, ms bigint, w bigint").withColumn("ts", F.timestamp_millis("ms"))
-    got = {r.n: r.id for r in ids.assign_ids(df, "ts", F.col("w"), "n", bucket_bits=8, ms_bits=1).collect()}
+    got = {r.n: r.id for r in ids.assign_ids(df, "ts", F.col("w"), "n", order_bits=3, ms_bits=1).collect()}
 
     expected, free = {}, defaultdict(int)
     for n, ms, w in sorted(rows, key=lambda r: (r[2], r[1], r[0])):

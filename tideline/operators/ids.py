@@ -2,11 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tideline.operators.running import running, seq_bucket
-
 # Fixed values of the id layout: 41 bits of milliseconds since the epoch below, data centre, machine, sequence.
 EPOCH_MS = 1480166465631
 DATACENTER_BITS = 5
@@ -63,31 +61,37 @@ def decode_id(column: str | Column) -> dict[str, Column]:
 
 
 def assign_ids(df: DataFrame, ts: str, worker: Column, order: str, name: str = "id", *,
-               bucket_bits: int = 16, ms_bits: int = 12) -> DataFrame:
+               order_bits: int = 16, ms_bits: int = 12) -> DataFrame:
     """Give every row an id unique in the table.
 
     worker: expression that spreads rows over 0..1023, stable per row. order: unique BIGINT that orders the rows of one
     millisecond. A worker has 4,096 ids per millisecond; further rows take the next free milliseconds, as a
     generator that waits for the clock would hand them out.
 
-    A worker's rows, in order, take slots p = max(previous + 1, ms * 4096). With c rows before a millisecond
-    and M the running maximum of (ms * 4096 - c), its first slot is c + M: a running count and a running
-    maximum over (worker, ms) totals. Inside a millisecond a third running count goes on from that slot. Whole rows
-    move once, whatever the crowding; `order` may be sparse.
+    Rows are counted in blocks of (worker, ms, order >> order_bits). A block of n rows takes the next free slot x to
+    max(x, ms * 4096) + n, so a run of blocks takes x to max(x + a, b) for two numbers a and b, and such pairs compose. They
+    are scanned in one pass: inside (worker, ms >> ms_bits), then over these buckets of a worker. Rows are numbered in their
+    block alone, so a crowded millisecond is not one group. Take order_bits for blocks of some ten thousand rows: 16 for
+    numbers that are nearly dense, 48 for hashes.
     """
-    rows = df.withColumns({"_worker": worker.cast("bigint"), "_ms": F.unix_millis(F.col(ts).cast("timestamp"))})
-    totals = rows.groupBy("_worker", "_ms").agg(F.count("*").alias("_n"))
-    by_time = F.shiftright(F.col("_ms"), ms_bits)
-    counted = running(totals, ["_worker"], ["_ms"], {"_c": ("sum", "_n")}, by_time)
-    counted = counted.withColumn("_c", F.coalesce("_c_before", F.lit(0).cast("bigint"))).drop("_c_before")
-    first = running(
-        counted, ["_worker"], ["_ms"], {"_m": ("max", F.col("_ms") * PER_MS - F.col("_c"))}, by_time
-    ).select("_worker", "_ms", (F.col("_c") + F.col("_m")).alias("_slot"))
-    ranked = running(
-        rows, ["_worker", "_ms"], [order], {"_slot": ("count", F.lit(1))}, seq_bucket(order, bucket_bits), levels=2, start=first
-    )
-    slot = F.col("_slot_before")
-    return ranked.withColumn(
-        name,
-        encode_id(F.shiftright(slot, SEQUENCE_BITS), F.col("_worker"), slot.bitwiseAND(_mask(SEQUENCE_BITS))),
-    ).drop("_worker", "_ms", "_slot", "_slot_before")
+    rows = df.withColumns({"_worker": worker.cast("bigint"), "_ms": F.unix_millis(F.col(ts).cast("timestamp")),
+                           "_block": F.shiftright(F.col(order).cast("bigint"), order_bits)})
+    block = ["_worker", "_ms", "_block"]
+    none = F.lit(0).cast("bigint")
+    before = lambda w: w.rowsBetween(Window.unboundedPreceding, -1)
+    counted = rows.groupBy(*block).agg(F.count("*").alias("_n")).withColumn("_bucket", F.shiftright("_ms", ms_bits))
+    local = Window.partitionBy("_worker", "_bucket").orderBy("_ms", "_block")
+    counted = counted.withColumn("_c", F.coalesce(F.sum("_n").over(before(local)), none))
+    # With c rows before it, a block begins at c plus the maximum of (ms * 4096 - c) over the blocks up to it.
+    counted = counted.withColumn("_m", F.max(F.col("_ms") * PER_MS - F.col("_c")).over(local.rowsBetween(Window.unboundedPreceding, 0)))
+    buckets = counted.groupBy("_worker", "_bucket").agg(F.sum("_n").alias("_a"), F.max("_m").alias("_b"))
+    over = Window.partitionBy("_worker").orderBy("_bucket")
+    buckets = buckets.withColumn("_rows", F.coalesce(F.sum("_a").over(before(over)), none))
+    buckets = buckets.withColumn("_high", F.max(F.col("_b") - F.col("_rows")).over(before(over)))
+    begins = counted.join(buckets.select("_worker", "_bucket", "_rows", "_high"), ["_worker", "_bucket"]).select(
+        *block, (F.col("_c") + F.col("_rows") + F.greatest(F.col("_m") - F.col("_rows"), "_high")).alias("_begin"))
+    nth = F.row_number().over(Window.partitionBy(*block).orderBy(order)) - 1
+    slot = F.col("_begin") + F.col("_nth")
+    return (rows.withColumn("_nth", nth).join(begins, block)
+            .withColumn(name, encode_id(F.shiftright(slot, SEQUENCE_BITS), F.col("_worker"), slot.bitwiseAND(_mask(SEQUENCE_BITS))))
+            .drop(*block, "_nth", "_begin"))

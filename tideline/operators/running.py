@@ -105,11 +105,12 @@ def running(
     )
 
 
-def number_rows(df: DataFrame, order: Sequence[str], bucket: Column, name: str = "seq") -> DataFrame:
+def number_rows(df: DataFrame, order: Sequence[str], bucket: Column, name: str = "seq", levels: int = 1) -> DataFrame:
     """Dense row number from 0 in the order of any columns that order the rows uniquely, without a single-task sort.
 
     bucket: an integer that never decreases in that order, such as the minute of the first column. Rows of one
-    bucket share a task. Nothing runs before the result is used.
+    bucket share a task. One level suits slices of time; take two for buckets that are sparse numbers. Nothing runs before the
+    result is used.
     """
-    numbered = running(df, [], order, {"_n": ("count", F.lit(1))}, bucket, levels=2)
+    numbered = running(df, [], order, {"_n": ("count", F.lit(1))}, bucket, levels=levels)
     return numbered.withColumn(name, F.col("_n_before")).drop("_n", "_n_before")

@@ -26,13 +26,14 @@ def _mark(max_ts: Column, delay: str, per_event: bool) -> Column:
 
 def replay_watermark(
     df: DataFrame, ts: str, seq: str, delay: str = "0 seconds", *,
-    per_event: bool = False, start_max: datetime | Column | None = None, bucket_bits: int = SEQ_BITS,
+    per_event: bool = False, start_max: datetime | Column | None = None, bucket_bits: int = SEQ_BITS, dense: bool = True,
 ) -> DataFrame:
     """Add `wm_before`, the watermark that holds when the row arrives; NULL before the first row.
 
-    start_max: largest timestamp seen before this table, to go on from an earlier part of a stream.
+    start_max: largest timestamp seen before this table, to go on from an earlier part of a stream. dense: arrival numbers are
+    offsets or row numbers, so that one fold of 2**16 buckets of 2**16 numbers does; say False for hashes or sparse ids.
     """
-    seen = running(df, [], [seq], {"_max_ts": ("max", ts)}, seq_bucket(seq, bucket_bits), levels=2)
+    seen = running(df, [], [seq], {"_max_ts": ("max", ts)}, seq_bucket(seq, bucket_bits), levels=1 if dense else 2)
     max_before = F.col("_max_ts_before")
     if start_max is not None:
         max_before = F.greatest(max_before, F.lit(start_max).cast(df.schema[ts].dataType))

@@ -294,6 +294,7 @@ def oracles() -> dict[str, str]:
                 PARTITION BY o_custkey % 50, o_custkey > 700 ORDER BY o_orderdate DESC, _commit DESC, o_orderkey DESC) AS rn
             FROM log) WHERE rn = 1""",
         "snowflake_encode": f"{_EVENT_IDS} SELECT k AS event_id, id FROM ids",
+        "snowflake_stream": f"{_EVENT_IDS} SELECT k AS event_id, id FROM ids",
         "snowflake_decode": f"""{_EVENT_IDS} SELECT k AS event_id, id_ms::BIGINT AS ms, w // 32 AS datacenter,
             w % 32 AS machine, sequence::BIGINT AS sequence FROM ids""",
         "snowflake_overflow": f"{_ORDER_IDS} SELECT k AS o_orderkey, id FROM ids",

@@ -22,6 +22,7 @@ from tideline.sources.tables import TableSpec, testdata
 from tideline.streaming.changelog import changelog_stream as stream_changes
 from tideline.streaming.dedup import dedup_interval_stream as stream_dedup
 from tideline.streaming.firing import fired_window_rows_stream
+from tideline.streaming.ids import assign_ids_stream
 from tideline.streaming.replay import replay
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -572,3 +573,11 @@ def fired_window_rows(spark, folder):
 def dedup_interval_stream(spark, folder):
     rows = _in_parts(_events(spark, folder).select("event_id", "user_id", "ts"), "event_id")
     return replay(rows, "part", 3, lambda s: stream_dedup(s, ["user_id"], "ts", "12 hours", "event_id"))
+
+
+@query
+def snowflake_stream(spark, folder):
+    """Ids handed out by three runs of one stream."""
+    rows = _in_parts(_events(spark, folder).select("event_id", "user_id", "ts"), "event_id")
+    worker = F.pmod("user_id", F.lit(ids.WORKERS))
+    return replay(rows, "part", 3, lambda s: assign_ids_stream(s, "ts", worker, "event_id")).select("event_id", "id")
