@@ -32,12 +32,10 @@ def test_language_held_out(spark, folder):
     assert np.mean([truth[r.doc_id] == r.lang_pred for r in held]) > 0.97
 
 
-@pytest.mark.parametrize("text", ["Ein kurzer Satz, mit Umlaut: ä!", "a", "  12 x 34 y", "été " * 300])
+@pytest.mark.parametrize("text", ["Ein kurzer Satz, mit Umlaut: ä!", "a", "  12 x 34 y", "été " * 300, "日本語 한국어 𐐀𐐁"])
 def test_presence_holds_the_blended_spectrum(text):
     found = language.presence(text)
-    grams = len(brute_presence(text))
-    # Few n-grams share one of 16,384 buckets.
-    assert grams * 0.97 - 1 <= found.sum() <= grams + 3
+    assert len(found) == len(brute_presence(text)) and found.all()
 
 
 def test_presence_of_long_text_does_not_depend_on_steps(monkeypatch):
@@ -47,6 +45,58 @@ def test_presence_of_long_text_does_not_depend_on_steps(monkeypatch):
     assert (language.presence(text) == whole).all()
 
 
+def test_gram_table_finds_what_it_holds():
+    rng = np.random.default_rng(1)
+    values = np.unique(rng.integers(1, 1 << 63, 3000, np.uint64) * np.uint64(2))
+    crowded = np.append(values, np.arange(1, 900, dtype=np.uint64))  # all of these begin at one place
+    table = language.GramTable(crowded)
+    assert sorted(table.find(crowded).tolist()) == list(range(len(crowded)))
+    assert len(table.find(np.arange(900, 5000, dtype=np.uint64))) == 0
+
+
+def random_text(rng, first, letters, length):
+    return "".join(map(chr, first + rng.integers(0, letters, length)))
+
+
+def test_long_texts_of_large_alphabets(spark):
+    """Texts hundreds of times longer than those learned from: right, and as sure as short ones."""
+    rng = np.random.default_rng(6)
+    kinds = {"zh": (0x4E00, 20_000), "ko": (0xAC00, 11_000)}
+    rows = [(i, random_text(rng, *kinds[lang], 300), lang) for i in range(400) for lang in [("zh", "ko")[i % 2]]]
+    model = language.fit(spark.createDataFrame(rows, "doc_id bigint, text string, lang string"))
+    for lang, (first, letters) in kinds.items():
+        names, scores = model.decide([random_text(rng, first, letters, n) for n in (300, 5_000, 60_000, 200_000)])
+        assert names == [lang] * 4 and scores.min() > 0.75
+
+
+def test_equals_kernel_ridge_regression(spark):
+    """With every text a landmark: regression on the whole kernel matrix, by the n-grams themselves."""
+    rng = np.random.default_rng(2)
+    rows = [(i, random_text(rng, 97 + 3 * (i % 3), 8, int(rng.integers(5, 60))), f"l{i % 3}") for i in range(60)]
+    used = [(t, lang) for i, t, lang in rows if crc32_mod_of(i, 5)]
+    model = language.fit(spark.createDataFrame(rows, "doc_id bigint, text string, lang string"))
+    sets = [brute_presence(t) for t, _ in used]
+    kernel = lambda a, b: len(a & b) / np.sqrt(len(a) * len(b))
+    inner = np.array([[kernel(a, b) for b in sets] for a in sets])
+    y = np.array([[1.0 if lang == name else -1.0 for name in ("l0", "l1", "l2")] for _, lang in used])
+    dual = np.linalg.solve(inner + language.RIDGE * len(used) * np.eye(len(used)), y)
+    asked = [random_text(rng, 97 + 3 * (i % 3), 8, 40) for i in range(30)]
+    names, scores = model.decide(asked)
+    for text, name, score in zip(asked, names, scores):
+        own = np.array([kernel(brute_presence(text), s) for s in sets])
+        value = own @ dual / np.sqrt(own @ np.linalg.solve(inner, own))
+        assert name == f"l{value.argmax()}" and score == pytest.approx(min(max((value.max() + 1) / 2, 0), 1), abs=1e-4)
+
+
+def test_hot_language_and_repeated_rows(spark):
+    """The sample of a language stays near its bound, whatever the number of rows and copies."""
+    rows = [(i, f"ein text {i % 3000} mehr", "de") for i in range(9000)] + [(10_000 + i, "always the same text", "en") for i in range(3000)]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    model = language.fit(frame, per_language=200)
+    assert model.languages == ["de", "en"]
+    assert model.decide(["ein text 77 mehr", "the same"])[0] == ["de", "en"]
+
+
 def test_language_odd_rows(spark):
     table = odd_table(spark)
     model = language.fit(table)
