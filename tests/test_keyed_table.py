@@ -1,5 +1,8 @@
 from __future__ import annotations
 
+import random
+
+import pytest
 from data import at
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -111,3 +114,68 @@ def test_merge_rows(spark):
     table = rows(spark, [("a", 1, 5, "x"), ("b", 2, 5, "x")])
     batch = rows(spark, [("a", 9, 4, "x"), ("b", 8, 5, "x"), ("c", 3, 0, "x")])
     assert state(K.merge_rows(table, batch, "id", "ts")) == {"a": 1, "b": 8, "c": 3}
+
+
+def brute_compactions(times, every, wait):
+    """Commits that compact: the first `every` commits and `wait` after the one before (or after the first commit)."""
+    found, since, count = [], times[0], 0
+    for n, t in enumerate(times):
+        count += 1
+        if count >= every and t >= since + wait:
+            found.append(n)
+            since, count = t, 0
+    return found
+
+
+@pytest.mark.parametrize("every,wait", [(3, 30), (1, 0), (1, 50), (7, 1), (3, 10_000)])
+def test_compaction_by_number_and_time(spark, every, wait):
+    rng = random.Random(every)
+    for length in (1, 2, 40, 300):
+        times, now = [], 0
+        for _ in range(length):
+            now += rng.choice([0, 1, 5, 40])
+            times.append(now)
+        commits = spark.createDataFrame([(n * 2, at(t)) for n, t in enumerate(times)], "_commit bigint, time timestamp_ntz").repartition(3)
+        got = K.compaction_commit_timed(commits, "time", every, f"{wait} seconds").first().last
+        found = brute_compactions(times, every, wait)
+        assert got == (found[-1] * 2 if found else None)
+    assert K.compaction_commit_timed(commits.limit(0), "time").first().last is None
+
+
+def files(path):
+    return {p.relative_to(path): (p.stat().st_mtime_ns, p.stat().st_ino) for p in path.rglob("*.parquet")}
+
+
+def test_copy_on_write_rewrites_the_touched_buckets_alone(spark, tmp_path):
+    path, schema = tmp_path / "table", "k bigint, v string, t bigint, op string"
+    made = lambda some: spark.createDataFrame(some, schema)
+    merge = lambda some: K.copy_on_write(made(some), str(path), "k", "t", 8, op="op")
+    shape = made([]).drop("op").schema
+    read = lambda: {r.k: (r.v, r.t) for r in K.read_current(spark, str(path), shape).collect()}
+    merge([(k, f"v{k}", 1, "U") for k in range(100)])
+    assert read() == {k: (f"v{k}", 1) for k in range(100)}
+    before = files(path)
+    merge([(3, "new", 2, "U"), (3, "newer", 3, "U"), (5, "old", 0, "U"), (7, None, 2, "D"), (200, "more", 1, "U")])
+    expected = {k: (f"v{k}", 1) for k in range(100) if k != 7} | {3: ("newer", 3), 200: ("more", 1)}
+    assert read() == expected
+    touched = {r[0] for r in made([(k, "", 0, "") for k in (3, 5, 7, 200)]).select(K._bucket_of(["k"], 8)).collect()}
+    after, own = files(path), lambda f: int(f.parts[0].split("=")[1])
+    assert len(touched) < 8 and {f: s for f, s in before.items() if own(f) not in touched} == {f: s for f, s in after.items() if own(f) not in touched}
+    # A repeat, and nothing at all, change nothing.
+    merge([(3, "new", 2, "U"), (3, "newer", 3, "U"), (5, "old", 0, "U"), (7, None, 2, "D"), (200, "more", 1, "U")])
+    assert read() == expected
+    merge([])
+    assert read() == expected
+    # Equal versions go to the later change, and a bucket may lose all its keys.
+    merge([(3, "again", 3, "U")] + [(k, None, 9, "D") for k in [*range(100), 200] if k != 3])
+    assert read() == {3: ("again", 3)}
+    merge([(7, "back", 1, "U")])
+    assert read() == {3: ("again", 3), 7: ("back", 1)}
+
+
+def test_copy_on_write_of_two_keys(spark, tmp_path):
+    path = str(tmp_path / "table")
+    one = spark.createDataFrame([("a", None, 1), ("a", 2, 1), (None, 2, 1)], "x string, y int, t int")
+    K.copy_on_write(one, path, ["x", "y"], "t", 3)
+    K.copy_on_write(spark.createDataFrame([("a", None, 5)], one.schema), path, ["x", "y"], "t", 3)
+    assert sorted(map(tuple, K.read_current(spark, path, one.schema).collect()), key=str) == sorted([("a", None, 5), ("a", 2, 1), (None, 2, 1)], key=str)

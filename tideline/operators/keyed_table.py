@@ -6,12 +6,16 @@ The version of a key with the greatest ordering value counts; equal values go to
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tideline.functions.times import duration_us, micros
+
 COMMIT, OP = "_commit", "_op"
 UPSERT, DELETE = "U", "D"
 
@@ -62,11 +66,45 @@ def compaction_commit(log: DataFrame, every: int = 3) -> DataFrame:
     return top.select(F.try_element_at("top", place).alias("last"))
 
 
-def read_optimized(log: DataFrame, keys, ordering: str, every: int = 3, tie: Sequence[str] = ()) -> DataFrame:
-    """State as of the last compaction: nothing of the commits after it."""
-    return upsert_latest(
-        log.filter(F.col(COMMIT) <= compaction_commit(log, every).scalar()), keys, ordering, tie
-    )
+def compaction_commit_timed(commits: DataFrame, time: str, every: int = 3, span_text: str = "30 seconds") -> DataFrame:
+    """One row `last`: the commit of the last compaction when one runs with the first commit that is at least `every` commits
+    and at least the span of time after the compaction before; NULL before it.
+
+    commits has one row per commit with its time, which does not go back; the first compaction counts commits from the
+    first one on, and time from that one's. They are read in order as one stream of which only the last compaction is held: a
+    light row per commit, whatever the commits hold.
+    """
+    if every < 1:
+        raise ValueError("every must be at least 1")
+    step = duration_us(span_text)
+    ordered = commits.select(F.col(COMMIT).cast("bigint").alias(COMMIT), micros(time).alias("_us"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, since, count = None, None, 0
+        for batch in batches:
+            numbers, times = (batch.column(i).to_numpy() for i in range(2))
+            at = 0
+            if since is None and len(times):
+                since = int(times[0])
+            while at < len(times):
+                # Both waits at once: the number of commits, and the time by binary search.
+                due = max(at + every - count - 1, at + int(np.searchsorted(times[at:], since + step)))
+                if due >= len(times):
+                    count += len(times) - at
+                    break
+                last, since, count, at = int(numbers[due]), int(times[due]), 0, due + 1
+        yield pa.RecordBatch.from_arrays([pa.array([last], pa.int64())], ["last"])
+
+    one = ordered.repartition(1).sortWithinPartitions(COMMIT)
+    return one.mapInArrow(run, "last bigint").agg(F.max("last").alias("last"))
+
+
+def read_optimized(log: DataFrame, keys, ordering: str, every: int = 3, tie: Sequence[str] = (), *, commits: DataFrame | None = None,
+                   time: str = "time", span_text: str = "30 seconds") -> DataFrame:
+    """State as of the last compaction: nothing of the commits after it. With `commits`, one row per commit with its time, a compaction
+    waits for the number of commits and for the span of time."""
+    last = compaction_commit(log, every) if commits is None else compaction_commit_timed(commits, time, every, span_text)
+    return upsert_latest(log.filter(F.col(COMMIT) <= last.scalar()), keys, ordering, tie)
 
 
 def delete_keys(log: DataFrame, keys_df: DataFrame, keys, ordering: str, commit: int | None = None,
@@ -99,6 +137,62 @@ def merge_rows(table: DataFrame, changes: DataFrame, keys, ordering: str, tie: S
     return upsert_latest(as_commit(table, 0).unionByName(as_commit(changes, 1)), keys, ordering, tie)
 
 
+# -- a current table, copied on write -----------------------------------------------------------------
+
+BUCKET = "_bucket"
+
+
+def _bucket_of(keys: Sequence[str], buckets: int):
+    return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(folder)
+
+
+def read_current(spark: SparkSession, path: str, row_schema: T.StructType) -> DataFrame:
+    """The rows of a table that `copy_on_write` keeps."""
+    return spark.read.schema(row_schema).parquet(path).select(*row_schema.names)
+
+
+def copy_on_write(changes: DataFrame, path: str, keys: str | Sequence[str], ordering: str, buckets: int, tie: Sequence[str] = (),
+                  op: str | None = None) -> None:
+    """Merge changes into the table at `path`, a folder of Parquet files with one row per key that anyone can read.
+
+    Keys are dealt to `buckets` folders by hash, a number that stays for the life of the table. Only the buckets of the changed keys
+    are read, merged in a folder beside the table, and overwritten; files of the others stay as they are. The version
+    with the greatest ordering value counts; of equal ones that of the changes. A repeated call changes nothing, and one that broke off is
+    mended by a repeat. op: a column of 'U' and 'D'; a deleted key is taken out of the table, and comes back with its next change.
+    """
+    spark = changes.sparkSession
+    names, columns = _names(keys), [c for c in changes.columns if c != op]
+    kind = F.lit(UPSERT) if op is None else F.col(op)
+    new = changes.select(*columns, F.lit(1).cast("bigint").alias(COMMIT), kind.alias(OP)).withColumn(BUCKET, _bucket_of(names, buckets))
+    new.persist()
+    staged = f"{path.rstrip('/')}_staged"
+    try:
+        touched = [r[0] for r in new.select(BUCKET).distinct().collect()]  # at most `buckets` numbers
+        if not touched:
+            return
+        both = new
+        if _exists(spark, path):
+            stored = T.StructType([*changes.select(*columns).schema.fields, T.StructField(BUCKET, T.IntegerType())])
+            old = spark.read.schema(stored).parquet(path).filter(F.col(BUCKET).isin(touched))
+            both = new.unionByName(old.withColumns({COMMIT: F.lit(0).cast("bigint"), OP: F.lit(UPSERT)}))
+        merged = upsert_latest(both, names, ordering, tie).select(*columns, BUCKET)
+        merged.hint("rebalance", BUCKET).write.mode("overwrite").partitionBy(BUCKET).parquet(staged)
+        # A bucket whose last key was deleted has no rows left to overwrite it with.
+        left = spark.read.schema(merged.schema).parquet(staged)
+        gone = set(touched) - {r[0] for r in left.select(BUCKET).distinct().collect()}
+        left.hint("rebalance", BUCKET).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(BUCKET).parquet(path)
+        for bucket in gone:
+            folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{BUCKET}={bucket}")
+            folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(folder, True)
+    finally:
+        new.unpersist()
+
+
 def as_commit(rows: DataFrame, commit: int, op: str = UPSERT) -> DataFrame:
     """Stamp rows for the log. With commit 0 this takes over an existing table."""
     return rows.withColumns({COMMIT: F.lit(commit).cast("bigint"), OP: F.lit(op)})

@@ -56,6 +56,9 @@ def _hash(text: str, factor: int) -> str:
     return f"CASE WHEN {scaled} >= 2147483648 THEN {scaled} - 4294967296 ELSE {scaled} END"
 
 
+_CENTS = """SELECT {}max(cents) AS max, min(cents) AS min, sum(cents)::BIGINT AS sum, avg(cents) AS avg, count(cents) AS counts
+    FROM (SELECT *, ts::DATE::VARCHAR AS day, CASE WHEN event_id % 11 > 0 THEN round(value * 100)::BIGINT END AS cents FROM events) GROUP BY ALL"""
+
 _TAKEN_BACK = f"""WITH {_ARRIVALS},
     e AS (SELECT user_id, seq, round(value * 100)::BIGINT AS cents, 1 AS sign FROM arrivals),
     signed AS (SELECT * FROM e
@@ -142,6 +145,17 @@ def _ids(table: str, key: str, ms: str, worker: str) -> str:
             ((slot // 4096 - 1480166465631) * 4194304 + w * 4096 + slot % 4096)::BIGINT AS id FROM slotted)"""
 
 
+_TIMED = f"""WITH RECURSIVE days AS (SELECT *, datediff('day', DATE '1992-01-01', o_orderdate::DATE) AS day FROM orders WHERE o_orderkey % 3 > 0),
+    log AS (SELECT {_ROW}, day // 100 * 1000 + day % 100 // (day // 100 % 9 + 1) AS _commit FROM days),
+    commits AS (SELECT _commit, max(o_orderdate) AS time, row_number() OVER (ORDER BY _commit) AS n FROM log GROUP BY _commit),
+    chain(n, time) AS (
+        SELECT 0::BIGINT, min(time) FROM commits
+        UNION ALL
+        SELECT x.n, x.time FROM chain p, LATERAL (
+            SELECT c.n, c.time FROM commits c WHERE c.n >= p.n + 3 AND c.time >= p.time + INTERVAL 15 DAY ORDER BY c.n LIMIT 1) x),
+    compacted AS (SELECT max(_commit) AS last FROM commits WHERE n = (SELECT max(n) FROM chain))
+    SELECT {_ROW} FROM (SELECT *, {_NEWEST} AS rn FROM log WHERE _commit <= (SELECT last FROM compacted)) WHERE rn = 1"""
+
 _EVENT_IDS = _ids("events", "event_id", "epoch_us(ts) // 1000", "user_id % 1024")
 _ORDER_IDS = _ids("orders", "o_orderkey", "1704067200000 + o_orderkey % 3", "CASE WHEN o_custkey % 10 < 8 THEN 37 ELSE 38 END")
 
@@ -179,6 +193,14 @@ def oracles() -> dict[str, str]:
         "bitmap_distinct": "SELECT event_type, count(DISTINCT user_id) AS uv FROM events GROUP BY event_type",
         "bitmap_distinct_rollup": """SELECT event_type, count(DISTINCT event_id) AS ids FROM events GROUP BY event_type
             UNION ALL SELECT 'all', count(DISTINCT event_id) FROM events""",
+        "bitmap_rollup_hashed": """WITH e AS (SELECT event_type, event_id * 2654435761 % 1099511627776 AS hashed,
+                CASE WHEN event_id % 4 = 0 THEN event_id + 2000000000 ELSE event_id * 2654435761 % 1099511627776 END AS mixed FROM events)
+            SELECT event_type, count(DISTINCT hashed) AS ids, 'hashed' AS kind FROM e GROUP BY event_type
+            UNION ALL SELECT event_type, count(DISTINCT mixed), 'mixed' FROM e GROUP BY event_type""",
+        "user_aggregate": _CENTS.format("event_type, day, "),
+        "user_aggregate_sql": _CENTS.format("event_type, "),
+        "user_distinct": """SELECT event_type, count(DISTINCT CASE WHEN event_id % 11 > 0 THEN round(value * 100)::BIGINT END) AS uv
+            FROM events GROUP BY event_type""",
         "late_split": f"""WITH {_judged('30 minutes', '10 minutes', '5 minutes')}
             SELECT event_id, window_end, wm_before, late FROM judged""",
         "late_split_strict": f"""WITH {_judged('30 minutes', '0 seconds')}
@@ -186,6 +208,9 @@ def oracles() -> dict[str, str]:
         "late_split_per_event": f"""WITH {_judged('30 minutes', '0 seconds')},
             each AS (SELECT event_id, window_end, wm_before + INTERVAL '1 millisecond' AS wm_before FROM judged)
             SELECT *, coalesce(window_end - INTERVAL '1 millisecond' <= wm_before, false) AS late FROM each""",
+        "read_optimized_timed": _TIMED,
+        "cow_upsert": f"""SELECT {_ROW} FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn
+            FROM orders) WHERE rn = 1""",
         "changelog_stream": f"{_CHANGES} SELECT * FROM changes",
         "changelog_stream_deletes": _TAKEN_BACK,
         "fired_window_rows": _FIRED,

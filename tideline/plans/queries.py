@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 from tideline.functions import from_epoch_ms, java_hash, parse_clicks, parse_json, parse_pairs, parse_temperatures, span, user_func
 from tideline.functions.register import register_functions
 from tideline.functions.times import clock, epoch_ms
-from tideline.operators import aggregates, dedup, distinct, idle, ids, keyed_table, ordered, running, watermark, windows
+from tideline.operators import aggregates, dedup, distinct, idle, ids, keyed_table, ordered, running, userdefined, watermark, windows
 from tideline.operators import changelog as changes
 from tideline.session import configure
 from tideline.sources.tables import TableSpec, testdata
@@ -23,7 +23,8 @@ from tideline.streaming.changelog import changelog_stream as stream_changes
 from tideline.streaming.dedup import dedup_interval_stream as stream_dedup
 from tideline.streaming.firing import fired_window_rows_stream
 from tideline.streaming.ids import assign_ids_stream
-from tideline.streaming.replay import replay
+from tideline.streaming.replay import replay, replay_into
+from tideline.streaming.sinks import current_table_sink
 
 Query = Callable[[SparkSession, str], DataFrame]
 _REGISTRY: dict[str, Query] = {}
@@ -154,6 +155,50 @@ def bitmap_distinct_rollup(spark, folder):
     return per_type.unionByName(total.withColumn("event_type", F.lit("all")))
 
 
+@query
+def bitmap_rollup_hashed(spark, folder):
+    """Daily states of scattered ids, and of ids that are dense in one range and scattered beyond, merged to totals per type."""
+    number = F.col("event_id")
+    scattered = F.pmod(number * 2_654_435_761, F.lit(1 << 40))
+    mixed = F.when(F.pmod(number, F.lit(4)) == 0, number + 2_000_000_000).otherwise(scattered)
+    events = _events(spark, folder).select("event_type", F.to_date("ts").alias("day"), scattered.alias("hashed"), mixed.alias("mixed"))
+    parts = []
+    for ids_of in ("hashed", "mixed"):
+        merged = distinct.bitmap_rollup(distinct.bitmap_state(events, ["day", "event_type"], ids_of), ["event_type"])
+        parts.append(distinct.bitmap_cardinality(merged, ["event_type"], "ids").withColumn("kind", F.lit(ids_of)))
+    return parts[0].unionByName(parts[1])
+
+
+def _cents(spark, folder):
+    """Amounts per type and day; every 11th event has none."""
+    cents = F.when(F.pmod("event_id", F.lit(11)) > 0, F.round(F.col("value") * 100).cast("bigint"))
+    return _events(spark, folder).select("event_type", "user_id", F.to_date("ts").cast("string").alias("day"), cents.alias("cents"))
+
+
+@query
+def user_aggregate(spark, folder):
+    """An aggregate that a user states as create, add, merge and result."""
+    return userdefined.aggregate(_cents(spark, folder), ["event_type", "day"], userdefined.Stats(), ["cents"])
+
+
+@query
+def user_aggregate_sql(spark, folder):
+    """The same called from SQL, per type."""
+    userdefined.register_aggregate(spark, "amount_stats", userdefined.Stats(), "string")
+    _cents(spark, folder).createOrReplaceTempView("user_aggregate_amounts")
+    return spark.sql("""SELECT key AS event_type, r.* FROM (
+        SELECT key, amount_stats_result(amount_stats_merge(state)) AS r
+        FROM amount_stats_partial(TABLE(SELECT event_type, cents FROM user_aggregate_amounts)) GROUP BY key)""")
+
+
+@query
+def user_distinct(spark, folder):
+    """Distinct amounts per type: by slices of their hash, which are added up."""
+    sliced = _cents(spark, folder).withColumn("slice", F.pmod(F.xxhash64("cents"), F.lit(16)))
+    counted = userdefined.aggregate(sliced, ["event_type", "slice"], userdefined.Distinct(), ["cents"])
+    return counted.groupBy("event_type").agg(F.sum("uv").alias("uv"))
+
+
 # -- arrival order and watermarks ---------------------------------------------------------------------
 
 
@@ -458,6 +503,18 @@ def read_optimized(spark, folder):
     return keyed_table.read_optimized(_order_log(spark, folder), every=3, **_LOG_KEYS)
 
 
+@query
+def read_optimized_timed(spark, folder):
+    """Compaction after three commits and fifteen days. A commit holds one to nine days of orders; its time is its last order's."""
+    day = F.datediff("o_orderdate", F.lit("1992-01-01").cast("date"))
+    orders = testdata(spark, folder, "orders").select("o_custkey", "o_orderkey", "o_totalprice", "o_orderdate")
+    stretch = F.floor(day / 100)
+    log = orders.withColumns({"_commit": stretch * 1000 + F.floor(F.pmod(day, F.lit(100)) / (stretch % 9 + 1)), "_op": F.lit("U")})
+    log = log.filter(F.col("o_orderkey") % 3 > 0)
+    commits = log.groupBy("_commit").agg(F.max("o_orderdate").alias("time"))
+    return keyed_table.read_optimized(log, every=3, commits=commits, span_text="15 days", **_LOG_KEYS)
+
+
 @query
 def merge_batch(spark, folder):
     """The last two commits merged into a compacted table of the five before."""
@@ -581,3 +638,12 @@ def snowflake_stream(spark, folder):
     rows = _in_parts(_events(spark, folder).select("event_id", "user_id", "ts"), "event_id")
     worker = F.pmod("user_id", F.lit(ids.WORKERS))
     return replay(rows, "part", 3, lambda s: assign_ids_stream(s, "ts", worker, "event_id")).select("event_id", "id")
+
+
+@query
+def cow_upsert(spark, folder):
+    """The current table of customers that a stream of orders leaves behind."""
+    rows = _in_parts(testdata(spark, folder, "orders").select("o_custkey", "o_orderkey", "o_totalprice", "o_orderdate"), "o_orderkey")
+    at = replay_into(rows, "part", 3, lambda s, folder: current_table_sink(
+        s, f"{folder}/table", "o_custkey", "o_orderdate", 16, f"{folder}/cp", tie=["o_orderkey"], available_now=True))
+    return keyed_table.read_current(spark, f"{at}/table", rows.drop("part").schema)

@@ -7,6 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import DataStreamWriter
 
 from tideline.operators.stored import shared_folder
 from tideline.session import ROCKSDB
@@ -14,11 +15,11 @@ from tideline.session import ROCKSDB
 _PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 
 
-def replay(table: DataFrame, part: str, parts: int, build: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """What an append-mode stream makes of a table that arrives in parts: the rows with `part` 0, then those with 1, and so on.
+def replay_into(table: DataFrame, part: str, parts: int, sink: Callable[[DataFrame, str], DataStreamWriter]) -> str:
+    """Run a stream over a table that arrives in parts: the rows with `part` 0, then those with 1, and so on.
 
-    Each part is added to a folder of files, and the stream is started, run to the end of what is there, and stopped. So it goes
-    on from its checkpoint every time. Files, checkpoint and result are in the shared folder.
+    Each part is added to a folder of files, and the stream that `sink(rows, folder)` sets up (with a checkpoint in the folder, for
+    what is there now) is run to the end. So it goes on from its checkpoint every time. Returns the folder, a new one in the shared folder.
     """
     spark = table.sparkSession
     folder = f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}"
@@ -29,8 +30,17 @@ def replay(table: DataFrame, part: str, parts: int, build: Callable[[DataFrame],
         for n in range(parts):
             table.filter(F.col(part) == n).select(*columns).write.mode("append").parquet(f"{folder}/in")
             source = spark.readStream.schema(table.select(*columns).schema).parquet(f"{folder}/in")
-            writer = build(source).writeStream.format("parquet").option("path", f"{folder}/out").option("checkpointLocation", f"{folder}/cp")
-            writer.trigger(availableNow=True).start().awaitTermination()
+            sink(source, folder).start().awaitTermination()
     finally:
         spark.conf.set(_PROVIDER, before)
-    return spark.read.parquet(f"{folder}/out")
+    return folder
+
+
+def replay(table: DataFrame, part: str, parts: int, build: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """The rows that an append-mode stream gives for a table that arrives in parts."""
+
+    def sink(rows: DataFrame, folder: str) -> DataStreamWriter:
+        writer = build(rows).writeStream.format("parquet").option("path", f"{folder}/out").option("checkpointLocation", f"{folder}/cp")
+        return writer.trigger(availableNow=True)
+
+    return table.sparkSession.read.parquet(f"{replay_into(table, part, parts, sink)}/out")

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
-from tideline.operators.keyed_table import UPSERT, write_commit
+from tideline.operators.keyed_table import UPSERT, copy_on_write, write_commit
 from tideline.sources.text import as_lines
 
 
@@ -60,6 +60,18 @@ def upsert_sink(df: DataFrame, log_path: str, checkpoint: str, op: str = UPSERT,
     return batch_sink(df, write, checkpoint, "append", interval, available_now)
 
 
+def current_table_sink(df: DataFrame, path: str, keys: str | Sequence[str], ordering: str, buckets: int, checkpoint: str,
+                       tie: Sequence[str] = (), op: str | None = None, interval: str | None = "10 seconds",
+                       available_now: bool = False) -> DataStreamWriter:
+    """Merge each micro-batch into a table of current rows, of which only the buckets that the batch touches are rewritten. A repeated
+    batch changes nothing. Read it with `operators.keyed_table.read_current`, or as any folder of Parquet files."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        copy_on_write(batch, path, keys, ordering, buckets, tie, op)
+
+    return batch_sink(df, write, checkpoint, "append", interval, available_now)
+
+
 def changes(df: DataFrame, key: str, value: str, agg: str = "sum") -> DataFrame:
     """Un-windowed group aggregate as an update stream (for update mode): each new total of a key."""
     aggregate = {"sum": F.sum, "count": F.count, "max": F.max, "min": F.min}[agg]
