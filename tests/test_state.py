@@ -11,7 +11,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from tideline.functions import parse_clicks
-from tideline.operators import changelog, distinct, ids
+from tideline.operators import changelog, dedup, distinct, ids
 from tideline.operators.dedup import dedup_interval
 from tideline.operators.watermark import replay_watermark
 
@@ -45,12 +45,12 @@ def test_clicks(spark, unit, kept):
     assert dedup_interval(df, ["click_key"], "ts", "60 seconds", "n").count() == kept
 
 
-HEAVY = dict(light_stamps=0, intervals_per_chunk=2, fan_in=3, levels=2)
+HEAVY = dict(chunks=17)
 
 
 @pytest.mark.parametrize("seed", range(4))
-@pytest.mark.parametrize("route", [{}, HEAVY, dict(HEAVY, light_stamps=150, intervals_per_chunk=1, levels=3)])
-def test_both_routes_equal_the_fold(spark, seed, route):
+@pytest.mark.parametrize("route", [{}, HEAVY, dict(chunks=3)])
+def test_chunks_equal_the_fold(spark, seed, route):
     rng = random.Random(seed)
     span = [300, 4000, 60_000, 900][seed]
     rows = [(rng.choice(["hot", "hot", "a", "b", None]), rng.randrange(span) / rng.choice([1, 1, 10])) for _ in range(500)]
@@ -58,7 +58,7 @@ def test_both_routes_equal_the_fold(spark, seed, route):
     assert passed(df) == greedy(rows, 60)
 
 
-def test_heavy_route_with_regular_stamps(spark):
+def test_regular_stamps_of_many_chunks(spark):
     """One stamp per second never lets chains merge; two keys also exercise gaps before the epoch."""
     rows = [("a", s) for s in range(-2000, 2000)] + [("b", s) for s in range(-500, 9000, 61)]
     frame = spark.createDataFrame([(k, s, i) for i, (k, s) in enumerate(rows)], "k string, s bigint, n bigint")
@@ -66,6 +66,29 @@ def test_heavy_route_with_regular_stamps(spark):
     assert passed(dedup_interval(df, ["k"], "ts", "60 seconds", "n", **HEAVY)) == greedy(rows, 60)
 
 
+def test_an_interval_longer_than_many_chunks(spark):
+    rows = [("a", s / 10) for s in range(3000)] + [("b", s) for s in range(40)]
+    df = stamped(spark, rows)
+    for interval in (7, 60, 100_000):
+        got = dedup_interval(df, ["k"], "ts", f"{interval} seconds", "n", chunks=50)
+        assert passed(got) == greedy(rows, interval)
+
+
+def test_no_task_holds_more_than_a_chunk(spark, monkeypatch):
+    """A key with nearly all rows is cut like any other, and the table is scanned twice."""
+    seen = []
+    real = dedup.stored
+    monkeypatch.setattr(dedup, "stored", lambda df: seen.append(real(df)) or seen[-1])
+    rows = [("hot", s) for s in range(6000)] + [(f"k{s}", s) for s in range(200)]
+    source = stamped(spark, rows)
+    got = dedup_interval(source, ["k"], "ts", "60 seconds", "n", chunks=20)
+    sizes = [r["count"] for r in seen[0].groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) == 20 and max(sizes) < 3 * 6200 / 20
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "FlatMapGroups" not in plan and "FlatMapCoGroups" not in plan
+    assert passed(got) == greedy(rows, 60)
+
+
 def test_equal_stamps_pass_once(spark):
     assert passed(dedup_interval(stamped(spark, [("a", 5)] * 4), ["k"], "ts", "60 seconds", "n")) == [0]
 
@@ -169,7 +192,7 @@ def test_keys_of_any_type_are_told_apart(spark, kind):
     picks = [(rng.choice([0, 0, 0, 1, 2, None]), rng.randrange(4000)) for _ in range(300)]
     rows = [(None if k is None else KEY_KINDS[kind](k), at(s), i, {"i": i}) for i, (k, s) in enumerate(picks)]
     df = spark.createDataFrame(rows, f"k {kind}, ts timestamp_ntz, n bigint, extra map<string,int>")
-    for route in ({}, HEAVY, dict(HEAVY, light_stamps=100)):
+    for route in ({}, HEAVY, dict(chunks=60)):
         got = dedup_interval(df, ["k"], "ts", "60 seconds", "n", **route)
         assert passed(got) == greedy(picks, 60)
         assert all(r.extra == {"i": r.n} for r in got.collect())

@@ -1,17 +1,18 @@
 """Interval deduplication: per key, pass a row, then drop rows until `interval` after the passed row.
 
-The chain "next passed = first stamp at or after last passed + interval" is sequential, so a key that holds
-a large share of the table needs more than a sort per key. All work is done on distinct (key, stamp) pairs, grouped by the
-typed key columns themselves. Two ways through them, which pass the same rows:
-
-* light keys: a stamp at least `interval` after the one before it starts a chain anew. Sorted stamps are read as a
-  stream, chain by chain, many keys in one task;
-* heavy keys are cut into time chunks. A chunk is summarised, whatever comes before it, as a step function
-  "earliest stamp allowed at entry -> earliest stamp allowed at exit". Step functions of neighbouring chunks
-  compose level by level; then the entries go back down and each chunk picks its rows. A task holds
-  the distinct stamps of a few intervals.
-
-How many stamps make a key heavy is a matter of speed alone.
+The chain "next passed = first stamp at or after last passed + interval" is sequential, so a key that holds a large share of the
+table needs more than a sort per key. All work is done on distinct (key, stamp) pairs, sorted by key and stamp and cut into
+chunks of about as many rows each, by range. A chunk is read as a sorted stream:
+
+* where another key begins, or a stamp is at least `interval` after the one before it, a chain starts anew. From there on a chunk
+  knows what passes, whatever comes before it;
+* what comes ahead of that needs the chunk's entry, the earliest stamp that may pass, from the chunk before. If that one has such a place,
+  it knows its exit by itself;
+* chunks without such a place belong to one key that holds whole chunks. Each is summarised as a step function from entry to
+  exit. The exits are the nodes of a list, each pointing to the exit of the chunk where it lands, and what is reached from
+  the run's beginning is found by pointer doubling: as many rounds as the run's number of chunks has binary digits.
+
+A task holds one chunk. The driver sees one row per chunk: its first and last key and stamp, and its exit.
 """
 
 from __future__ import annotations
@@ -20,27 +21,23 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tideline.functions.times import duration_us, micros
+from tideline.operators.stored import stored
 
-LIGHT_STAMPS = 1_000_000
-INTERVALS_PER_CHUNK = 8
-FAN_IN = 64
-LEVELS = 3
-_NEVER = np.iinfo(np.int64).min
+_NEVER = int(np.iinfo(np.int64).min)
+_CLOSED = int(np.iinfo(np.int64).max)
 
 
-def dedup_interval(
-    df: DataFrame, keys: Sequence[str], ts: str, interval: str, order: str, *,
-    light_stamps: int = LIGHT_STAMPS, intervals_per_chunk: int = INTERVALS_PER_CHUNK,
-    fan_in: int = FAN_IN, levels: int = LEVELS,
-) -> DataFrame:
+def dedup_interval(df: DataFrame, keys: Sequence[str], ts: str, interval: str, order: str, *, chunks: int | None = None) -> DataFrame:
     """Rows that pass, unchanged; columns of any type. `order` is a unique column that decides between equal stamps.
 
-    NULL keys form a group of their own; rows with a NULL stamp never pass.
+    NULL keys form a group of their own; rows with a NULL stamp never pass. chunks: how many there are; by default as many as Spark
+    makes of the data's size.
     """
     keys = list(keys)
     step = duration_us(interval)
@@ -51,173 +48,199 @@ def dedup_interval(
     # The first arrival of each (key, stamp) stands for its equals: none of the others can pass.
     stamps = (rows.select(*[c.alias(n) for n, c in named.items()], micros(ts).alias("_us"), F.col(order).alias("_first"))
               .groupBy(*named, "_us").agg(F.min("_first").alias("_first")))
-    heavy = (stamps.groupBy(*named).agg(F.count("*").alias("_n")).filter(F.col("_n") > light_stamps)
-             .select(*[F.col(n).alias(f"_h{i}") for i, n in enumerate(named)]))
-    same = F.lit(True)
-    for i, n in enumerate(named):
-        same = same & F.col(n).eqNullSafe(F.col(f"_h{i}"))
-    light = _pass_light(stamps.join(heavy, same, "left_anti"), list(named), step)
-    resolved = _resolve_heavy(stamps.join(heavy, same, "left_semi"), list(named), step, intervals_per_chunk, fan_in, levels)
-    passed = light.unionByName(resolved).withColumnRenamed("_first", order)
+    by = [*named, "_us"]
+    dealt = stamps.repartitionByRange(*by) if chunks is None else stamps.repartitionByRange(chunks, *by)
+    # Kept as it lies, a partition is a chunk.
+    kept = stored(dealt.sortWithinPartitions(*by).withColumn("_chunk", F.spark_partition_id()).select("_chunk", "_us", "_first", *named))
+    entries = _entries(kept, list(named), step)
+    passed = _pick(kept, list(named), step, entries).withColumnRenamed("_first", order)
     return rows.join(passed, order, "left_semi").select(*df.columns)
 
 
-def _pass_light(stamps: DataFrame, keys: list[str], step: int) -> DataFrame:
-    """_first of the stamps that pass, for keys of bounded length."""
-    before = F.lag("_us").over(Window.partitionBy(*keys).orderBy("_us"))
-    sorted_rows = stamps.withColumn("_anew", F.coalesce(F.col("_us") - before >= step, F.lit(True))).sortWithinPartitions(*keys, "_us")
+def _same(a, b) -> bool:
+    return a == b or (isinstance(a, float) and isinstance(b, float) and a != a and b != b)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        free = int(_NEVER)
-        for batch in batches:
-            us, anew = batch.column(0).to_numpy(), batch.column(1).to_numpy(zero_copy_only=False)
-            passed = []
-            cuts = [0, *np.flatnonzero(anew).tolist(), len(us)]
-            for k, (begin, end) in enumerate(zip(cuts, cuts[1:])):
-                if k:  # the first part goes on with the chain of the batch before
-                    free = int(_NEVER)
-                while (begin := begin + int(np.searchsorted(us[begin:end], free))) < end:
-                    passed.append(begin)
-                    free = int(us[begin]) + step
-            yield pa.RecordBatch.from_arrays([batch.column(2).take(pa.array(passed, pa.int64()))], ["_first"])
-
-    ready = sorted_rows.select("_us", "_anew", "_first")
-    return ready.mapInArrow(run, T.StructType([ready.schema["_first"]]))
-
-
-# -- step functions -----------------------------------------------------------------------------------
-# A function is two equally long arrays (at, to), `at` ascending: an entry e goes to `to[i]` for the first i with
-# at[i] >= e, and stays e if there is none.
 
+def _changes(columns: list[pa.Array], before: tuple | None) -> np.ndarray:
+    """Where a row's key differs from the row's before; `before` is the key ahead of the first."""
+    n = len(columns[0])
+    out = np.zeros(n, bool)
+    for column in columns:
+        later, earlier = column.slice(1), column.slice(0, n - 1)
+        if pa.types.is_nested(column.type):
+            values = column.to_pylist()
+            out[1:] |= np.array([not _same(a, b) for a, b in zip(values[1:], values)], bool)
+            continue
+        same = pc.or_(pc.fill_null(pc.equal(later, earlier), False), pc.and_(pc.is_null(later), pc.is_null(earlier)))
+        if pa.types.is_floating(column.type):
+            same = pc.or_(same, pc.fill_null(pc.and_(pc.is_nan(later), pc.is_nan(earlier)), False))
+        out[1:] |= ~np.asarray(same, bool)
+    if before is not None:
+        out[0] = not all(_same(c[0].as_py(), b) for c, b in zip(columns, before))
+    return out
 
-def _apply(at: np.ndarray, to: np.ndarray, entry: np.ndarray) -> np.ndarray:
-    i = np.searchsorted(at, entry, side="left")
-    inside = i < len(at)
-    return np.where(inside, to[np.minimum(i, len(at) - 1)], entry)
 
+class _Chunk:
+    """The stamps of one chunk, and the places where a chain starts anew whatever came before."""
 
-def _compress(at: np.ndarray, to: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Keep the last of each run of equal targets."""
-    keep = np.append(to[1:] != to[:-1], True)
-    return at[keep], to[keep]
-
-
-def _chunk_function(stamps: np.ndarray, step: int, start: int) -> tuple[np.ndarray, np.ndarray]:
-    """Function of one chunk from its sorted distinct stamps; `start` is the chunk's first microsecond.
-
-    An entry is below start + step, so only stamps up to the first one past that can begin a chain.
-    """
-    n = len(stamps)
-    jump = np.searchsorted(stamps, stamps + step, side="left")
-    own = np.arange(n)
-    jump = np.where(jump < n, jump, own)
-    while True:  # pointer doubling to the last stamp of every chain
-        further = jump[jump]
-        if np.array_equal(further, jump):
+    def __init__(self, batches: Iterator[pa.RecordBatch], n_keys: int, step: int):
+        stamps, firsts, anew, before = [], [], [], None
+        self.number = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            us, key = batch.column(1).to_numpy(), batch.columns[3:3 + n_keys]
+            changed = _changes(key, before)
+            if self.number is None:
+                self.number = batch.column(0)[0].as_py()
+                self.head = batch.slice(0, 1).select(range(3, 3 + n_keys))
+            before = tuple(c[-1].as_py() for c in key)
+            self.tail = batch.slice(batch.num_rows - 1, 1).select(range(3, 3 + n_keys))
+            stamps.append(us)
+            firsts.append(batch.column(2))
+            anew.append(changed)
+        self.empty = self.number is None
+        if self.empty:
+            return
+        self.us, self.firsts = np.concatenate(stamps), pa.chunked_array(firsts)
+        changed = np.concatenate(anew)
+        changed[1:] |= np.diff(self.us) >= step
+        places = np.flatnonzero(changed)
+        # Parts that are chains of their own; the first one needs an entry.
+        self.bounds = [0, *places[places > 0].tolist(), len(self.us)]
+        self.whole = len(self.bounds) == 2
+
+    def passing(self, part: int, free: int, step: int) -> tuple[list[int], int]:
+        """(places that pass in a part, earliest stamp that may pass after it)."""
+        begin, end, found = self.bounds[part], self.bounds[part + 1], []
+        us = self.us
+        while (begin := begin + int(np.searchsorted(us[begin:end], free))) < end:
+            found.append(begin)
+            free = int(us[begin]) + step
+        return found, free
+
+    def function(self, step: int) -> tuple[np.ndarray, np.ndarray]:
+        """(at, to) of a whole chunk: an entry e leads to `to` of the first at >= e; with none, it passes the chunk untouched.
+
+        An entry comes from a stamp ahead of the chunk, so only stamps up to the first one past start + interval can begin a chain.
+        """
+        us, n = self.us, len(self.us)
+        jump = np.searchsorted(us, us + step)
+        jump = np.where(jump < n, jump, np.arange(n))
+        while True:  # to the last stamp of every chain
+            further = jump[jump]
+            if np.array_equal(further, jump):
+                break
+            jump = further
+        heads = min(n, int(np.searchsorted(us, us[0] + step)) + 1)
+        at, to = us[:heads], us[jump[:heads]] + step
+        keep = np.append(to[1:] != to[:-1], True)
+        return at[keep], to[keep]
+
+
+def _struct_of(row: pa.RecordBatch) -> pa.Array:
+    return pa.StructArray.from_arrays(row.columns, names=row.schema.names)
+
+
+def _entries(kept: DataFrame, keys: list[str], step: int) -> dict[int, int]:
+    """The entry of every chunk: the earliest stamp of its first key that may pass there."""
+    kind = T.StructType([kept.schema[k] for k in keys])
+    longs = [T.StructField(n, T.LongType()) for n in ("chunk", "start", "end", "exit")]
+    shape = T.StructType([*longs, T.StructField("whole", T.BooleanType()), T.StructField("first", kind), T.StructField("last", kind)])
+
+    def summarise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        chunk = _Chunk(batches, len(keys), step)
+        if chunk.empty:
+            return
+        _, free = chunk.passing(len(chunk.bounds) - 2, _NEVER, step)
+        numbers = [pa.array([int(v)], pa.int64()) for v in (chunk.number, chunk.us[0], chunk.us[-1], free)]
+        yield pa.RecordBatch.from_arrays([*numbers, pa.array([chunk.whole]), _struct_of(chunk.head), _struct_of(chunk.tail)],
+                                         [f.name for f in shape])
+
+    info = sorted(kept.mapInArrow(summarise, shape).collect(), key=lambda r: r.chunk)
+    goes_on = [False] + [all(map(_same, a.last, b.first)) and b.start - a.end < step for a, b in zip(info, info[1:])]
+    open_ = [on and r.whole for on, r in zip(goes_on, info)]
+    entries, runs = {}, {}
+    for i, r in enumerate(info):
+        if not goes_on[i]:
+            entries[r.chunk] = _NEVER
+        elif not open_[i - 1]:
+            entries[r.chunk] = info[i - 1].exit
+        if open_[i]:
+            if i and open_[i - 1]:
+                runs[max(runs)].append(r)
+            else:
+                runs[r.chunk] = [r]
+    if runs:
+        found = _reached(kept, keys, step, runs, {run: entries[run] for run in runs})
+        place = {r.chunk: i for i, r in enumerate(info)}
+        for run, chunks in runs.items():
+            after = place[chunks[-1].chunk] + 1
+            for r in chunks:
+                entries[r.chunk] = found.get((run, r.chunk), _CLOSED)
+            if after < len(info) and goes_on[after]:
+                entries[info[after].chunk] = found[run, -1]
+    return entries
+
+
+def _reached(kept: DataFrame, keys: list[str], step: int, runs: dict[int, list[Row]], roots: dict[int, int]) -> dict[tuple[int, int], int]:
+    """{(run, chunk): entry} for the chunks where the chain lands, and (run, -1) for where it leaves the run."""
+    spark = kept.sparkSession
+    run_of = {r.chunk: run for run, chunks in runs.items() for r in chunks}
+    ends = {run: np.array([r.end for r in chunks]) for run, chunks in runs.items()}
+    numbers = {run: np.array([r.chunk for r in chunks] + [-1]) for run, chunks in runs.items()}
+
+    def functions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        chunk = _Chunk(batches, len(keys), step)
+        if not chunk.empty and chunk.number in run_of:
+            at, to = chunk.function(step)
+            same = lambda v: pa.array(np.full(len(at), v, np.int64))
+            yield pa.RecordBatch.from_arrays([same(run_of[chunk.number]), same(chunk.number), pa.array(at), pa.array(to)], ["run", "chunk", "at", "to"])
+
+    def land(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            run, entry = (batch.column(i).to_numpy() for i in range(2))
+            chunk = np.full(len(run), -1, np.int64)
+            for r in np.unique(run).tolist():
+                own = run == r
+                chunk[own] = numbers[r][np.searchsorted(ends[r], entry[own])]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(chunk)], ["run", "e", "chunk"])
+
+    steps = stored(kept.mapInArrow(functions, "run bigint, chunk bigint, at bigint, to bigint"))
+    first = spark.createDataFrame(list(roots.items()), "run bigint, e bigint")
+    nodes = steps.select("run", F.col("to").alias("e")).unionByName(first).distinct().mapInArrow(land, "run bigint, e bigint, chunk bigint")
+
+    def follow(asked: pa.Table, known: pa.Table) -> pa.Table:
+        at, to = (known[c].to_numpy() for c in ("at", "to"))
+        order = np.argsort(at)
+        entry = asked["e"].to_numpy()
+        # A node lands in its chunk, so some stamp of it is at or after the node.
+        return pa.table({"run": asked["run"], "e": asked["e"], "further": to[order][np.searchsorted(at[order], entry)]})
+
+    jumps = stored(nodes.filter("chunk >= 0").groupBy("chunk").cogroup(steps.groupBy("chunk"))
+                   .applyInArrow(follow, "run bigint, e bigint, further bigint"))
+    reached, known = first, len(roots)
+    while True:
+        landed = reached.join(jumps, ["run", "e"]).select("run", F.col("further").alias("e"))
+        reached = stored(reached.unionByName(landed).distinct())
+        now = reached.count()
+        if now == known:
             break
-        jump = further
-    heads = min(n, int(np.searchsorted(stamps, start + step, side="left")) + 1)
-    return _compress(stamps[:heads], stamps[jump[:heads]] + step)
-
-
-def _compose(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
-    """Function of consecutive chunks, from theirs. Its steps begin where the first one's do, plus one
-    for entries that pass the first chunk untouched."""
-    at = parts[0][0]
-    if len(parts) > 1 and parts[1][0][0] > at[-1]:
-        at = np.append(at, parts[1][0][0])
-    to = at
-    for part in parts:
-        to = _apply(*part, to)
-    return _compress(at, to)
-
-
-# -- heavy keys ---------------------------------------------------------------------------------------
-# Every table here carries the typed key columns beside the numbers, and is grouped by them.
-
-
-def _longs(table: pa.Table, name: str) -> np.ndarray:
-    return table.column(name).to_numpy().astype(np.int64, copy=False)
-
+        known = now
+        beyond = jumps.select("run", F.col("e").alias("further"), F.col("further").alias("_next"))
+        jumps = stored(jumps.join(beyond, ["run", "further"]).select("run", "e", F.col("_next").alias("further")))
+    return {(r.run, r.chunk): r.e for r in reached.mapInArrow(land, "run bigint, e bigint, chunk bigint").collect()}
 
-def _with_key(key: pa.Table, numbers: dict[str, pa.Array]) -> pa.Table:
-    """A table with the (single-row) key repeated."""
-    n = len(next(iter(numbers.values())))
-    at = pa.array(np.zeros(n, np.int64))
-    return pa.table({**{c: key.column(c).take(at) for c in key.column_names}, **numbers})
 
+def _pick(kept: DataFrame, keys: list[str], step: int, entries: dict[int, int]) -> DataFrame:
+    """_first of the stamps that pass."""
 
-def _function_row(key: pa.Table, up: int, chunk: int, function: tuple[np.ndarray, np.ndarray]) -> pa.Table:
-    at, to = (pa.array([values], pa.list_(pa.int64())) for values in function)
-    return _with_key(key, {"_up": pa.array([up]), "_chunk": pa.array([chunk]), "_at": at, "_to": to})
-
-
-def _functions(table: pa.Table) -> tuple[np.ndarray, list[tuple[np.ndarray, np.ndarray]]]:
-    """Chunk numbers in order and their functions."""
-    chunks = _longs(table, "_chunk")
-    order = np.argsort(chunks)
-    at, to = table.column("_at"), table.column("_to")
-    return chunks[order], [
-        tuple(column[int(i)].values.to_numpy(zero_copy_only=False) for column in (at, to)) for i in order
-    ]
-
-
-def _entries(table: pa.Table, key: pa.Table, entry: int) -> pa.Table:
-    """Entry of each chunk in turn, from the entry of the first."""
-    chunks, functions = _functions(table)
-    found = []
-    for function in functions:
-        found.append(entry)
-        entry = int(_apply(*function, np.array([entry], dtype=np.int64))[0])
-    return _with_key(key, {"_chunk": pa.array(chunks, pa.int64()), "_entry": pa.array(found, pa.int64())})
-
-
-def _resolve_heavy(stamps: DataFrame, keys: list[str], step: int, intervals: int, fan_in: int, levels: int) -> DataFrame:
-    """_first of the stamps that pass, for keys of any length."""
-    width = step * intervals
-    chunked = stamps.withColumn("_chunk", _floor_div("_us", width))
-    key_fields = [stamps.schema[k] for k in keys]
-    longs = lambda *names: [T.StructField(n, T.LongType()) for n in names]
-    function = T.StructType([*key_fields, *longs("_up", "_chunk"), *[T.StructField(n, T.ArrayType(T.LongType())) for n in ("_at", "_to")]])
-    entry = T.StructType([*key_fields, *longs("_chunk", "_entry")])
-
-    def summarise(table):
-        number = int(_longs(table, "_chunk")[0])
-        found = _chunk_function(np.sort(_longs(table, "_us")), step, number * width)
-        return _function_row(table.select(keys).slice(0, 1), number // fan_in, number, found)
-
-    def merge(table):
-        number = int(_longs(table, "_up")[0])
-        return _function_row(table.select(keys).slice(0, 1), number // fan_in, number, _compose(_functions(table)[1]))
-
-    layers = [chunked.drop("_first").groupBy(*keys, "_chunk").applyInArrow(summarise, function)]
-    for _ in range(levels):
-        layers.append(layers[-1].groupBy(*keys, "_up").applyInArrow(merge, function))
-
-    entries = layers[-1].groupBy(*keys).applyInArrow(
-        lambda table: _entries(table, table.select(keys).slice(0, 1), int(_NEVER)), entry)
-
-    def descend(known, table):
-        return _entries(table, known.select(keys).slice(0, 1), int(_longs(known, "_entry")[0]))
-
-    for layer in reversed(layers[:-1]):
-        entries = entries.groupBy(*keys, "_chunk").cogroup(layer.groupBy(*keys, "_up")).applyInArrow(descend, entry)
-
-    def pick(known, table):
-        stamps_us = _longs(table, "_us")
-        rank = np.argsort(stamps_us)
-        us = stamps_us[rank]
-        free, found = int(_longs(known, "_entry")[0]), []
-        while (at := int(np.searchsorted(us, free, side="left"))) < len(us):
-            found.append(at)
-            free = int(us[at]) + step
-        return table.select(["_first"]).take(pa.array(rank[np.array(found, dtype=np.int64)]))
-
-    return entries.groupBy(*keys, "_chunk").cogroup(chunked.groupBy(*keys, "_chunk")).applyInArrow(
-        pick, T.StructType([chunked.schema["_first"]])
-    )
-
-
-def _floor_div(column: str, width: int) -> Column:
-    """Exact floor division of a BIGINT."""
-    return F.expr(f"({column} - pmod({column}, {width}L)) div {width}L")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        chunk = _Chunk(batches, len(keys), step)
+        if chunk.empty:
+            return
+        found = [p for part in range(len(chunk.bounds) - 1) for p in chunk.passing(part, entries[chunk.number] if part == 0 else _NEVER, step)[0]]
+        for part in chunk.firsts.take(pa.array(found, pa.int64())).chunks:
+            yield pa.RecordBatch.from_arrays([part], ["_first"])
+
+    return kept.mapInArrow(run, T.StructType([kept.schema["_first"]]))

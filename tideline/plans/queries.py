@@ -289,19 +289,17 @@ def dedup_interval(spark, folder):
 
 @query
 def dedup_interval_heavy(spark, folder):
-    """The same by event type, every key on the route for heavy keys."""
-    passed = dedup.dedup_interval(
-        _events(spark, folder), ["event_type"], "ts", "1 hour", "event_id", light_stamps=0, fan_in=8, levels=2
-    )
+    """The same by event type: few keys, each of many chunks."""
+    passed = dedup.dedup_interval(_events(spark, folder), ["event_type"], "ts", "1 hour", "event_id", chunks=40)
     return passed.select("event_id", "event_type", "ts")
 
 
 @query
 def dedup_interval_mixed(spark, folder):
-    """A key that holds a third of all rows beside small ones; keys of over 1,000 stamps take the route for heavy keys."""
+    """A key that holds a third of all rows beside small ones."""
     key = F.when(F.pmod("user_id", F.lit(3)) == 0, -1).otherwise(F.col("user_id"))
     keyed = _events(spark, folder).withColumn("account", key.cast("bigint"))
-    passed = dedup.dedup_interval(keyed, ["account"], "ts", "2 hours", "event_id", light_stamps=1_000)
+    passed = dedup.dedup_interval(keyed, ["account"], "ts", "2 hours", "event_id", chunks=24)
     return passed.select("event_id", "account", "ts")
 
 
