@@ -46,3 +46,43 @@ def test_odd_rows(spark):
     assert run(spark, rows) == brute(rows)
     assert run(spark, rows[:1]) == []
     assert run(spark, []) == []
+
+
+def test_the_split_follows_the_bounds(monkeypatch):
+    """Skewed components: few terms are essential, fewer as the threshold rises, and most components are never read."""
+    monkeypatch.setattr(search, "BLOCK", 100)
+    rng = np.random.default_rng(5)
+    rows = (rng.normal(size=(3000, 40)) * 300 / (1 + np.arange(40))).astype(np.int64)
+    shard = search.Shard(np.arange(3000), rows)
+    for q in range(20):
+        shard.read = 0
+        query = rows[q].astype(float)
+        ids, scores = shard.top(q, query, 10)
+        exact = rows @ rows[q]
+        best = sorted((-int(exact[i]), i) for i in range(3000) if i != q)[:10]
+        assert list(zip((-scores).astype(int).tolist(), ids.tolist())) == best
+        assert shard.read < 0.5 * rows.size
+
+
+def test_ties_go_to_the_smaller_id_in_every_block(monkeypatch):
+    monkeypatch.setattr(search, "BLOCK", 3)
+    rows = np.array([[1, 2]] * 20 + [[0, 0]] * 5)
+    shard = search.Shard(np.arange(25)[::-1].copy(), rows)
+    for own in (0, 7, 24, 99):
+        ids, scores = shard.top(own, np.array([3.0, 4.0]), 6)
+        assert ids.tolist() == [i for i in range(5, 25) if i != own][:6] and (scores == 11).all()
+    assert shard.top(1, np.array([0.0, 0.0]), 4)[0].tolist() == [0, 2, 3, 4]
+
+
+@pytest.mark.parametrize("most", [100, 10**6, 10**12])
+def test_values_of_any_width(spark, most):
+    rng = np.random.default_rng(9)
+    rows = [(i, (rng.normal(size=4) * most / 1024).round(2).tolist()) for i in range(0, 300, 2)]
+    frame = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    kept = [(i, [int(np.floor(1024 * x)) for x in v]) for i, v in rows]
+    got = sorted(tuple(r) for r in search.search(frame, shard=20).collect())
+    for q, a in kept:
+        if q % 100 == 0 and most < 10**12:  # beyond, products leave the 53 bits that are promised
+            best = sorted((-sum(x * y for x, y in zip(a, b)), i) for i, b in kept if i != q)[:10]
+            assert [r for r in got if r[0] == q] == [(q, n + 1, i, -s) for n, (s, i) in enumerate(best)]
+    assert len(got) == 30

@@ -1,9 +1,11 @@
 """Exact top-k inner products by MaxScore over integer vectors.
 
-A vector's components are its terms: the posting list of a term holds every vector of a shard with its component. For a
-query, each term's largest possible contribution in the shard bounds the score. Terms whose bounds together cannot lift a
-vector over the k-th best score so far are non-essential: only the postings of the essential terms are traversed, and of the others those
-of vectors that are still competitive are probed, largest bound first. Shards are merged per query.
+A vector's components are its terms. In a shard, a term's contribution to a query is counted from the least one that any vector
+has, so the posting list of a term holds the vectors above that, and the term's bound is the largest gain. Terms are sorted
+by bound; the non-essential ones are as many of the smallest as cannot lift a vector to the k-th best score by themselves. Vectors are taken
+block by block: the postings of the essential terms are traversed, vectors that the others cannot lift to the threshold are
+dropped, and for the rest the others are probed, largest bound first, while a vector is competitive. Every block may raise the
+threshold, which moves the split. Shards are merged per query.
 """
 
 from __future__ import annotations
@@ -20,7 +22,10 @@ from tideline.llm.common import saved
 SCALE = 1024
 TOP = 10
 EVERY = 100
+# Vectors of a shard while there are fewer shards than tasks, and bytes of a shard from then on.
 SHARD = 16_384
+SHARD_BYTES = 1 << 25
+BLOCK = 2048
 PROBE = 8
 
 
@@ -38,50 +43,54 @@ def integer_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
 
 
 class Shard:
-    """Postings of one shard: term by term the components of all its vectors, with their range."""
+    """Postings of one shard: term by term the components of all its vectors in the order of their ids, with their range."""
 
     def __init__(self, ids: np.ndarray, rows: np.ndarray):
         order = np.argsort(ids, kind="stable")
         self.ids, rows = ids[order], rows[order]
         self.postings = np.ascontiguousarray(rows.T)
-        self.low = rows.min(0, initial=0) if len(rows) else np.zeros(rows.shape[1])
-        self.high = rows.max(0, initial=0) if len(rows) else np.zeros(rows.shape[1])
+        self.low, self.high = (f(rows, 0, initial=0).astype(np.float64) for f in (np.min, np.max))
+        self.read = 0  # components looked at
 
     def top(self, own: int, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """(ids, scores) of the k best vectors but `own`; equal scores go to the smaller id."""
-        n_terms = min(len(query), len(self.postings))
-        query = query[:n_terms]
-        bound = np.maximum(query * self.low[:n_terms], query * self.high[:n_terms])
-        spread = bound - np.minimum(query * self.low[:n_terms], query * self.high[:n_terms])
-        terms = np.argsort(-spread, kind="stable")
-        tail = np.append(np.cumsum(bound[terms][::-1])[::-1], 0.0)
-        alive = np.flatnonzero(self.ids != own)
-        scores = np.zeros(len(alive))
-        if len(alive) > k:
-            # A first threshold: exact scores of the vectors that lead on the strongest terms.
-            lead = query[terms[:PROBE]] @ self.postings[terms[:PROBE]][:, alive] if n_terms else scores
-            some = alive[np.argpartition(-lead, min(4 * k, len(alive) - 1))[:4 * k]]
-            exact = query @ self.postings[:n_terms][:, some]
-            limit = np.sort(exact)[::-1][k - 1] if len(exact) >= k else -np.inf
-            scores, done = lead, min(PROBE, n_terms)
-            while done < n_terms:
-                # Non-essential from here: what is left cannot lift these vectors to the threshold.
-                keep = scores + tail[done] >= limit
+        query = query[:len(self.postings)]
+        ends = query * self.low[:len(query)], query * self.high[:len(query)]
+        least, most = np.minimum(*ends), np.maximum(*ends)
+        terms = np.argsort(least - most, kind="stable")
+        terms = terms[query[terms] != 0]
+        # What a vector reaches at most without a gain in the first j terms, and by the terms from the j-th on.
+        rest = np.append(np.cumsum(most[terms][::-1])[::-1], 0.0)
+        without = np.append(0.0, np.cumsum(least[terms])) + rest
+        ids, scores, limit = np.zeros(0, np.int64), np.zeros(0), -np.inf
+        for begin in range(0, len(self.ids), BLOCK):
+            alive = begin + np.flatnonzero(self.ids[begin:begin + BLOCK] != own)
+            # The essential terms: the fewest without which the threshold is out of reach. `without` falls from term to term.
+            done = int(np.searchsorted(-without, -limit, side="right"))
+            done = len(terms) if limit == -np.inf else min(done, len(terms))
+            found = query[terms[:done]] @ self.postings[terms[:done], begin:begin + BLOCK][:, alive - begin]
+            self.read += done * len(alive)
+            while done < len(terms):
+                keep = found + rest[done] >= limit
                 if not keep.all():
-                    alive, scores = alive[keep], scores[keep]
+                    alive, found = alive[keep], found[keep]
+                if not len(alive):
+                    break
                 step = terms[done:done + PROBE]
-                scores = scores + query[step] @ self.postings[step][:, alive]
+                found = found + query[step] @ self.postings[np.ix_(step, alive)]
+                self.read += len(step) * len(alive)
                 done += len(step)
-        elif n_terms:
-            scores = query @ self.postings[:n_terms][:, alive]
-        best = np.lexsort((self.ids[alive], -scores))[:k]
-        return self.ids[alive][best], scores[best]
+            ids, scores = np.concatenate([ids, self.ids[alive]]), np.concatenate([scores, found])
+            best = np.lexsort((ids, -scores))[:k]
+            ids, scores = ids[best], scores[best]
+            limit = scores[-1] if len(scores) == k else -np.inf
+        return ids, scores
 
 
 def _matrix(column: pa.Array, width: int) -> np.ndarray:
     sizes = np.diff(np.asarray(column.offsets))
-    flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
-    out = np.zeros((len(column), width))
+    flat = column.flatten().to_numpy(zero_copy_only=False)
+    out = np.zeros((len(column), width), flat.dtype)
     row = np.repeat(np.arange(len(column)), sizes)
     nth = np.arange(len(flat)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
     out[row, nth] = flat
@@ -92,17 +101,23 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = TOP, shard: int = SHA
     """query_id, rank (from 1), vec_id, score: for each query the k vectors with the highest integer inner product.
 
     Both frames are (vec_id, v). A vector with the query's own id is no candidate; ties go to the smaller id. Exact while
-    scores stay below 2**53. Vectors are dealt to shards of about `shard` by hash; each shard reads the queries as a stream of
-    batches, and hands on k rows per query, of which the merge keeps k.
+    scores stay below 2**53. Vectors are dealt to shards by hash, in the smallest integers that hold them: of about `shard` vectors
+    while there are fewer shards than shuffle partitions, later of SHARD_BYTES. Each shard reads the queries as a stream of
+    batches, and hands on k rows per query, of which the merge keeps k. An empty table, or one without queries, gives no rows.
     """
     spark = vectors.sparkSession
-    shape = vectors.agg(F.count("*").alias("n"), F.max(F.size("v")).alias("width")).first()
-    asked = queries.agg(F.max(F.size("v")).alias("width")).first()
-    shards, width = max(1, -(-(shape.n or 0) // shard)), max(shape.width or 0, asked.width or 0, 1)
-    stored = vectors.select(F.pmod(F.xxhash64("vec_id", "v"), F.lit(shards)).cast("int").alias("shard"), F.lit(0).alias("kind"), "vec_id", "v")
-    asking = queries.select(F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"), F.lit(1).alias("kind"), "vec_id", "v")
-    both = (stored.unionByName(asking).repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "shard")
-            .sortWithinPartitions("shard", "kind"))
+    shape = vectors.agg(F.count("*").alias("n"), F.max(F.size("v")).alias("width"), F.min(F.array_min("v")).alias("low"),
+                        F.max(F.array_max("v")).alias("high")).first()
+    asked = queries.agg(F.max(F.size("v")).alias("width"), F.min(F.array_min("v")).alias("low"), F.max(F.array_max("v")).alias("high")).first()
+    width = max(shape.width or 0, asked.width or 0, 1)
+    most = max(-(shape.low or 0), -(asked.low or 0), (shape.high or 0) + 1, (asked.high or 0) + 1)
+    kind, size = ("smallint", 2) if most <= 1 << 15 else ("int", 4) if most <= 1 << 31 else ("bigint", 8)
+    parts, n = int(spark.conf.get("spark.sql.shuffle.partitions")), shape.n or 0
+    shards = max(1, -(-n * width * size // SHARD_BYTES), min(parts, -(-n // shard)))
+    v = F.col("v").cast(f"array<{kind}>").alias("v")
+    stored = vectors.select(F.pmod(F.xxhash64("vec_id", "v"), F.lit(shards)).cast("int").alias("shard"), F.lit(0).alias("kind"), "vec_id", v)
+    asking = queries.select(F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"), F.lit(1).alias("kind"), "vec_id", v)
+    both = stored.unionByName(asking).repartition(parts, "shard").sortWithinPartitions("shard", "kind")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, ids, rows, index = None, [], [], None
@@ -122,7 +137,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = TOP, shard: int = SHA
                 if not ids:
                     continue
                 index = index or Shard(np.concatenate(ids), np.concatenate(rows))
-                found = [(int(q), *index.top(int(q), v, k)) for q, v in zip(names[i:j], values[i:j])]
+                found = [(int(q), *index.top(int(q), v, k)) for q, v in zip(names[i:j], values[i:j].astype(np.float64))]
                 query = np.repeat([q for q, _, _ in found], [len(x) for _, x, _ in found])
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(query.astype(np.int64)), pa.array(np.concatenate([x for _, x, _ in found]).astype(np.int64)),
