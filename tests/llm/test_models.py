@@ -7,7 +7,7 @@ import pytest
 from cases import empty_table, odd_table
 
 from tideline.llm import language, quality
-from tideline.llm.common import crc32_mod_of
+from tideline.llm.common import crc32_mod_of, hash_share
 from tideline.llm.queries import op1_language, op5_quality
 
 BIG = "/root/testdata/sf0.01"
@@ -149,6 +149,54 @@ def test_quality_odd_rows(spark):
     assert quality.keep_good(empty_table(spark), model).collect() == []
 
 
+def plain_isotonic(points):
+    """Non-decreasing shares by the min-max formula over (x, good, total), with block centres as knots."""
+    share = lambda a, b: sum(p[1] for p in points[a:b]) / sum(p[2] for p in points[a:b])
+    n = len(points)
+    level = [max(min(share(a, b) for b in range(i + 1, n + 1)) for a in range(i + 1)) for i in range(n)]
+    blocks = []
+    for p, v in zip(points, level):
+        if blocks and abs(blocks[-1][0] - v) < 1e-12:
+            blocks[-1][1].append(p)
+        else:
+            blocks.append((v, [p]))
+    knots = [sum(x * t for x, _, t in b) / sum(t for *_, t in b) for _, b in blocks]
+    values = [(sum(g for _, g, _ in b) + 0.5) / (sum(t for *_, t in b) + 1) for _, b in blocks]
+    return np.array(knots), np.maximum.accumulate(values)
+
+
+def test_quality_equals_a_direct_solution(spark, folder):
+    """The same features solved at once over all labelled rows, and calibrated by another form of isotonic regression."""
+    docs = {r.doc_id: r.text for r in spark.read.parquet(f"{BIG}/documents.parquet").select("doc_id", "text").collect()}
+    labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{BIG}/labels.parquet").collect()}
+    model = quality.fit(spark.read.parquet(f"{BIG}/documents.parquet"), spark.read.parquet(f"{BIG}/labels.parquet"))
+    ids = sorted(i for i in labels if crc32_mod_of(i, 3) != 1 and i in docs)
+    parts = {r.id: r.part for r in spark.createDataFrame([(i,) for i in ids], "id bigint").select("id", hash_share("id", seed=8).alias("part")).collect()}
+    stats = np.array([quality.statistics(docs[i]) for i in ids])
+    good = np.array([labels[i] for i in ids], float)
+    assert np.allclose(model.mean, stats.mean(0)) and np.allclose(model.scale, np.sqrt(np.maximum(stats.var(0), 1e-8)))
+    waves = np.cos(np.clip((stats - stats.mean(0)) / model.scale, -5, 5) @ model.waves + model.shift) * np.sqrt(2 / quality.FOURIER)
+    x = np.hstack([waves, np.ones((len(ids), 1))])
+    fits = np.array([parts[i] >= quality.CALIBRATE for i in ids])
+    # Ridge regression as least squares over the rows and one more row per weight.
+    extra = np.sqrt(quality.RIDGE * len(ids) / x.shape[1]) * np.eye(x.shape[1])
+    weights = np.linalg.lstsq(np.vstack([x[fits], extra]), np.append(good[fits], np.zeros(x.shape[1])), rcond=None)[0]
+    assert np.allclose(model.weights, weights, atol=1e-6)
+    raw = x[~fits] @ weights
+    at = np.clip(((raw + 0.5) / 2 * quality.BINS).astype(int), 0, quality.BINS + 1)
+    points = [(raw[at == b].mean(), good[~fits][at == b].sum(), (at == b).sum()) for b in np.unique(at)]
+    knots, values = plain_isotonic(points)
+    scores = np.clip(0.999 * np.interp(x @ weights, knots, values) + 0.001 * np.clip(x @ weights, 0, 1), 0, 1)
+    assert np.allclose(model.score(stats), scores, atol=1e-6)
+
+
+def test_quality_of_an_empty_table(spark):
+    model = quality.fit(odd_table(spark), labels_of(spark, [(1, 1, 0), (2, 0, 0), (3, 1, 0), (5, 0, 0)]))
+    assert quality.score(empty_table(spark), model).collect() == []
+    empty = quality.fit(empty_table(spark), labels_of(spark, [(1, 1, 0), (2, 0, 0)]))
+    assert {r.score for r in quality.score(odd_table(spark), empty).collect()} <= {0.5, 0.4995, 0.5005}
+
+
 def test_isotonic_is_monotone_and_pools():
     x = np.arange(8.0)
     good = np.array([0, 2, 1, 0, 3, 2, 4, 4.0])

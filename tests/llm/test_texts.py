@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 
+import numpy as np
 import pytest
 from cases import ascii_lower, empty_table, odd_rows, odd_table
 from compare import connect, differences
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from tideline.llm import chat, digest, licenses
 from tideline.llm.queries import op3_licenses, op6_fingerprint, op9_chat
@@ -61,22 +64,70 @@ def test_licenses_spans(spark):
     assert got[4].n_base == 3 and got[5].labels == "cc-by-nc,mit"
 
 
+def plain_digest(text):
+    """The digest by its definition, byte by byte: (quartile of each bucket, length class)."""
+    data, counts, wrap = text.encode(), [0] * 256, 1 << 32
+    for p in range(len(data)):
+        for k, (i, j) in enumerate([(1, 2), (1, 3), (2, 3), (1, 4)]):
+            if p + j < len(data):
+                mixed = data[p] * 0x9E3779B1 % wrap ^ data[p + i] * 0x85EBCA77 % wrap ^ data[p + j] * 0xC2B2AE3D % wrap
+                counts[(mixed + k * 0x27D4EB2F) * 0x165667B1 % wrap >> 24] += 1
+    ordered = sorted(counts)
+    return [sum(c > ordered[q] for q in (63, 127, 191)) for c in counts], min(int(math.log(len(data) + 1) / math.log(1.1)), 255)
+
+
+def plain_hex(found):
+    quartiles, size = found
+    return f"{size:02x}" + "".join(f"{a << 6 | b << 4 | c << 2 | d:02x}" for a, b, c, d in zip(*[iter(quartiles)] * 4))
+
+
+def plain_likeness(a, b):
+    cost = sum((0, 1, 3, 6)[abs(x - y)] for x, y in zip(a[0], b[0])) + 4 * min(abs(a[1] - b[1]), 32)
+    return 1 - cost / (6 * 256 + 4 * 32)
+
+
 def brute_pairs(rows):
     """rows (id, text) with unique ids."""
     rows = sorted(rows)
-    for (i, a), (_, b) in zip(rows, rows[1:] + rows[:1]):
+    digests = {i: plain_digest(t) for i, t in rows}
+    for (i, a), (n, b) in zip(rows, rows[1:] + rows[:1]):
         half = len(a) // 2
-        yield i, len(a), hashlib.sha256((a[:len(a) - half] + b[:half]).encode()).hexdigest(), digest.encode(digest.digest(a))
+        new = a[:len(a) - half] + b[:half]
+        changed = plain_digest(new)
+        yield (i, len(a), hashlib.sha256(new.encode()).hexdigest(), plain_hex(digests[i]), plain_hex(changed),
+               pytest.approx(plain_likeness(digests[i], changed)), pytest.approx(plain_likeness(digests[i], digests[n])))
 
 
 @pytest.mark.parametrize("rows_per_range", [2000, 7])
 def test_digest_pairs(spark, folder, monkeypatch, rows_per_range):
     monkeypatch.setattr(digest, "ROWS_PER_RANGE", rows_per_range)
     rows = [tuple(r) for r in spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").collect()]
+    rows = [(i, t[:3000]) for i, t in rows]
+    got = digest.fingerprint_pairs(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert sorted(tuple(r) for r in got) == list(brute_pairs(rows))
+
+
+def test_digest_query(spark, folder):
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").collect()}
     got = op6_fingerprint(spark, folder).collect()
-    assert sorted((r.doc_id, r.n_chars, r.edited_sha256, r.fingerprint) for r in got) == sorted(brute_pairs(rows))
+    assert len(got) == len(texts) and all(r.n_chars == len(texts[r.doc_id]) for r in got)
     assert all(0 <= r.near_next <= 1 and 0 <= r.near_edited <= 1 for r in got)
     assert sum(r.near_edited > r.near_next for r in got) > 0.95 * len(got)
+    longest = max(got, key=lambda r: r.n_chars)
+    assert longest.fingerprint == plain_hex(plain_digest(texts[longest.doc_id]))
+
+
+def test_an_id_of_many_rows_has_many_ranges(spark, monkeypatch):
+    monkeypatch.setattr(digest, "ROWS_PER_RANGE", 20)
+    rows = [(None if n % 2 else 7, f"{n} is the text's number") for n in range(400)] + [(i, f"{i} own") for i in range(100)]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = sorted((r.doc_id is not None, r.doc_id or 0, r.edited_sha256) for r in digest.fingerprint_pairs(frame).collect())
+    order = sorted((r.doc_id is not None, r.doc_id or 0, r.h, r.text) for r in frame.select("*", F.xxhash64("text").alias("h")).collect())
+    halves = [(len(a[3]) // 2, a, b) for a, b in zip(order, order[1:] + order[:1])]
+    assert got == sorted((*a[:2], hashlib.sha256((a[3][:len(a[3]) - n] + b[3][:n]).encode()).hexdigest()) for n, a, b in halves)
+    cuts = np.array([-5, 3, 3, 3, 3, 9])
+    at, h = np.array([-9, 3, 3, 3, 4, 10]), np.array([0, -(1 << 63), 0, (1 << 63) - 1, 5, 5])
+    assert digest._range_of(cuts, at, h).tolist() == [0, 1, 3, 4, 5, 6]
 
 
 @pytest.mark.parametrize("rows_per_range", [2000, 2])

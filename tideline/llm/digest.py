@@ -70,22 +70,31 @@ def edited(text: str, following: str) -> str:
 
 
 def _cuts(ids: DataFrame, ranges: int) -> list[int]:
-    """Ids that cut the table into about equal ranges: a few numbers, only to deal out the work."""
+    """Ids that cut the table into about equal ranges: a few numbers, only to deal out the work. An id of many rows comes
+    several times."""
     if ranges < 2:
         return []
     shares = [(i + 1) / ranges for i in range(ranges - 1)]
     found = ids.agg(F.percentile_approx("id", F.array(*[F.lit(s) for s in shares]), F.lit(10_000)).alias("cuts")).first().cuts
-    return sorted(set(found or []))
+    return sorted(found or [])
+
+
+def _range_of(cuts: np.ndarray, at: np.ndarray, h: np.ndarray) -> np.ndarray:
+    """Range of each row, ascending with (at, h). An id that is a cut m times has m ranges, by its rows' hashes."""
+    low, high = np.searchsorted(cuts, at, "left"), np.searchsorted(cuts, at, "right")
+    share = (h.astype(np.float64) + 2.0**63) / 2.0**64
+    return (low + np.minimum((share * (high - low)).astype(np.int64), np.maximum(high - low - 1, 0))).astype(np.int32)
 
 
 def fingerprint_pairs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next for every row.
 
     The next document is the one with the next larger (id, text hash); after the last comes the first, and a single one is its own
-    next. NULL ids come first. NULL texts count as empty. Rows alike in id and text are one after the other.
+    next. NULL ids come first. NULL texts count as empty. Rows alike in id and text are one after the other. Texts of any length
+    are read whole, and an empty table gives no rows.
 
-    Rows are dealt to ranges of the id that are sorted and read as a stream, so each text moves once. The first row of a
-    range is also sent to the range before, where it is the next of the last row.
+    Rows are dealt to ranges of (id, text hash) that are sorted and read as a stream, so each text moves once; an id of very many
+    rows has several. The first row of a range is also sent to the range before, where it is the next of the last row.
     """
     rows = docs.select(F.col(id_col).cast("bigint").alias("id"), F.coalesce(text_col, F.lit("")).alias("text")).withColumn(
         "at", F.coalesce("id", F.lit(_NO_ID)))
@@ -93,10 +102,10 @@ def fingerprint_pairs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     cuts = np.array(_cuts(ids, int(min(MAX_RANGES, -(-ids.count() // ROWS_PER_RANGE)))), np.int64)
 
     @F.pandas_udf("int")
-    def range_of(at: pd.Series) -> pd.Series:
-        return pd.Series(np.searchsorted(cuts, at.to_numpy(np.int64)).astype(np.int32))
+    def range_of(at: pd.Series, h: pd.Series) -> pd.Series:
+        return pd.Series(_range_of(cuts, at.to_numpy(np.int64), h.to_numpy(np.int64)))
 
-    light = rows.select(range_of("at").alias("range"), "at", F.xxhash64("text").alias("h"))
+    light = rows.select("at", F.xxhash64("text").alias("h")).withColumn("range", range_of("at", "h"))
     # One row per range; at most MAX_RANGES of them.
     heads = sorted((r.range, r.head.at, r.head.h) for r in
                    light.groupBy("range").agg(F.min(F.struct("at", "h")).alias("head")).collect())
@@ -106,7 +115,7 @@ def fingerprint_pairs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     @F.pandas_udf("array<int>")
     def ranges_of(at: pd.Series, h: pd.Series) -> pd.Series:
         at = at.to_numpy(np.int64)
-        own = np.searchsorted(cuts, at).astype(np.int32)
+        own = _range_of(cuts, at, h.to_numpy(np.int64))
         out = own[:, None].tolist()
         for i in np.flatnonzero(np.isin(at, head_ids)):
             before = first.get((int(at[i]), int(h.iloc[i])))

@@ -154,8 +154,9 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, four
             values = pa.array(list(_stats_of(batch, 0)), pa.list_(pa.float64()))
             yield pa.RecordBatch.from_arrays([values, batch.column(1), batch.column(2)], ["stats", "label", "part"])
 
+    # In a few partitions, as every one of them sends a whole matrix to be added.
     sample = saved(joined.select("text", "label", hash_share("id", seed=seed + 1).alias("part"))
-                   .mapInArrow(stats, "stats array<double>, label int, part double"))
+                   .mapInArrow(stats, "stats array<double>, label int, part double").repartition(16))
 
     def moments(batches):
         total = None
@@ -211,7 +212,10 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, four
 
 
 def score(docs: DataFrame, model: QualityModel, keep: DataFrame | None = None) -> DataFrame:
-    """doc_id, held_out, score (0 to 1, NULL and empty texts too), predicted for every row, from the whole text."""
+    """doc_id, held_out, score (0 to 1, NULL and empty texts too), predicted for every row, from the whole text.
+
+    Texts of any length are read whole, repeated rows get the same result, and an empty table gives no rows.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
