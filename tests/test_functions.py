@@ -12,6 +12,7 @@ from tideline.functions import (
     duration_us, epoch_ms, from_epoch_ms, java_hash, parse_clicks, parse_json, parse_pairs, parse_temperatures,
     register_functions, tokens, user_func,
 )
+from tideline.session import ignore_idle_sources
 
 
 def column(df, name):
@@ -91,10 +92,19 @@ def test_registered_functions(spark):
 
 
 def test_inline_rows_and_bitmap_in_sql(spark):
-    got = spark.sql("""SELECT sum(bitmap_count(bits)) AS n FROM (
-        SELECT bitmap_construct_agg(bitmap_bit_position(order_id)) bits FROM VALUES (1, 2.0), (2, 3.1) AS t(order_id, price)
-        GROUP BY bitmap_bucket_number(order_id))""").first().n
-    assert got == 2
+    got = spark.sql("""SELECT sum(bitmap_count(places)) AS seen FROM (
+        SELECT bitmap_construct_agg(bitmap_bit_position(visitor)) AS places
+        FROM VALUES ('mon', 17), ('tue', 40000), ('tue', 17), ('wed', 99) AS visits(day, visitor) GROUP BY bitmap_bucket_number(visitor))""").first().seen
+    assert got == 3
+
+
+def test_idle_source_setting(spark):
+    name = "spark.sql.streaming.multipleWatermarkPolicy"
+    before = spark.conf.get(name)
+    ignore_idle_sources(spark)
+    assert spark.conf.get(name) == "max"
+    ignore_idle_sources(spark, False)
+    assert spark.conf.get(name) == "min" == before
 
 
 def test_parse_temperatures(spark):
@@ -146,6 +156,11 @@ def test_parse_json_keeps_objects_only(spark):
     assert got == [('{"k":1,"k":2}', 2), (' \t{"k":5}', 5), ("{}", None), ('{"k":"no"}', None), ('{"k":null}', None)]
 
 
+def test_parse_json_wants_double_quotes(spark):
+    texts = ["{'k':1}", """{"k":'1'}""", """{"k": 2, 'x': 1}""", '{"k":3}', """{"k":4,"x":"it's"}"""]
+    assert [r.k for r in parse_json(lines(spark, texts), "k int").collect()] == [3, 4]
+
+
 def test_parse_json_parses_once(spark):
     plan = parse_json(lines(spark, ["{}"]), "k int")._jdf.queryExecution().optimizedPlan().toString()
     # The second from_json is the one for damaged texts only.

@@ -76,6 +76,19 @@ def test_multi_window_stream(rocksdb, tmp_path):
     assert bag(got) == bag(expected.select(*got.columns))
 
 
+def test_multi_window_stream_drops_late_rows_like_a_single_size(rocksdb, tmp_path):
+    feed = Feed(rocksdb, tmp_path / "in", EVENT)
+    feed.add([(at(s), s % 4) for s in (1, 5, 9, 12)]).add([(at(31), 1), (at(8), 9), (None, 3)]).add([(at(11), 7), (at(40), None)]).add([(at(500), 1)])
+    sizes = ["10 seconds", "30 seconds"]
+    df = SW.multi_window_pv_uv_stream(feed.stream(), "ts", "id", sizes, "2 seconds")
+    got = run(df, "fanned", "append", tmp_path / "cp")
+    for n, size in enumerate(sizes):
+        one = run(SW.pv_uv_stream(feed.stream(), "ts", "id", size, "2 seconds"), f"single{n}", "append", tmp_path / f"cp{n}")
+        assert bag(got.filter(F.col("window_size") == size).select(*one.columns)) == bag(one)
+    plan = df._jdf.queryExecution().analyzed().toString()
+    assert plan.count("StreamingRelation") == 1
+
+
 def test_early_results_of_an_open_day(rocksdb, tmp_path):
     feed = Feed(rocksdb, tmp_path / "in", EVENT)
     feed.add([(at(0), 1), (at(1), 1)]).add([(at(2), 2), (at(3), None)])

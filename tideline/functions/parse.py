@@ -95,9 +95,9 @@ def parse_json(df: DataFrame, schema: T.StructType | str, value: str = "value",
     if isinstance(schema, str):
         schema = T._parse_datatype_string(schema)
     marked = T.StructType([*schema.fields, T.StructField(_BROKEN, T.StringType())])
-    parsed = F.from_json(text, marked, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BROKEN})
+    parsed = F.from_json(text, marked, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BROKEN, "allowSingleQuotes": "false"})
     # Behind an explode the parsed value is a column of its own, so the filter below does not parse again.
     rows = df.filter(text.rlike(r"^[ \t\r\n]*\{")).select(*keep, text.alias(_TEXT), F.explode_outer(F.array(parsed)).alias("_j"))
-    whole = F.from_json(_TEXT, "map<string,string>", {"mode": "PERMISSIVE"}).isNotNull()
+    whole = F.from_json(_TEXT, "map<string,string>", {"mode": "PERMISSIVE", "allowSingleQuotes": "false"}).isNotNull()
     sound = F.when(F.col(f"_j.{_BROKEN}").isNull(), F.lit(True)).otherwise(whole)
     return rows.filter(sound).select(*keep, *[F.col("_j").getField(n).alias(n) for n in schema.names])

@@ -211,6 +211,23 @@ def oracles() -> dict[str, str]:
         "read_optimized_timed": _TIMED,
         "cow_upsert": f"""SELECT {_ROW} FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn
             FROM orders) WHERE rn = 1""",
+        "processing_time_column": "SELECT count(*) AS orders, true AS now FROM orders",
+        "insert_rows": "SELECT o_custkey AS customer, count(*) AS orders FROM orders GROUP BY o_custkey",
+        "multi_window_stream": "SELECT * FROM (" + " UNION ALL ".join(
+            _pv_uv(size, f"'{size}' AS window_size, ") for size in ("1 hour", "7 hours", "1 day")) + """)
+            WHERE window_end <= (SELECT max(ts) - INTERVAL 10 MINUTE FROM events)""",
+        "declared_watermark": f"""SELECT * FROM (
+                SELECT user_id, {_bucket('6 hours')} + INTERVAL 6 HOUR AS window_end, count(value) AS count1 FROM events GROUP BY ALL)
+            WHERE window_end <= (SELECT max(ts) - INTERVAL 10 MINUTE FROM events)""",
+        "early_results": """WITH w AS (SELECT date_trunc('day', ts + INTERVAL 8 HOUR)::TIMESTAMP - INTERVAL 8 HOUR AS window_start,
+                count(user_id) AS pv, count(DISTINCT user_id) AS uv FROM events GROUP BY ALL)
+            SELECT window_start, window_start + INTERVAL 1 DAY AS window_end, 'pv' AS measure, pv AS value FROM w
+            UNION ALL SELECT window_start, window_start + INTERVAL 1 DAY, 'uv', uv FROM w""",
+        "text_sink_lines": "SELECT event_id || ',' || event_type AS value FROM events",
+        "upsert_sink_log": f"""SELECT {_ROW} FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn
+            FROM orders) WHERE rn = 1""",
+        "change_stream": """WITH p AS (SELECT *, o_orderkey * 3 // (SELECT max(o_orderkey) + 1 FROM orders) AS part FROM orders)
+            SELECT o_orderkey, o_totalprice, o_orderstatus, part + 1 AS commit, CASE WHEN part = 2 THEN 'D' ELSE 'U' END AS op FROM p""",
         "changelog_stream": f"{_CHANGES} SELECT * FROM changes",
         "changelog_stream_deletes": _TAKEN_BACK,
         "fired_window_rows": _FIRED,

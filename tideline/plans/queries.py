@@ -6,6 +6,7 @@ inside each block of 64 events the order is permuted. It is unique and dense, li
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,14 +18,17 @@ from tideline.functions.register import register_functions
 from tideline.functions.times import clock, epoch_ms
 from tideline.operators import aggregates, dedup, distinct, idle, ids, keyed_table, ordered, running, userdefined, watermark, windows
 from tideline.operators import changelog as changes
+from tideline.operators.stored import shared_folder
 from tideline.session import configure
-from tideline.sources.tables import TableSpec, testdata
+from tideline.sources.tables import TableSpec, insert_into, processing_time, testdata
 from tideline.streaming.changelog import changelog_stream as stream_changes
 from tideline.streaming.dedup import dedup_interval_stream as stream_dedup
 from tideline.streaming.firing import fired_window_rows_stream
 from tideline.streaming.ids import assign_ids_stream
 from tideline.streaming.replay import replay, replay_into
-from tideline.streaming.sinks import current_table_sink
+from tideline.streaming.sinks import batch_sink, current_table_sink, text_sink, upsert_sink
+from tideline.streaming.windows import multi_window_pv_uv_stream as stream_multi_window
+from tideline.streaming.windows import pv_uv_early
 
 Query = Callable[[SparkSession, str], DataFrame]
 _REGISTRY: dict[str, Query] = {}
@@ -467,6 +471,26 @@ def interval_shift(spark, folder):
     )
 
 
+@query
+def processing_time_column(spark, folder):
+    """Orders stamped with their arrival in this query, which is one time for all."""
+    stamped = testdata(spark, folder, "orders").select("o_orderkey", processing_time().alias("arrived"))
+    age = F.unix_seconds(F.current_timestamp()) - F.unix_seconds("arrived")
+    return stamped.groupBy("arrived").agg(F.count("*").alias("orders"), F.max(age).alias("age")).select("orders", (F.col("age") == 0).alias("now"))
+
+
+@query
+def insert_rows(spark, folder):
+    """A query appended to a catalog table by position, twice."""
+    at, name = f"{shared_folder(spark)}/table-{uuid.uuid4().hex}", f"inserted_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE TABLE {name} (customer bigint, orders bigint) USING parquet LOCATION '{at}'")
+    counted = testdata(spark, folder, "orders").groupBy("o_custkey").agg(F.count("*").alias("n"))
+    insert_into(counted.filter("o_custkey % 2 = 0"), name)
+    insert_into(counted.filter("o_custkey % 2 = 1"), name)
+    spark.sql(f"DROP TABLE {name}")
+    return spark.read.schema("customer bigint, orders bigint").parquet(at)
+
+
 # -- keyed tables -------------------------------------------------------------------------------------
 
 
@@ -645,3 +669,69 @@ def cow_upsert(spark, folder):
     at = replay_into(rows, "part", 3, lambda s, folder: current_table_sink(
         s, f"{folder}/table", "o_custkey", "o_orderdate", 16, f"{folder}/cp", tie=["o_orderkey"], available_now=True))
     return keyed_table.read_current(spark, f"{at}/table", rows.drop("part").schema)
+
+
+@query
+def multi_window_stream(spark, folder):
+    """PV and UV at several sizes from one state; windows that the watermark has passed."""
+    rows = _in_parts(_events(spark, folder).select("event_id", "user_id", "ts"), "event_id")
+    return replay(rows, "part", 3, lambda s: stream_multi_window(s, "ts", "user_id", ["1 hour", "7 hours", "1 day"], "10 minutes"))
+
+
+@query
+def declared_watermark(spark, folder):
+    """A declared table with a watermark, queried in SQL."""
+    rows = _in_parts(_events(spark, folder).select("event_id", "user_id", "ts", "value"), "event_id")
+    spec = TableSpec("declared_events", rows.drop("part").schema, event_time="ts", delay="10 minutes")
+
+    def counted(source: DataFrame) -> DataFrame:
+        spec.apply(source)
+        return source.sparkSession.sql("""SELECT user_id, CAST(window.end AS TIMESTAMP_NTZ) AS window_end, count(value) AS count1
+            FROM declared_events GROUP BY user_id, window(ts, '6 hours')""")
+
+    return replay(rows, "part", 3, counted)
+
+
+@query
+def early_results(spark, folder):
+    """The last of the early results of all windows, the open one too."""
+    rows = _in_parts(_events(spark, folder).select("event_id", "user_id", "ts"), "event_id")
+
+    def sink(source: DataFrame, at: str):
+        write = lambda batch, n: batch.write.mode("overwrite").parquet(f"{at}/out/batch={n}")
+        return batch_sink(pv_uv_early(source, "ts", "user_id", "1 day", "1 hour", "-8 hours"), write, f"{at}/cp", "update", available_now=True)
+
+    shown = spark.read.parquet(f"{replay_into(rows, 'part', 3, sink)}/out")
+    # Both measures only grow while a window is open.
+    return shown.groupBy("window_start", "window_end", "measure").agg(F.max("value").alias("value"))
+
+
+@query
+def text_sink_lines(spark, folder):
+    """Lines that a stream of three runs writes, each once."""
+    rows = _in_parts(_events(spark, folder).select("event_id", "user_id", "event_type"), "event_id")
+    at = replay_into(rows, "part", 3, lambda s, at: text_sink(s, f"{at}/out", f"{at}/cp", ["event_id", "event_type"], available_now=True))
+    return spark.read.text(f"{at}/out")
+
+
+@query
+def upsert_sink_log(spark, folder):
+    """Micro-batches appended to a commit log, read as the current table."""
+    rows = _in_parts(testdata(spark, folder, "orders").select("o_custkey", "o_orderkey", "o_totalprice", "o_orderdate"), "o_orderkey")
+    at = replay_into(rows, "part", 3, lambda s, at: upsert_sink(s, f"{at}/log", f"{at}/cp", available_now=True))
+    log = keyed_table.read_log(spark, f"{at}/log", rows.drop("part").schema)
+    return keyed_table.upsert_latest(log, "o_custkey", "o_orderdate", tie=["o_orderkey"])
+
+
+@query
+def change_stream(spark, folder):
+    """A log of a bulk insert and two commits, partitioned by status, followed as a stream to its end."""
+    orders = _in_parts(testdata(spark, folder, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus"), "o_orderkey")
+    at, columns = f"{shared_folder(spark)}/log-{uuid.uuid4().hex}", ["o_orderkey", "o_totalprice", "o_orderstatus"]
+    keyed_table.bulk_insert(orders.filter("part = 0").select(*columns), f"{at}/log", 1, ["o_orderstatus"])
+    keyed_table.write_commit(orders.filter("part = 1").select(*columns), f"{at}/log", 2, partition_by=["o_orderstatus"])
+    keyed_table.write_commit(orders.filter("part = 2").select(*columns), f"{at}/log", 3, keyed_table.DELETE, partition_by=["o_orderstatus"])
+    followed = keyed_table.stream_log(spark, f"{at}/log", orders.select(*columns).schema)
+    writer = followed.writeStream.format("parquet").option("path", f"{at}/out").option("checkpointLocation", f"{at}/cp")
+    writer.trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(f"{at}/out").select(*columns, F.col("_commit").alias("commit"), F.col("_op").alias("op"))

@@ -16,6 +16,8 @@ from tideline.operators.windows import _positive_offset
 
 
 EVENT_TIME = "_event_time"
+# Spark's mark of an event-time column: the delay of its watermark in milliseconds.
+_WATERMARK = "spark.watermarkDelayMs"
 
 
 def with_event_time(df: DataFrame, ts: str, delay: str = "0 seconds") -> DataFrame:
@@ -66,12 +68,26 @@ def pv_uv_early(df: DataFrame, ts: str, id_col: str, size: str, delay: str = "0
 
 def multi_window_pv_uv_stream(df: DataFrame, ts: str, id_col: str, sizes: Sequence[str],
                               delay: str = "0 seconds") -> DataFrame:
-    """`pv_uv_stream` at several sizes in one output, labelled by window_size."""
-    parts = [pv_uv_stream(df, ts, id_col, s, delay).withColumn("window_size", F.lit(s)) for s in sizes]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+    """`pv_uv_stream` at several sizes in one output, labelled by window_size, from one source with one state.
+
+    Every row is fanned out to its window of each size ahead of one aggregation per (size, window, id) and one per
+    (size, window). A window computed by hand is told to Spark as one over the event time, by the mark that the declared column has.
+    """
+    at = F.unix_micros(EVENT_TIME)
+    moment = lambda us: F.timestamp_micros(us)
+
+    def window_of(size: str) -> Column:
+        step = duration_us(size)
+        start = at - F.pmod(at, F.lit(step))
+        return F.struct(F.lit(size).alias("size"), F.struct(moment(start).alias("start"), moment(start + step).alias("end")).alias("w"))
+
+    mark = {_WATERMARK: duration_us(delay) // 1000}
+    timed = with_event_time(df.filter(F.col(ts).isNotNull()), ts, delay)
+    fanned = timed.select(F.col(id_col).alias("id"), F.explode(F.array(*[window_of(s) for s in sizes])).alias("x"))
+    each = fanned.select("id", F.col("x.size").alias("window_size"), F.col("x.w").alias("w", metadata=mark))
+    per_id = each.groupBy("window_size", "w", "id").agg(F.count("id").alias("_n"))
+    counted = per_id.groupBy("window_size", "w").agg(F.sum("_n").alias("pv"), F.count("id").alias("uv"))
+    return _bounds(counted, "w", type_of(df, ts), "pv", "uv", "window_size")
 
 
 def window_stats_stream(df: DataFrame, keys: Sequence[str], ts: str, value: str, size: str,
