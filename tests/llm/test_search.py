@@ -56,8 +56,7 @@ def test_the_split_follows_the_bounds(monkeypatch):
     shard = search.Shard(np.arange(3000), rows)
     for q in range(20):
         shard.read = 0
-        query = rows[q].astype(float)
-        ids, scores = shard.top(q, query, 10)
+        [(ids, scores)] = shard.tops([q], rows[q:q + 1], 10)
         exact = rows @ rows[q]
         best = sorted((-int(exact[i]), i) for i in range(3000) if i != q)[:10]
         assert list(zip((-scores).astype(int).tolist(), ids.tolist())) == best
@@ -68,10 +67,10 @@ def test_ties_go_to_the_smaller_id_in_every_block(monkeypatch):
     monkeypatch.setattr(search, "BLOCK", 3)
     rows = np.array([[1, 2]] * 20 + [[0, 0]] * 5)
     shard = search.Shard(np.arange(25)[::-1].copy(), rows)
-    for own in (0, 7, 24, 99):
-        ids, scores = shard.top(own, np.array([3.0, 4.0]), 6)
+    asked = np.array([[3, 4]] * 4)
+    for own, (ids, scores) in zip((0, 7, 24, 99), shard.tops([0, 7, 24, 99], asked, 6)):
         assert ids.tolist() == [i for i in range(5, 25) if i != own][:6] and (scores == 11).all()
-    assert shard.top(1, np.array([0.0, 0.0]), 4)[0].tolist() == [0, 2, 3, 4]
+    assert shard.tops([1], np.array([[0, 0]]), 4)[0][0].tolist() == [0, 2, 3, 4]
 
 
 @pytest.mark.parametrize("most", [100, 10**6, 10**12])

@@ -25,7 +25,7 @@ EVERY = 100
 # Vectors of a shard while there are fewer shards than tasks, and bytes of a shard from then on.
 SHARD = 16_384
 SHARD_BYTES = 1 << 25
-BLOCK = 2048
+BLOCK = 4096
 PROBE = 8
 
 
@@ -52,39 +52,57 @@ class Shard:
         self.low, self.high = (f(rows, 0, initial=0).astype(np.float64) for f in (np.min, np.max))
         self.read = 0  # components looked at
 
-    def top(self, own: int, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """(ids, scores) of the k best vectors but `own`; equal scores go to the smaller id."""
-        query = query[:len(self.postings)]
-        ends = query * self.low[:len(query)], query * self.high[:len(query)]
+    def tops(self, own: np.ndarray, queries: np.ndarray, k: int) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Per query (ids, scores) of the k best vectors but the one of its own id; equal scores go to the smaller id."""
+        asked = [_Query(int(o), q[:len(self.postings)].astype(np.float64), self.low, self.high, k) for o, q in zip(own, queries)]
+        for begin in range(0, len(self.ids), BLOCK):
+            ids, block = self.ids[begin:begin + BLOCK], self.postings[:, begin:begin + BLOCK].astype(np.float64)
+            for query in asked:
+                self.read += query.take(ids, block)
+        return [(q.ids, q.scores) for q in asked]
+
+
+class _Query:
+    """One query on its way through the blocks of a shard."""
+
+    def __init__(self, own: int, query: np.ndarray, low: np.ndarray, high: np.ndarray, k: int):
+        ends = query * low[:len(query)], query * high[:len(query)]
         least, most = np.minimum(*ends), np.maximum(*ends)
         terms = np.argsort(least - most, kind="stable")
-        terms = terms[query[terms] != 0]
-        # What a vector reaches at most without a gain in the first j terms, and by the terms from the j-th on.
-        rest = np.append(np.cumsum(most[terms][::-1])[::-1], 0.0)
-        without = np.append(0.0, np.cumsum(least[terms])) + rest
-        ids, scores, limit = np.zeros(0, np.int64), np.zeros(0), -np.inf
-        for begin in range(0, len(self.ids), BLOCK):
-            alive = begin + np.flatnonzero(self.ids[begin:begin + BLOCK] != own)
-            # The essential terms: the fewest without which the threshold is out of reach. `without` falls from term to term.
-            done = int(np.searchsorted(-without, -limit, side="right"))
-            done = len(terms) if limit == -np.inf else min(done, len(terms))
-            found = query[terms[:done]] @ self.postings[terms[:done], begin:begin + BLOCK][:, alive - begin]
-            self.read += done * len(alive)
-            while done < len(terms):
-                keep = found + rest[done] >= limit
-                if not keep.all():
-                    alive, found = alive[keep], found[keep]
-                if not len(alive):
-                    break
-                step = terms[done:done + PROBE]
-                found = found + query[step] @ self.postings[np.ix_(step, alive)]
-                self.read += len(step) * len(alive)
-                done += len(step)
-            ids, scores = np.concatenate([ids, self.ids[alive]]), np.concatenate([scores, found])
-            best = np.lexsort((ids, -scores))[:k]
-            ids, scores = ids[best], scores[best]
-            limit = scores[-1] if len(scores) == k else -np.inf
-        return ids, scores
+        self.terms = terms[query[terms] != 0]
+        self.own, self.k, self.weights = own, k, query[self.terms]
+        # What the terms from the j-th on give at most, and what a vector reaches at most without a gain in the first j.
+        self.rest = np.append(np.cumsum(most[self.terms][::-1])[::-1], 0.0)
+        self.without = np.append(0.0, np.cumsum(least[self.terms])) + self.rest
+        self.ids, self.scores, self.limit = np.zeros(0, np.int64), np.zeros(0), -np.inf
+
+    def take(self, ids: np.ndarray, block: np.ndarray) -> int:
+        """Take in a block of vectors (a column each); returns how many components were read."""
+        n = len(self.terms)
+        # The essential terms: the fewest without which the threshold is out of reach. `without` falls from term to term.
+        done = n if self.limit == -np.inf else min(int(np.searchsorted(-self.without, -self.limit, side="right")), n)
+        found, left = self.weights[:done] @ block[self.terms[:done]], self.terms[done:]
+        read = done * len(ids)
+        while done < n:
+            keep = found + self.rest[done] >= self.limit
+            alive = int(keep.sum())
+            if not alive:
+                return read
+            # Postings are cut to the vectors still competitive whenever half of them are gone.
+            if 2 * alive < len(ids):
+                ids, found, block = ids[keep], found[keep], block[left][:, keep]
+                left = np.arange(len(left))
+            step, left = left[:PROBE], left[PROBE:]
+            found = found + self.weights[done:done + PROBE] @ block[step]
+            read += len(step) * len(ids)
+            done += len(step)
+        better = (found >= self.limit) & (ids != self.own)
+        if better.any():
+            ids, scores = np.concatenate([self.ids, ids[better]]), np.concatenate([self.scores, found[better]])
+            best = np.lexsort((ids, -scores))[:self.k]
+            self.ids, self.scores = ids[best], scores[best]
+            self.limit = self.scores[-1] if len(best) == self.k else -np.inf
+        return read
 
 
 def _matrix(column: pa.Array, width: int) -> np.ndarray:
@@ -137,7 +155,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = TOP, shard: int = SHA
                 if not ids:
                     continue
                 index = index or Shard(np.concatenate(ids), np.concatenate(rows))
-                found = [(int(q), *index.top(int(q), v, k)) for q, v in zip(names[i:j], values[i:j].astype(np.float64))]
+                found = [(int(q), *best) for q, best in zip(names[i:j], index.tops(names[i:j], values[i:j], k))]
                 query = np.repeat([q for q, _, _ in found], [len(x) for _, x, _ in found])
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(query.astype(np.int64)), pa.array(np.concatenate([x for _, x, _ in found]).astype(np.int64)),
