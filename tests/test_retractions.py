@@ -23,28 +23,28 @@ def bag(df):
 
 
 @pytest.mark.parametrize("agg,cuts", [("sum", [0]), ("sum", [0, 13, 14, 60]), ("max", [0, 30]), ("count", [0, 50])])
-def test_changelog_for_any_cut_into_batches(spark, agg, cuts):
+def test_changelog_for_any_cut_into_batches(rocksdb, agg, cuts):
     rng = random.Random(len(cuts))
     rows = [(rng.choice(["a", "b", None]), i, rng.choice([0, 1, 2**53 + 1, -5, None]), sum(i >= c for c in cuts) - 1) for i in range(90)]
-    table = spark.createDataFrame(rows, "k string, seq bigint, v bigint, part int")
+    table = rocksdb.createDataFrame(rows, "k string, seq bigint, v bigint, part int")
     got = replay(table, "part", len(cuts), lambda s: changelog_stream(s, "k", "seq", "v", agg))
     expected = agg_changelog(table, "k", "seq", "v", agg)
     assert got.columns == expected.columns and bag(got) == bag(expected)
 
 
-def test_retractions_take_rows_back(spark):
+def test_retractions_take_rows_back(rocksdb):
     rows = [("a", 0, 1, 5), ("a", 1, 1, 3), ("b", 2, -1, 7), ("a", 3, -1, 5), ("a", 4, 1, 0), ("a", 5, -1, 3), ("a", 6, -1, 0), ("a", 7, 1, None),
             ("a", 8, 1, 9), ("a", 9, -1, None), ("a", 10, -1, 9)]
     for cuts in ([0], [0, 3, 5, 6, 9]):
-        table = spark.createDataFrame([(*r, sum(r[1] >= c for c in cuts) - 1) for r in rows], "k string, seq bigint, s int, v bigint, part int")
+        table = rocksdb.createDataFrame([(*r, sum(r[1] >= c for c in cuts) - 1) for r in rows], "k string, seq bigint, s int, v bigint, part int")
         got = replay(table, "part", len(cuts), lambda s: changelog_stream(s, "k", "seq", "v", sign="s"))
         assert [(r.change_seq, r.row_kind, r.result) for r in got.orderBy("change_seq").collect()] == [
             (1, "+I", 5), (2, "-U", 5), (3, "+U", 8), (6, "-U", 8), (7, "+U", 3), (10, "-U", 3), (11, "+U", 0), (12, "-D", 0),
             (15, "+I", None), (16, "-U", None), (17, "+U", 9), (20, "-D", 9)]
 
 
-def test_changelog_of_doubles_and_bad_calls(spark):
-    table = spark.createDataFrame([(7, 0, 0.5, 0), (7, 1, None, 0), (7, 2, 0.25, 0)], "k bigint, seq bigint, v double, part int")
+def test_changelog_of_doubles_and_bad_calls(rocksdb):
+    table = rocksdb.createDataFrame([(7, 0, 0.5, 0), (7, 1, None, 0), (7, 2, 0.25, 0)], "k bigint, seq bigint, v double, part int")
     got = replay(table, "part", 1, lambda s: changelog_stream(s, "k", "seq", "v"))
     assert bag(got) == bag(agg_changelog(table, "k", "seq", "v"))
     with pytest.raises(ValueError):
@@ -93,40 +93,40 @@ def firings(spark, batches, size, delay, lateness, piece=2):
 
 
 @pytest.mark.parametrize("seconds,delay,lateness", [(IN_ORDER, 0, 0), (DISORDERED, 2, 0), (DISORDERED, 2, 4)])
-def test_worked_examples_in_three_batches(spark, seconds, delay, lateness):
+def test_worked_examples_in_three_batches(rocksdb, seconds, delay, lateness):
     rows = list(enumerate(seconds))
     batches = [rows[:4], rows[4:8], rows[8:]]
     out, late = brute_firings(batches, 5, delay, lateness)
-    got, got_late = firings(spark, batches, 5, delay, lateness)
+    got, got_late = firings(rocksdb, batches, 5, delay, lateness)
     assert got == {k: sorted(v) for k, v in out.items()} and got_late == late
     if lateness:
         assert any(f > 1 for f, _ in got)
 
 
-def test_row_by_row_it_equals_the_replayed_windows(spark):
+def test_row_by_row_it_equals_the_replayed_windows(rocksdb):
     """With one row a batch, the watermark of the batches before is that of the rows before."""
     seconds = [1, 7, 3, 12, 9, 4, 18]
-    got, _ = firings(spark, [[r] for r in enumerate(seconds)], 5, 0, 6)
-    table = arrivals(spark, seconds)
+    got, _ = firings(rocksdb, [[r] for r in enumerate(seconds)], 5, 0, 6)
+    table = arrivals(rocksdb, seconds)
     expected = window_firings(table, "ts", "seq", "5 seconds", "0 seconds", "6 seconds", value="v", keys=["k"]).collect()
     assert {k: len(v) for k, v in got.items()} == {(r.firing, int((r.window_end - at(0)).total_seconds())): r.rows for r in expected}
 
 
-def test_a_late_row_of_a_new_key_passes(spark):
+def test_a_late_row_of_a_new_key_passes(rocksdb):
     stamps = [("a", 0, 0), ("b", 1000, 1), ("b", 2000, 2), ("c", 5, 3), ("b", 2010, 3), ("a", 7, 4), ("c", 2005, 4)]
-    table = spark.createDataFrame([(k, at(s), n, p) for n, (k, s, p) in enumerate(stamps)], "k string, ts timestamp_ntz, n bigint, part int")
+    table = rocksdb.createDataFrame([(k, at(s), n, p) for n, (k, s, p) in enumerate(stamps)], "k string, ts timestamp_ntz, n bigint, part int")
     got = replay(table, "part", 5, lambda s: dedup_interval_stream(s, ["k"], "ts", "60 seconds", "n"))
     # a's state is gone when row 5 comes; so is c's when row 6 comes; b is still held back at row 4.
     assert sorted(r.n for r in got.collect()) == [0, 1, 2, 3, 5, 6]
     assert got.filter(F.col("k") == "c").count() == 2
 
 
-def test_ids_stay_unique_over_batches_and_early_rows(spark):
+def test_ids_stay_unique_over_batches_and_early_rows(rocksdb):
     """A crowded millisecond, rows earlier than those before, two workers, three runs: ids as a clock that never goes back gives them."""
     rng = random.Random(5)
     base = 1_700_000_000_000
     rows = [(n, base + rng.choice([0, 1, 2, 40]) - 30 * (part == 1), rng.randrange(2), part) for part in range(3) for n in range(part * 6000, part * 6000 + 6000)]
-    table = spark.createDataFrame(rows, "n bigint, ms bigint, w int, part int").withColumn("ts", F.timestamp_millis("ms"))
+    table = rocksdb.createDataFrame(rows, "n bigint, ms bigint, w int, part int").withColumn("ts", F.timestamp_millis("ms"))
     got = replay(table, "part", 3, lambda s: assign_ids_stream(s, "ts", F.col("w"), "n"))
     free, expected = {}, {}
     for n, ms, w, part in sorted(rows, key=lambda r: (r[3], r[1], r[0])):

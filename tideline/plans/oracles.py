@@ -211,6 +211,10 @@ def oracles() -> dict[str, str]:
         "read_optimized_timed": _TIMED,
         "cow_upsert": f"""SELECT {_ROW} FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn
             FROM orders) WHERE rn = 1""",
+        "text_source_lines": """SELECT event_type AS k, count(*) AS n, sum(floor(value))::BIGINT AS total FROM events
+            WHERE event_id % 6 > 0 GROUP BY event_type""",
+        "kafka_records": """SELECT (user_id % 4)::INTEGER AS "partition", event_id AS "offset", ts AS at, user_id, event_type AS kind,
+            floor(value)::BIGINT AS amount FROM events WHERE event_id % 7 > 0""",
         "processing_time_column": "SELECT count(*) AS orders, true AS now FROM orders",
         "insert_rows": "SELECT o_custkey AS customer, count(*) AS orders FROM orders GROUP BY o_custkey",
         "multi_window_stream": "SELECT * FROM (" + " UNION ALL ".join(

@@ -20,7 +20,9 @@ from tideline.operators import aggregates, dedup, distinct, idle, ids, keyed_tab
 from tideline.operators import changelog as changes
 from tideline.operators.stored import shared_folder
 from tideline.session import configure
+from tideline.sources.kafka_json import parse_records
 from tideline.sources.tables import TableSpec, insert_into, processing_time, testdata
+from tideline.sources.text import text_lines, write_lines
 from tideline.streaming.changelog import changelog_stream as stream_changes
 from tideline.streaming.dedup import dedup_interval_stream as stream_dedup
 from tideline.streaming.firing import fired_window_rows_stream
@@ -262,7 +264,7 @@ def lateness_firings(spark, folder):
 
 @query
 def windowed_reduce(spark, folder):
-    """Every 9th arrival has no value."""
+    """Every 9th arrival has no value. The label of a group is one value here; windowed_reduce_parts is the form for groups of any size."""
     n = F.when(F.pmod("event_id", F.lit(9)) > 0, F.floor("value").cast("bigint"))
     on_time, _ = watermark.split_late(_arrivals(spark, folder).withColumn("n", n), "ts", "seq", "6 hours", "1 hour")
     return ordered.ordered_reduce(on_time, "event_type", "seq", "n", windows.BOUNDS)
@@ -457,6 +459,27 @@ def parse_pairs_tolerant(spark, folder):
                                    F.max("ts").cast("timestamp_ntz").alias("latest"))
 
 
+@query
+def text_source_lines(spark, folder):
+    """Events written to text files, read back line by line and parsed; NULL is written as text."""
+    at = f"{shared_folder(spark)}/lines-{uuid.uuid4().hex}"
+    amount = F.when(F.pmod("event_id", F.lit(6)) > 0, F.floor("value"))
+    write_lines(_events(spark, folder).select("event_type", amount.alias("amount")), at, separator=" ")
+    return parse_pairs(text_lines(spark, at)).groupBy("k").agg(F.count("*").alias("n"), F.sum(F.col("v").cast("bigint")).alias("total"))
+
+
+@query
+def kafka_records(spark, folder):
+    """Records as a message log hands them out: JSON bodies, some of them damaged, with partition, offset and time."""
+    body = F.when(F.pmod("event_id", F.lit(7)) == 0, F.lit("{broken")).otherwise(
+        F.to_json(F.struct("user_id", F.col("event_type").alias("kind"), F.floor("value").alias("amount"))))
+    records = _events(spark, folder).select(
+        body.cast("binary").alias("value"), F.pmod("user_id", F.lit(4)).cast("int").alias("partition"), F.col("event_id").alias("offset"),
+        F.col("ts").cast("timestamp").alias("timestamp"))
+    parsed = parse_records(records, "user_id bigint, kind string, amount bigint")
+    return parsed.select("partition", "offset", F.col("timestamp").cast("timestamp_ntz").alias("at"), "user_id", "kind", "amount")
+
+
 @query
 def interval_shift(spark, folder):
     """Time arithmetic: shifted time, hour floor, epoch milliseconds, local time and time of day."""
