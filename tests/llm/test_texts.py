@@ -86,6 +86,17 @@ def plain_likeness(a, b):
     return 1 - cost / (6 * 256 + 4 * 32)
 
 
+def test_long_notices(spark):
+    """A whole license in its usual layout, with a few words changed, and one that stops half way."""
+    mit = next(p for p, label in licenses.NOTICES if label == "mit-full").split()
+    isc = next(p for p, label in licenses.NOTICES if label == "isc").split()
+    changed = mit[:40] + ["ONE", "MORE"] + mit[40:90] + mit[91:]
+    texts = ["(c) 2024 somebody\n\n" + ", ".join(changed).upper() + ".", " ".join(isc[:len(isc) // 2]), " ".join(mit[:30] + isc[-40:])]
+    got = {r.doc_id: r for r in licenses.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")).collect()}
+    assert "mit-full" in got[0].labels.split(",") and 0.8 <= got[0].score <= 1
+    assert got[1].labels == "" and "mit-full" not in got[2].labels and "isc" not in got[2].labels.split(",")
+
+
 def brute_pairs(rows):
     """rows (id, text) with unique ids."""
     rows = sorted(rows)
