@@ -64,6 +64,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     context.setCheckpointDir(folder)
 
 
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Remove a folder of ours, wherever Spark keeps it."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(folder, True)
+
+
 def saved(df: DataFrame) -> DataFrame:
     """The frame computed once and kept in the shared folder, so that lost executors cost no recomputation."""
     ensure_checkpoint_dir(df.sparkSession)

@@ -208,7 +208,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     of each (source, length) the documents first in the order of a seeded hash are taken once more. That order
     is cut into 4,096 ranges by hash, so a length that holds any share of the rows is not one group. NULL sources
     are one source; NULL and empty texts have size 0 and are never taken. Rows alike in id, text and source may be taken
-    apart: which of them is of no account.
+    apart: which of them is of no account. A text of any length is one document, counted whole. An empty table gives no rows.
     """
     light = saved(sized(docs, id_col, text_col, source_col).withColumn("order", F.xxhash64(F.lit(seed), "key")))
     histogram = saved(light.groupBy("source", "size").agg(F.count("*").alias("n")))
@@ -244,21 +244,29 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
 
 
 def take_mix(docs: DataFrame, **options) -> DataFrame:
-    """The mixed corpus: each row as often as the mix takes it, all columns unchanged; rows not taken go."""
+    """The mixed corpus: each row as often as the mix takes it, all columns unchanged; rows not taken go.
+
+    Rows alike in id, text and source share what the mix takes of them. They are numbered in the partitions they are read
+    from, and the partitions after each other, so no task gets all rows of one document. An empty table gives an empty one.
+    """
     mixed = mix(docs, **options)
-    # Rows alike in id, text and source share a key; what the mix takes of them is summed and dealt out again.
-    taken = (mixed.groupBy("key", "source").agg(F.sum("repeats").alias("repeats"), F.count("*").alias("alike"))
-             .filter("repeats > 0").withColumnsRenamed({"key": "tk", "source": "ts"}))
+    taken = saved(mixed.groupBy("key", "source").agg(F.sum("repeats").alias("repeats"), F.count("*").alias("alike"))
+                  .filter("repeats > 0").withColumnsRenamed({"key": "tk", "source": "ts"}))
     rows = docs.select(F.struct("*").alias("doc"), row_key("doc_id", F.col("text")).alias("key"),
-                       F.col("source").cast("string").alias("source"))
+                       F.col("source").cast("string").alias("source"), F.spark_partition_id().alias("part"))
 
     def joined(some: DataFrame) -> DataFrame:
         return rows.join(some, F.col("key").eqNullSafe(F.col("tk")) & F.col("source").eqNullSafe(F.col("ts")))
 
-    single = joined(taken.filter("alike = 1")).select("doc", F.col("repeats").alias("copies"))
-    nth = F.row_number().over(Window.partitionBy("tk", "ts").orderBy("tk"))
-    several = joined(taken.filter("alike > 1")).withColumn("nth", nth)
-    share = F.floor(F.col("repeats") / F.col("alike")) + (F.col("nth") <= F.col("repeats") % F.col("alike")).cast("bigint")
-    copies = single.unionByName(several.select("doc", share.cast("bigint").alias("copies"))).filter("copies > 0")
-    out = copies.select("doc", F.explode(F.array_repeat(F.lit(0), F.col("copies").cast("int"))).alias("_copy"))
+    copies = joined(taken.filter("alike = 1")).select("doc", F.col("repeats").alias("copies"))
+    if not taken.filter("alike > 1").isEmpty():
+        several = saved(joined(taken.filter("alike > 1")).select("doc", F.struct("tk", "ts").alias("same"), "part", "repeats", "alike"))
+        before = F.sum("n").over(Window.partitionBy("same").orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
+        begin = (several.groupBy("same", "part").agg(F.count("*").alias("n"))
+                 .select(F.col("same").alias("bs"), F.col("part").alias("bp"), F.coalesce(before, F.lit(0)).alias("begin")))
+        own = F.row_number().over(Window.partitionBy("same", "part").orderBy("part"))
+        placed = several.withColumn("own", own).join(begin, F.col("same").eqNullSafe(F.col("bs")) & (F.col("part") == F.col("bp")))
+        share = F.floor(F.col("repeats") / F.col("alike")) + (F.col("begin") + F.col("own") <= F.col("repeats") % F.col("alike")).cast("bigint")
+        copies = copies.unionByName(placed.select("doc", share.cast("bigint").alias("copies")))
+    out = copies.filter("copies > 0").select("doc", F.explode(F.array_repeat(F.lit(0), F.col("copies").cast("int"))).alias("_copy"))
     return out.select(*[F.col("doc").getField(c).alias(c) for c in docs.columns])
