@@ -45,6 +45,7 @@ def examples(turns: DataFrame, conv: str = "conv_id", turn: str = "turn", role:
     without one, are kept in one more example without a target, trainable false. Turns are ordered by number, then role
     and text; NULL numbers come first; repeated rows are turns of their own. NULL roles and texts count as empty. Rows with a
     NULL conversation are one conversation. A conversation is one row of its own text; conversations never meet in a task's group.
+    An empty table gives no rows.
     """
     given = turns.select(F.col(conv).alias("conv_id"), F.struct(
         F.col(turn).alias("turn"), F.coalesce(role, F.lit("")).alias("role"), F.coalesce(text, F.lit("")).alias("text")).alias("t"))

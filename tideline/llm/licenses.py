@@ -106,7 +106,8 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
 
     Rows alike in id and text get the same result; NULL and empty texts have no words and no labels. A base phrase counts
     at each place where all its words stand consecutively. A notice counts once if a span of merged
-    diagonals covers at least 0.8 of its k-grams. score is the best coverage of any counted label, 0 without one.
+    diagonals covers at least 0.8 of its k-grams. score is the best coverage of any counted label, 0 without one. Texts of any
+    length are read whole, and an empty table gives no rows.
     """
     spark = docs.sparkSession
     words = docs.select(row_key(id_col, F.col(text_col)).alias("key"), words_of(F.col(text_col)).alias("words"))

@@ -61,7 +61,8 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     Lines end at \\n. NULL text has no lines, comes back as NULL and counts 0. Texts with fewer than three lines keep
     them all. Rows alike in id and text are one document: their windows count once and they keep the same lines.
-    Rows with the same id and other texts, and rows with NULL ids, are told apart by their text.
+    Rows with the same id and other texts, and rows with NULL ids, are told apart by their text. Texts of any length are read
+    whole, and an empty table gives no rows.
     """
     keyed = docs.select(F.struct("*").alias("doc"), row_key(id_col, F.col(text_col)).alias("key"))
     texts = docs.select(row_key(id_col, F.col(text_col)).alias("key"), F.col(text_col).alias("text"))

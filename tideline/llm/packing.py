@@ -23,7 +23,8 @@ def pieces(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: st
            end_id: int = END_ID) -> DataFrame:
     """doc_id, h, piece, start, length, ids_crc32: each document's ids and then end_id, cut every `sequence` ids.
 
-    NULL text counts as empty: its one id is end_id. `h` is a hash of id, text and piece.
+    NULL text counts as empty: its one id is end_id. `h` is a hash of id, text and piece. Texts of any length are encoded
+    whole, and an empty table gives no pieces.
     """
     kind = [("doc_id", pa.int64()), ("h", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()),
             ("ids_crc32", pa.int64())]

@@ -248,7 +248,8 @@ def simhash(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max
     """doc_id, fingerprint (16 hex digits), component_id for every row.
 
     NULL and empty texts have fingerprint zero and are linked like any other. Rows alike get the same result. A NULL id
-    takes part; component_id is NULL only if a component has no other id.
+    takes part; component_id is NULL only if a component has no other id. Texts of any length are read whole, and an empty table
+    gives no rows.
     """
     prints = saved(fingerprints(docs, id_col, text_col))
     found = classes(prints, max_bits, **options)
