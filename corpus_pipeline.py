@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tideline.llm import lines, mixing, packing, quality, simhash
-from tideline.llm.common import ensure_checkpoint_dir, table
+from tideline.llm.common import delete_folder, ensure_checkpoint_dir, table
 from tideline.llm.queries import tokenizer_path
 
 
@@ -57,11 +57,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over `documents`. Between stages the rows are a Parquet table in the shared folder."""
+    """All stages over `documents`. Between stages the rows are a Parquet table in the shared folder; one that has been read by
+    the stage after it is removed, so only the last one stays, which the result reads."""
     ensure_checkpoint_dir(spark)
     folder = f"{spark.sparkContext.getCheckpointDir()}/pipeline-{uuid.uuid4().hex}"
     docs = table(spark, sf_dir, "documents")
     for n, (name, stage) in enumerate(STAGES[:-1]):
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{n}-{name}")
         docs = spark.read.parquet(f"{folder}/{n}-{name}")
+        if n:
+            delete_folder(spark, f"{folder}/{n - 1}-{STAGES[n - 1][0]}")
     return STAGES[-1][1](spark, docs, sf_dir)
