@@ -296,7 +296,7 @@ def dedup_interval(spark, folder):
 @query
 def dedup_interval_heavy(spark, folder):
     """The same by event type: few keys, each of many chunks."""
-    passed = dedup.dedup_interval(_events(spark, folder), ["event_type"], "ts", "1 hour", "event_id", chunks=40)
+    passed = dedup.dedup_interval(_events(spark, folder), ["event_type"], "ts", "1 hour", "event_id", chunks=16)
     return passed.select("event_id", "event_type", "ts")
 
 
