@@ -13,7 +13,7 @@ from tideline.operators.ids import EPOCH_MS
 from tideline.operators.watermark import window_firings
 from tideline.streaming.changelog import changelog_stream
 from tideline.streaming.dedup import dedup_interval_stream
-from tideline.streaming.firing import fired_window_rows_stream
+from tideline.streaming.firing import each_firing, fired_window_rows_stream
 from tideline.streaming.ids import assign_ids_stream
 from tideline.streaming.replay import replay
 
@@ -103,6 +103,20 @@ def test_worked_examples_in_three_batches(rocksdb, seconds, delay, lateness):
         assert any(f > 1 for f, _ in got)
 
 
+def test_a_row_leaves_the_state_once_a_batch_however_often_its_window_fires(rocksdb):
+    """40 rows in time, then 30 and 20 late ones: 40 + 30 and 90 spans, and all rows of 50 more firings of them."""
+    rows = [(n, "a", at(1), 0) for n in range(40)] + [(40, "b", at(9), 0)]
+    rows += [(n, "a", at(2), 1 if n < 80 else 2) for n in range(50, 100)]
+    table = rocksdb.createDataFrame(rows, "seq bigint, k string, ts timestamp_ntz, part int")
+    spans = replay(table, "part", 3, lambda s: fired_window_rows_stream(s, ["k"], "ts", "seq", "5 seconds", lateness="60 seconds", piece=7, spans=True))
+    assert spans.filter("k = 'a'").count() <= 40 + 70 + 90
+    expected = [(n, f) for f in range(1, 52) for n in [*range(40), *range(50, 49 + f)]]
+    for task_rows in (100, 10_000_000):
+        got = each_firing(spans, task_rows, 4).filter("k = 'a'")
+        assert sorted((r.seq, r.firing) for r in got.collect()) == sorted(expected)
+    assert each_firing(spans, 100, 4).rdd.getNumPartitions() >= len(expected) // 100
+
+
 def test_row_by_row_it_equals_the_replayed_windows(rocksdb):
     """With one row a batch, the watermark of the batches before is that of the rows before."""
     seconds = [1, 7, 3, 12, 9, 4, 18]

@@ -25,7 +25,7 @@ from tideline.sources.tables import TableSpec, insert_into, processing_time, tes
 from tideline.sources.text import text_lines, write_lines
 from tideline.streaming.changelog import changelog_stream as stream_changes
 from tideline.streaming.dedup import dedup_interval_stream as stream_dedup
-from tideline.streaming.firing import fired_window_rows_stream
+from tideline.streaming.firing import each_firing, fired_window_rows_stream
 from tideline.streaming.ids import assign_ids_stream
 from tideline.streaming.replay import replay, replay_into
 from tideline.streaming.sinks import batch_sink, current_table_sink, text_sink, upsert_sink
@@ -667,8 +667,8 @@ def fired_window_rows(spark, folder):
     rows = _in_parts(_arrivals(spark, folder).select("event_id", "event_type", "ts", "seq"))
     later = F.least(F.col("part") + (F.pmod("event_id", F.lit(50)) == 0).cast("int"), F.lit(2))
     fired = replay(rows.withColumn("part", later), "part", 3, lambda s: fired_window_rows_stream(
-        s, ["event_type"], "ts", "seq", "6 hours", "10 minutes", "5 days"))
-    return fired.select("event_id", "event_type", "window_end", "firing")
+        s, ["event_type"], "ts", "seq", "6 hours", "10 minutes", "5 days", spans=True))
+    return each_firing(fired.select("event_id", "event_type", "window_end", "first_firing", "last_firing"))
 
 
 @query
