@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 
+import pandas as pd
 import pytest
 from data import DISORDERED, IN_ORDER, arrivals, at
 from pyspark.sql import functions as F
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 from tideline.operators.changelog import agg_changelog
 from tideline.operators.ids import EPOCH_MS
 from tideline.operators.watermark import window_firings
-from tideline.streaming.changelog import changelog_stream
+from tideline.streaming.changelog import _Retract, changelog_stream
 from tideline.streaming.dedup import dedup_interval_stream
 from tideline.streaming.firing import each_firing, fired_window_rows_stream
 from tideline.streaming.ids import assign_ids_stream
@@ -53,6 +54,43 @@ def test_changelog_of_doubles_and_bad_calls(rocksdb):
         changelog_stream(table, "k", "seq", "v", "avg")
 
 
+class Entries:
+    """A list state in memory that counts its calls."""
+
+    def __init__(self):
+        self.kept, self.calls = [], 0
+
+    def getListState(self, name, schema):
+        return self
+
+    def get(self):
+        self.calls += 1
+        return iter(list(self.kept))
+
+    def clear(self):
+        self.calls += 1
+        self.kept = []
+
+    def appendValue(self, value):
+        self.calls += 1
+        self.kept.append(value)
+
+
+def test_many_keys_take_few_calls_into_the_state():
+    state, changes = Entries(), _Retract("sum", "bigint")
+    changes.init(state)
+
+    def batch(first, sign, keys):
+        frame = pd.DataFrame({"key": [str(k) for k in keys], "seq": range(first, first + len(keys)), "sign": sign, "present": True, "value": 5})
+        return pd.concat(changes.handleInputRows((0,), iter([frame]), None))
+
+    assert batch(0, 1, range(2500))["row_kind"].tolist() == ["+I"] * 2500
+    assert state.calls <= 5 and max(len(keys) for keys, *_ in state.kept) <= 1000
+    assert batch(2500, 1, range(2500))["result"].tolist() == [5, 10] * 2500
+    assert batch(5000, -1, [*range(2499), *range(2499)])["row_kind"].tolist() == ["-U", "+U"] * 2499 + ["-D"] * 2499
+    assert state.kept == [(["2499"], [2], [2], [10])] and state.calls <= 15
+
+
 def brute_firings(batches, size, delay, lateness):
     """{(firing, window end): rows} and the late rows; batches of (seq, second), judged by the watermark of the batches before."""
     windows, fired, out, late, top = {}, {}, {}, [], None

@@ -15,18 +15,21 @@ from tideline.operators.changelog import DELETE, INSERT, UPDATE_AFTER, UPDATE_BE
 from tideline.streaming.dedup import _EXACT
 
 _BIG = 1 << 63
+# Groups that the keys are dealt to, whose totals are read and written at once, and keys that stand in one entry of the state.
+GROUPS = 1024
+PIECE = 1_000
 
 
 class _Retract(StatefulProcessor):
-    """State per key: number of rows, number of rows with a value, and the total that was last sent."""
+    """State per group of keys, in pieces: per key, number of rows, number of rows with a value, and the total that was last sent."""
 
     def __init__(self, agg: str, kind: str):
         self._agg, self._whole = agg, kind == "bigint"
-        self._state = f"rows long, known long, total {'long' if self._whole else 'double'}"
+        self._state = f"keys array<string>, rows array<long>, known array<long>, totals array<{'long' if self._whole else 'double'}>"
         self._zero = 0 if self._whole else 0.0
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self._value = handle.getValueState("total", self._state)
+        self._totals = handle.getListState("totals", self._state)
 
     def _added(self, known: int, total, value, sign: int):
         if self._agg == "sum":
@@ -42,11 +45,12 @@ class _Retract(StatefulProcessor):
         return total
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        batch = pd.concat(list(rows)).sort_values("seq")
-        n, known, total = self._value.get() if self._value.exists() else (0, 0, self._zero)
+        batch = pd.concat(list(rows)).sort_values("seq", kind="stable")
+        totals = {k: kept for piece in self._totals.get() for k, *kept in zip(*piece)}
         out = []
-        columns = (batch[c].tolist() for c in ("seq", "sign", "present", "value"))
-        for seq, sign, present, value in zip(*columns):
+        columns = (batch[c].tolist() for c in ("key", "seq", "sign", "present", "value"))
+        for k, seq, sign, present, value in zip(*columns):
+            n, known, total = totals.get(k) or (0, 0, self._zero)
             if n == 0 and sign < 0:
                 continue  # nothing of this key is there to take back
             before = total if known or self._agg == "count" else None
@@ -57,35 +61,38 @@ class _Retract(StatefulProcessor):
                 known += sign
             after = total if known or self._agg == "count" else None
             if n == 0:
-                out.append((2 * seq, DELETE, before))
-                known, total = 0, self._zero
-            elif first:
-                out.append((2 * seq + 1, INSERT, after))
+                out.append((k, 2 * seq, DELETE, before))
+                del totals[k]
+                continue
+            if first:
+                out.append((k, 2 * seq + 1, INSERT, after))
             elif before != after:
-                out += [(2 * seq, UPDATE_BEFORE, before), (2 * seq + 1, UPDATE_AFTER, after)]
-        if n:
-            self._value.update((n, known, total))
-        elif self._value.exists():
-            self._value.clear()
+                out += [(k, 2 * seq, UPDATE_BEFORE, before), (k, 2 * seq + 1, UPDATE_AFTER, after)]
+            totals[k] = (n, known, total)
+        self._totals.clear()
+        kept = [(k, *numbers) for k, numbers in totals.items()]
+        for i in range(0, len(kept), PIECE):
+            self._totals.appendValue(tuple(map(list, zip(*kept[i:i + PIECE]))))
         if out:
-            seqs, kinds, results = zip(*out)
-            yield pd.DataFrame({"key": key[0], "change_seq": seqs, "row_kind": kinds,
+            keys, seqs, kinds, results = zip(*out)
+            yield pd.DataFrame({"key": keys, "change_seq": seqs, "row_kind": kinds,
                                 "result": pd.array(results, "Int64" if self._whole else "Float64")})
 
     def close(self) -> None:
         pass
 
 
-def changelog_stream(df: DataFrame, key: str, seq: str, value: str, agg: str = "sum", sign: str | None = None) -> DataFrame:
+def changelog_stream(df: DataFrame, key: str, seq: str, value: str, agg: str = "sum", sign: str | None = None,
+                     groups: int = GROUPS) -> DataFrame:
     """The rows of `operators.changelog.agg_changelog` on a stream: (key, change_seq, row_kind, result). RocksDB state store.
 
     Each micro-batch emits, in arrival order, what its rows change: +I for a key's first row, -U and +U for one that changes the
     result. However the arrivals are cut into micro-batches, the changes are the same, if `seq` does not go back from one
-    batch to the next. The state is one number per key.
+    batch to the next. The state is one number per key. Keys are dealt by hash to `groups` groups, a number that a checkpoint keeps for good.
 
     sign: a column of 1 and -1; a row of -1 takes back one that was added (sum and count only). When a key's last row is taken
     back it is gone (-D); a row that takes back what is not there is left out. value: whole numbers, or DOUBLE. The rows of one
-    key in one micro-batch are held together, as numbers.
+    group in one micro-batch are held together, as numbers, with the totals of its keys.
     """
     if agg not in ("sum", "count", "max", "min"):
         raise ValueError(f"no changelog for {agg}")
@@ -98,7 +105,8 @@ def changelog_stream(df: DataFrame, key: str, seq: str, value: str, agg: str = "
         F.to_json(F.struct(F.col(key).alias("k")), _EXACT).alias("key"), F.col(seq).cast("bigint").alias("seq"),
         (F.lit(1) if sign is None else F.col(sign).cast("int")).alias("sign"), F.col(value).isNotNull().alias("present"),
         F.coalesce(given.cast(kind), F.lit(0).cast(kind)).alias("value"))
-    changed = staged.groupBy("key").transformWithStateInPandas(
+    dealt = staged.withColumn("group", F.pmod(F.xxhash64("key"), F.lit(groups)).cast("int"))
+    changed = dealt.groupBy("group").transformWithStateInPandas(
         statefulProcessor=_Retract(agg, kind), outputStructType=f"key string, change_seq bigint, row_kind string, result {kind}",
         outputMode="Append", timeMode="None")
     shape = T.StructType([T.StructField("k", type_of(df, key))])
