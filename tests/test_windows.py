@@ -129,6 +129,19 @@ def test_running_word_count(spark):
     assert bag(aggregates.word_count(df, "t")) == [("a", 4), ("b", 2)]
 
 
+def test_running_word_count_moves_long_tokens_once(spark):
+    """Texts of 2,000 letters that differ at the end only, over many buckets of lines; no shuffle goes by the text."""
+    lines = [(n, ",".join("x" * 2000 + str((n + i) % 7) for i in range(3))) for n in range(0, 4000, 97)]
+    counted = aggregates.running_word_count(spark.createDataFrame(lines, "n bigint, t string"), "n", "t", bucket_bits=6)
+    assert "hashpartitioning(word" not in counted._jdf.queryExecution().executedPlan().toString()
+    seen, expected = {}, []
+    for n, text in lines:
+        for pos, word in enumerate(text.split(",")):
+            seen[word] = seen.get(word, 0) + 1
+            expected.append((n, pos, word, seen[word]))
+    assert sorted(map(tuple, counted.collect())) == sorted(expected)
+
+
 def test_reports(spark):
     df = spark.createDataFrame([(1, 10, at(5)), (1, None, at(3700)), (2, 11, at(3599)), (1, 4, at(6))],
                                "account bigint, amount bigint, ts timestamp_ntz")

@@ -57,11 +57,12 @@ def running_word_count(df: DataFrame, line_no: str, text: str, separator: str =
                        bucket_bits: int = 8) -> DataFrame:
     """The total of a token after each of its occurrences, in line order.
 
-    Hot tokens are spread: a task holds one token's rows of 2**bucket_bits lines, not all of them.
+    Hot tokens are spread: a task holds one token's rows of 2**bucket_bits lines, not all of them. Tokens may be long, so they
+    are told apart by 128 bits of their SHA-256, and each travels as text once.
     """
-    words = tokens(df, text, separator, keep=(line_no,))
+    words = tokens(df, text, separator, keep=(line_no,)).withColumn("_token", F.unhex(F.substring(F.sha2("word", 256), 1, 32)))
     counted = running(
-        words, ["word"], [line_no, "pos"], {"total": ("count", F.lit(1))},
+        words, ["_token"], [line_no, "pos"], {"total": ("count", F.lit(1))},
         F.shiftright(F.col(line_no), bucket_bits),
     )
     return counted.select(line_no, "pos", "word", "total")
