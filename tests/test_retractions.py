@@ -164,6 +164,14 @@ def test_row_by_row_it_equals_the_replayed_windows(rocksdb):
     assert {k: len(v) for k, v in got.items()} == {(r.firing, int((r.window_end - at(0)).total_seconds())): r.rows for r in expected}
 
 
+def test_a_replay_counts_no_rows_of_the_state_and_leaves_the_session_as_it_was(spark):
+    name, seen = "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows", []
+    before = spark.conf.get(name, None)
+    table = spark.createDataFrame([(1, 0), (2, 1)], "n bigint, part int")
+    got = replay(table, "part", 2, lambda s: seen.append(spark.conf.get(name)) or s)
+    assert bag(got) == [(1,), (2,)] and seen == ["false"] * 2 and spark.conf.get(name, None) == before
+
+
 def test_a_late_row_of_a_new_key_passes(rocksdb):
     stamps = [("a", 0, 0), ("b", 1000, 1), ("b", 2000, 2), ("c", 5, 3), ("b", 2010, 3), ("a", 7, 4), ("c", 2005, 4)]
     table = rocksdb.createDataFrame([(k, at(s), n, p) for n, (k, s, p) in enumerate(stamps)], "k string, ts timestamp_ntz, n bigint, part int")
