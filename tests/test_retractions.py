@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import os
 import random
 
 import pandas as pd
+import pyarrow as pa
 import pytest
 from data import DISORDERED, IN_ORDER, arrivals, at
 from pyspark.sql import functions as F
@@ -12,11 +14,11 @@ from pyspark.sql import functions as F
 from tideline.operators.changelog import agg_changelog
 from tideline.operators.ids import EPOCH_MS
 from tideline.operators.watermark import window_firings
-from tideline.streaming.changelog import _Retract, changelog_stream
+from tideline.streaming.changelog import PACK, _pack, _Retract, changelog_stream
 from tideline.streaming.dedup import dedup_interval_stream
 from tideline.streaming.firing import each_firing, fired_window_rows_stream
 from tideline.streaming.ids import assign_ids_stream
-from tideline.streaming.replay import replay
+from tideline.streaming.replay import replay, replay_into
 
 
 def bag(df):
@@ -91,6 +93,75 @@ def test_many_keys_take_few_calls_into_the_state():
     assert state.kept == [(["2499"], [2], [2], [10])] and state.calls <= 15
 
 
+@pytest.mark.parametrize("agg,key,absent", [("sum", "bigint", False), ("sum", "string", True), ("count", "bigint", True), ("count", "string", False)])
+def test_changes_at_once_are_those_row_by_row(agg, key, absent):
+    rng, both, walked = random.Random(agg + key), [Entries(), Entries()], 0
+    at_once, by_row = _Retract(agg, "bigint", key), _Retract(agg, "bigint", key)
+    at_once.init(both[0])
+    by_row.init(both[1])
+    by_row._at_once = lambda kept, batch: None
+    there, seq = [], 0
+    for _ in range(40):
+        rows = []
+        for _ in range(rng.choice([1, 5, 60])):
+            k = rng.randrange(8)
+            row = (k if key == "bigint" else str(k), rng.random() < 0.7, rng.choice([0, 3, -3, 2**53 + 1]))
+            row = (*row[:2], row[2] if row[1] else 0)
+            if there and rng.random() < 0.5:
+                rows.append((*there.pop(rng.randrange(len(there))), seq, -1))
+            elif absent and rng.random() < 0.02:
+                rows.append((*row, seq, -1))
+            else:
+                there.append(row)
+                rows.append((*row, seq, 1))
+            seq += 1
+        frame = pd.DataFrame(rng.sample(rows, len(rows)), columns=["key", "present", "value", "seq", "sign"])
+        kept = [[c for piece in both[0].kept for c in piece[i]] for i in range(4)]
+        walked += at_once._at_once(kept, frame.sort_values("seq")) is None
+        got, expected = (list(p.handleInputRows((0,), iter([frame]), None)) for p in (at_once, by_row))
+        texts = [[[str(v) for v in row] for f in frames for row in f.values.tolist()] for frames in (got, expected)]
+        assert texts[0] == texts[1]
+        states = [sorted(row for piece in entries.kept for row in zip(*piece)) for entries in both]
+        assert states[0] == states[1]
+    assert walked < 40 and (absent or walked == 0)
+
+
+def test_totals_beyond_64_bits_are_an_error_still():
+    changes = _Retract("sum", "bigint")
+    changes.init(Entries())
+    frame = pd.DataFrame({"key": ["a", "a"], "seq": [0, 1], "sign": 1, "present": True, "value": [2**63 - 1, 1]})
+    with pytest.raises(OverflowError):
+        list(changes.handleInputRows((0,), iter([frame]), None))
+
+
+def test_rows_reach_the_state_packed():
+    n = 30_000
+    batches = [pa.RecordBatch.from_pydict({"group": pa.array([i % 7 for i in range(a, a + 10_000)], pa.int32()), "key": list(range(a, a + 10_000)),
+                                           "seq": list(range(a, a + 10_000)), "sign": [1] * 10_000, "present": [True] * 10_000,
+                                           "value": [i * 3 for i in range(a, a + 10_000)]}) for a in range(0, n, 10_000)]
+    rows = [r for out in _pack(iter(batches)) for r in out.to_pylist()]
+    assert len(rows) <= n // PACK + 7 and max(len(r["seq"]) for r in rows) <= PACK
+    assert sorted((r["group"], *one) for r in rows for one in zip(r["key"], r["seq"], r["value"])) == sorted((i % 7, i, i, 3 * i) for i in range(n))
+    assert all(r["seq"] == sorted(r["seq"]) for r in rows) and list(_pack(iter([]))) == []
+
+
+def test_null_and_large_whole_keys_and_few_partitions_of_state(rocksdb):
+    rows = [(None, 0, 1, 4, 0), (0, 1, 1, 5, 0), (2**62 + 1, 2, 1, 6, 0), (None, 3, 1, 1, 1), (0, 4, -1, 5, 1), (2**62 + 1, 5, 1, None, 1)]
+    table = rocksdb.createDataFrame(rows, "k bigint, seq bigint, s int, v bigint, part int")
+    rocksdb.conf.set("spark.sql.shuffle.partitions", "50")  # put back by the fixture
+
+    def sink(stream, folder):
+        out = changelog_stream(stream, "k", "seq", "v", sign="s").writeStream.format("parquet").option("path", f"{folder}/out")
+        return out.option("checkpointLocation", f"{folder}/cp").trigger(availableNow=True)
+
+    folder = replay_into(table, "part", 2, sink, per_core=1)
+    assert rocksdb.conf.get("spark.sql.shuffle.partitions") == "50"
+    assert bag(rocksdb.read.parquet(f"{folder}/out")) == sorted(
+        [(None, 1, "+I", 4), (0, 3, "+I", 5), (2**62 + 1, 5, "+I", 6), (None, 6, "-U", 4), (None, 7, "+U", 5), (0, 8, "-D", 5)], key=repr)
+    state = folder.removeprefix("file:") + "/cp/state/0"
+    assert sum(name.isdigit() for name in os.listdir(state)) == rocksdb.sparkContext.defaultParallelism
+
+
 def brute_firings(batches, size, delay, lateness):
     """{(firing, window end): rows} and the late rows; batches of (seq, second), judged by the watermark of the batches before."""
     windows, fired, out, late, top = {}, {}, {}, [], None

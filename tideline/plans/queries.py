@@ -647,7 +647,7 @@ def _in_parts(rows: DataFrame, seq: str = "seq") -> DataFrame:
 def changelog_stream(spark, folder):
     events = _arrivals(spark, folder).withColumn("cents", F.round(F.col("value") * 100).cast("bigint"))
     parts = _in_parts(events.select("user_id", "seq", "cents"))
-    return replay(parts, "part", 3, lambda s: stream_changes(s, "user_id", "seq", "cents"))
+    return replay(parts, "part", 3, lambda s: stream_changes(s, "user_id", "seq", "cents"), per_core=4)
 
 
 @query
@@ -658,7 +658,8 @@ def changelog_stream_deletes(spark, folder):
     again = lambda rows, later: rows.withColumns({"seq": F.col("seq") + later, "sign": F.lit(-1)})
     all_rows = (events.unionByName(again(events.filter(third), 50_000_000)).unionByName(again(events.filter(fifth & ~third), 100_000_000)))
     part = F.when(F.col("seq") >= 100_000_000, 2).when(F.col("seq") >= 50_000_000, 1).otherwise(0)
-    return replay(all_rows.withColumn("part", part), "part", 3, lambda s: stream_changes(s, "user_id", "seq", "cents", sign="sign"))
+    changed = lambda s: stream_changes(s, "user_id", "seq", "cents", sign="sign")
+    return replay(all_rows.withColumn("part", part), "part", 3, changed, per_core=4)
 
 
 @query
